@@ -43,7 +43,7 @@ BRONZE_SCHEMA = StructType([
     StructField("is_malformed", BooleanType()),
     StructField("ingested_at", TimestampType()),
     StructField("batch_id", LongType()),
-])
+])  # partitioned by batch_id: a replayed micro-batch overwrites its own folder
 
 SILVER_COLUMNS = ["city", "event_time", "temperature_c", "humidity_pct",
                   "wind_speed_kmh", "weather_code", "condition", "ingested_at"]
