@@ -72,7 +72,10 @@ def build_latest(silver: DataFrame, cols: list[str] = LATEST_COLS) -> DataFrame:
                      [F.col("event_time").desc()], cols)
 
 
-def with_latest_bucket(latest: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+def latest_bucket(key: Column, cfg: Config = DEFAULT) -> Column:
     """Hash bucket of the key: the overwrite unit of the latest table."""
-    return latest.withColumn(
-        "bucket", F.pmod(F.xxhash64(F.col("city")), F.lit(cfg.latest_buckets)).cast("int"))
+    return F.pmod(F.xxhash64(key), F.lit(cfg.latest_buckets)).cast("int")
+
+
+def with_latest_bucket(latest: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+    return latest.withColumn("bucket", latest_bucket(F.col("city"), cfg))

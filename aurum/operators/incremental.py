@@ -21,25 +21,42 @@ from ..sources.lakehouse import Lakehouse
 log = logging.getLogger(__name__)
 
 
-def write_silver(lake: Lakehouse, silver_batch: DataFrame) -> int:
+def batch_summary(batch_silver: DataFrame, cfg) -> dict:
+    """One small job: row count, touched days and touched latest-buckets of a
+    silver batch (both lists are bounded: days in the batch, bucket count)."""
+    r = batch_silver.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.collect_set("day").alias("days"),
+        F.collect_set(gold.latest_bucket(F.col("city"), cfg)).alias("buckets"),
+    ).first()
+    return {"rows": int(r["rows"]), "days": sorted(r["days"]), "buckets": sorted(r["buckets"])}
+
+
+def write_silver(lake: Lakehouse, silver_batch: DataFrame, days: list | None = None) -> int:
     """Insert-if-absent on (city, event_time); first write wins across
     batches (the batch itself is already keep-last de-duplicated)."""
     return merge.merge_keyed(lake.spark, lake.path("silver"), silver_batch,
-                             ["city", "event_time"], "day", "ignore", lake.schema("silver"))
+                             ["city", "event_time"], "day", "ignore", lake.schema("silver"),
+                             values=days)
 
 
-def refresh_gold(lake: Lakehouse, batch_silver: DataFrame, days: list | None = None) -> int:
+def refresh_gold(lake: Lakehouse, batch_silver: DataFrame, days: list | None = None,
+                 summary: dict | None = None) -> int:
     """Recompute the gold rows of the touched (city, day) pairs from all
     of their silver rows and merge them.  ``days`` limits the refresh to some
     days (the reference's today-only timer path); default: every touched day.
+    ``summary`` (from ``batch_summary``) saves a job when already known.
     Returns the number of touched days."""
     cfg = lake.cfg
-    touched = batch_silver.select("city", "day").distinct()
     if days is not None:
-        touched = touched.where(F.col("day").isin(days))
-    touched_days = merge.touched_values(touched, "day")
+        batch_silver = batch_silver.where(F.col("day").isin(days))
+        summary = None
+    if summary is None:
+        summary = batch_summary(batch_silver, cfg)
+    touched_days = summary["days"]
     if not touched_days:
         return 0
+    touched = batch_silver.select("city", "day").distinct()
     if len(touched_days) > cfg.max_touched_days_warn:
         log.warning("batch touches %d day partitions; gold refresh re-reads all of them",
                     len(touched_days))
@@ -47,11 +64,14 @@ def refresh_gold(lake: Lakehouse, batch_silver: DataFrame, days: list | None = N
     try:
         latest = gold.with_latest_bucket(gold.build_latest(sub), cfg)
         merge.merge_keyed(lake.spark, lake.path("latest"), latest, ["city"], "bucket",
-                          "replace_if_newer", lake.schema("latest"), time_col="event_time")
+                          "replace_if_newer", lake.schema("latest"), time_col="event_time",
+                          values=summary["buckets"])
         merge.merge_keyed(lake.spark, lake.path("hourly"), gold.build_hourly(sub, cfg),
-                          ["city", "hour_start"], "day", "replace", lake.schema("hourly"))
+                          ["city", "hour_start"], "day", "replace", lake.schema("hourly"),
+                          values=touched_days)
         merge.merge_keyed(lake.spark, lake.path("daily"), gold.build_daily(sub, cfg),
-                          ["city", "day"], "day", "replace", lake.schema("daily"))
+                          ["city", "day"], "day", "replace", lake.schema("daily"),
+                          values=touched_days)
     finally:
         sub.unpersist()
     return len(touched_days)
@@ -69,5 +89,7 @@ def rebuild_gold(lake: Lakehouse) -> None:
     }
     for name, df in outputs.items():
         cols = [f.name for f in lake.schema(name).fields]
-        (df.select(*cols).write.mode("overwrite").partitionBy(lake.partition_col(name))
+        part = lake.partition_col(name)
+        (df.select(*cols).hint("rebalance", part).write.mode("overwrite")
+           .option("partitionOverwriteMode", "static").partitionBy(part)
            .parquet(lake.path(name)))

@@ -31,6 +31,17 @@ def touched_values(updates: DataFrame, partition_col: str) -> list:
     return [r[0] for r in updates.select(partition_col).distinct().collect()]
 
 
+def write_partitioned(df: DataFrame, path: str, partition_col: str, mode: str) -> None:
+    """Partitioned Parquet write with file sizes chosen by AQE: ``rebalance``
+    groups rows by partition value and splits a hot value over several
+    tasks, so a batch touching many days does not leave tasks x days small
+    files, and a day holding most rows is not written by one task."""
+    w = df.hint("rebalance", partition_col).write.mode(mode)
+    if mode == "overwrite":
+        w = w.option("partitionOverwriteMode", "dynamic")
+    w.partitionBy(partition_col).parquet(path)
+
+
 def read_partitions(spark: SparkSession, path: str, schema: StructType,
                     partition_col: str, values: list) -> DataFrame:
     """Target rows of the given partitions only (pruned at the scan)."""
@@ -49,26 +60,27 @@ def newer_only(updates: DataFrame, current: DataFrame, keys: list[str],
 
 def merge_keyed(spark: SparkSession, path: str, updates: DataFrame, keys: list[str],
                 partition_col: str, mode: str, schema: StructType,
-                time_col: str | None = None) -> int:
+                time_col: str | None = None, values: list | None = None) -> int:
     """Merge ``updates`` into the table at ``path``; returns the number of
-    touched partitions (0 = nothing written)."""
+    touched partitions (0 = nothing written).  ``values``, when the caller
+    already knows them, are the partition values the updates touch."""
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
     cols = [f.name for f in schema.fields]
     updates = updates.select(*cols)
-    values = touched_values(updates, partition_col)
+    if values is None:
+        values = touched_values(updates, partition_col)
     if not values:
         return 0
     current = read_partitions(spark, path, schema, partition_col, values)
     if mode == "ignore":
         new = updates.join(current.select(*keys), keys, "left_anti")
-        (new.write.mode("append").partitionBy(partition_col).parquet(path))
+        write_partitioned(new, path, partition_col, "append")
         return len(values)
     if mode == "replace_if_newer":
         if time_col is None:
             raise ValueError("replace_if_newer needs time_col")
         updates = newer_only(updates, current, keys, time_col)
     merged = current.join(updates.select(*keys), keys, "left_anti").unionByName(updates)
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy(partition_col).parquet(path))
+    write_partitioned(merged, path, partition_col, "overwrite")
     return len(values)

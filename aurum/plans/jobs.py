@@ -142,8 +142,9 @@ def _incremental_lake(spark, sf_dir) -> Lakehouse:
     for batch in _day_batches(spark, sf_dir):
         sb = silver.to_silver(batch).persist()
         try:
-            incremental.write_silver(lake, sb)
-            incremental.refresh_gold(lake, sb)
+            summary = incremental.batch_summary(sb, lake.cfg)
+            incremental.write_silver(lake, sb, summary["days"])
+            incremental.refresh_gold(lake, sb, None, summary)
         finally:
             sb.unpersist()
     return lake

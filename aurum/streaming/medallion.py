@@ -17,12 +17,12 @@ replayed batch leaves silver and gold unchanged (X7).
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions import parse
-from ..operators import incremental, silver
+from ..operators import incremental, merge, silver
 from ..schemas import BRONZE_SCHEMA
 from ..sources.lakehouse import Lakehouse
 
@@ -35,19 +35,24 @@ def _opt(batch: DataFrame, name: str, typ: str):
 
 
 def bronze_rows(batch: DataFrame) -> DataFrame:
-    """Every message as received; malformed ones are flagged, not lost."""
-    decoded = parse.decode_json(batch, "value")
+    """Every message as received; malformed ones are flagged, not lost.
+    Accepts raw (``value``) or already decoded batches."""
+    decoded = batch if "is_malformed" in batch.columns else parse.decode_json(batch, "value")
     return decoded.select(
         F.col("value").alias("raw_json"), _opt(decoded, "source", "string"),
         _opt(decoded, "src_offset", "bigint"), F.col("is_malformed"),
         F.current_timestamp().alias("ingested_at"))
 
 
-def write_bronze(lake: Lakehouse, batch: DataFrame, batch_id: int) -> None:
-    """Bronze folder of this batch id; a replay of the batch rewrites it."""
-    (bronze_rows(batch).withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id").parquet(lake.path("bronze")))
+def write_bronze(lake: Lakehouse, decoded: DataFrame, batch_id: int,
+                 observation: Observation | None = None) -> None:
+    """Bronze folder of this batch id; a replay of the batch rewrites it.
+    ``observation`` collects the batch counts during the same write (A10)."""
+    rows = bronze_rows(decoded).withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
+    if observation is not None:
+        rows = rows.observe(observation, F.count(F.lit(1)).alias("n"),
+                            F.count_if("is_malformed").alias("bad"))
+    merge.write_partitioned(rows, lake.path("bronze"), "batch_id", "overwrite")
 
 
 def silver_of(messages: DataFrame, lake: Lakehouse) -> DataFrame:
@@ -56,29 +61,35 @@ def silver_of(messages: DataFrame, lake: Lakehouse) -> DataFrame:
 
 def process_batch(lake: Lakehouse, batch: DataFrame, batch_id: int,
                   gold_days: list | None = None) -> dict:
-    """One micro-batch through all layers; returns the run-log row."""
-    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    """One micro-batch through all layers; returns the run-log row.
+    The decoded batch is persisted once and feeds bronze and silver, so each
+    message is parsed once per batch."""
+    decoded = parse.decode_json(batch, "value").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        counts = (parse.decode_json(batch, "value")
-                  .agg(F.count(F.lit(1)).alias("n"),
-                       F.count_if("is_malformed").alias("bad")).first())
-        row = {"batch_id": int(batch_id), "messages_in": int(counts["n"]),
-               "malformed": int(counts["bad"] or 0), "silver_rows": 0, "touched_days": 0}
-        if row["messages_in"] == 0:  # empty batch, no writes
+        obs = Observation(f"batch-{batch_id}")
+        write_bronze(lake, decoded, batch_id, obs)
+        m = obs.get
+        row = {"batch_id": int(batch_id), "messages_in": int(m.get("n") or 0),
+               "malformed": int(m.get("bad") or 0), "silver_rows": 0, "touched_days": 0}
+        if row["messages_in"] == 0:  # empty batch, nothing else to write
             return row
-        write_bronze(lake, batch, batch_id)
-        sb = silver_of(batch, lake).persist(StorageLevel.MEMORY_AND_DISK)
+        sb = silver.to_silver(parse.type_message(decoded, lake.cfg), lake.cfg)
+        sb = sb.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            row["silver_rows"] = sb.count()
-            if row["silver_rows"]:
-                incremental.write_silver(lake, sb)
-                row["touched_days"] = incremental.refresh_gold(lake, sb, gold_days)
+            summary = incremental.batch_summary(sb, lake.cfg)
+            row["silver_rows"] = summary["rows"]
+            if summary["rows"]:
+                incremental.write_silver(lake, sb, summary["days"])
+                if gold_days is None:
+                    row["touched_days"] = incremental.refresh_gold(lake, sb, None, summary)
+                else:
+                    row["touched_days"] = incremental.refresh_gold(lake, sb, gold_days)
         finally:
             sb.unpersist()
         log_run(lake, row)
         return row
     finally:
-        batch.unpersist()
+        decoded.unpersist()
 
 
 def log_run(lake: Lakehouse, row: dict) -> None:
