@@ -38,3 +38,9 @@ def exact_mean(x: Column, scale: int = 4) -> Column:
 def exact_mean_sql(x: str, scale: int = 4) -> str:
     """The same mean as SQL text (DuckDB / Spark SQL)."""
     return f"CAST(SUM(CAST({x} AS DECIMAL({16 + scale},{scale}))) AS DOUBLE) / COUNT({x})"
+
+
+def display(x: Column, digits: int = 1) -> Column:
+    """Display text with a fixed number of decimals (P16), rounded half-even
+    first so the text does not depend on the formatter's tie rule."""
+    return F.format_string(f"%.{int(digits)}f", round_half_even(x, digits))

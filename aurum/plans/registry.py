@@ -156,10 +156,11 @@ def q_heatwave_days(spark, sf_dir):
     return serve.heatwave_days(T(spark, sf_dir))
 
 
-@register("alerts", with_base(
-    f"SELECT city, temperature_c FROM latest WHERE temperature_c > {DEFAULT.alert_threshold}"))
+@register("alerts", with_base(f"""
+SELECT city, temperature_c, printf('%.0f', round_even(temperature_c, 0)) AS temp_label
+FROM latest WHERE temperature_c > {DEFAULT.alert_threshold}"""))
 def q_alerts(spark, sf_dir):
-    """F3, F4 (V6)."""
+    """F3, F4, P16 (V6)."""
     return serve.alerts(T(spark, sf_dir))
 
 
@@ -212,10 +213,11 @@ def q_spotlight(spark, sf_dir):
 
 @register("ranked_cards", with_base(f"""
 SELECT l.city, l.temperature_c, l.condition,
-       coalesce(e.emoji, '{rules.EMOJI_DEFAULT}') AS emoji
+       coalesce(e.emoji, '{rules.EMOJI_DEFAULT}') AS emoji,
+       printf('%.1f', round_even(l.temperature_c * 10, 0) / 10) AS temp_label
 FROM latest l LEFT JOIN {emoji_values_sql()} ON l.condition = e.condition"""))
 def q_ranked_cards(spark, sf_dir):
-    """O5 + J2 (V8)."""
+    """O5 + J2 + P16 (V8)."""
     return serve.ranked_cards(T(spark, sf_dir))
 
 

@@ -10,7 +10,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import rules, times
+from ..functions import numbers, rules, times
 from ..operators import gold, lookups
 from .tables import Tables
 
@@ -59,7 +59,9 @@ def alerts(t: Tables, threshold: float | None = None,
     th = t.cfg.alert_threshold if threshold is None else threshold
     lat = lookups.key_filter(t.latest, cities, t.latest)
     return (lat.where(F.col("temperature_c") > F.lit(th))
-               .select("city", "temperature_c").orderBy("city"))
+               .select("city", "temperature_c",
+                       numbers.display(F.col("temperature_c"), 0).alias("temp_label"))
+               .orderBy("city"))
 
 
 def kpi_row(t: Tables, cities: Iterable[str] | None = None) -> DataFrame:
@@ -86,7 +88,8 @@ def ranked_cards(t: Tables, cities: Iterable[str] | None = None) -> DataFrame:
     lat = lookups.key_filter(t.latest, cities, t.latest)
     spark = t.latest.sparkSession
     return (lookups.with_emoji(lat, spark)
-            .select("city", "temperature_c", "condition", "emoji")
+            .select("city", "temperature_c", "condition", "emoji",
+                    numbers.display(F.col("temperature_c"), 1).alias("temp_label"))
             .orderBy(F.col("temperature_c").desc_nulls_last(), "city"))
 
 

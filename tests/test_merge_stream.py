@@ -183,3 +183,14 @@ def test_three_tier_streams(spark):
 def test_kafka_options_only():
     opts = streams.kafka_options("broker:9092", "weather-raw")
     assert opts["startingOffsets"] == "earliest" and opts["failOnDataLoss"] == "false"
+
+
+def test_catalog_tables_and_add_column_default(spark):
+    from aurum.sources.lakehouse import add_column_if_missing
+    lake = _lake(spark, "catalog")
+    incremental.write_silver(lake, _silver(spark, [msg("A", event_time="2026-06-25T10:00")]))
+    lake.register_catalog("wx_test")
+    assert spark.table("wx_test.silver").count() == 1
+    assert add_column_if_missing(spark, "wx_test.silver", "checked", "BOOLEAN", "false")
+    assert not add_column_if_missing(spark, "wx_test.silver", "checked", "BOOLEAN", "false")
+    assert spark.table("wx_test.silver").first().checked is False    # old rows: default
