@@ -60,7 +60,9 @@ def refresh_gold(lake: Lakehouse, batch_silver: DataFrame, days: list | None = N
     if len(touched_days) > cfg.max_touched_days_warn:
         log.warning("batch touches %d day partitions; gold refresh re-reads all of them",
                     len(touched_days))
-    sub = lake.silver_for_keys(touched, touched_days).persist(StorageLevel.MEMORY_AND_DISK)
+    small = summary["rows"] <= cfg.broadcast_touched_rows   # pairs <= rows: a proven bound
+    sub = lake.silver_for_keys(touched, touched_days, broadcast=small)
+    sub = sub.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         latest = gold.with_latest_bucket(gold.build_latest(sub), cfg)
         merge.merge_keyed(lake.spark, lake.path("latest"), latest, ["city"], "bucket",

@@ -189,7 +189,7 @@ def _land_batches(spark, sf_dir, landing: str, replay_first: bool = True) -> Non
 
 
 def _landing_stream(spark, landing: str):
-    return (spark.readStream.format("text").option("maxFilesPerTrigger", "2")
+    return (spark.readStream.format("text").option("maxFilesPerTrigger", "4")
             .option("recursiveFileLookup", "true").load(landing)
             .select("value", F.col("_metadata.file_path").alias("source"),
                     F.lit(None).cast("bigint").alias("src_offset")))

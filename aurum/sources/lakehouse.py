@@ -71,13 +71,16 @@ class Lakehouse:
                 return self.spark.createDataFrame([], schema)
             raise
 
-    def silver_for_keys(self, touched: DataFrame, days: list | None = None) -> DataFrame:
+    def silver_for_keys(self, touched: DataFrame, days: list | None = None,
+                        broadcast: bool = False) -> DataFrame:
         """R4 + J3: every silver row of the touched (city, day) pairs; the day
-        list, when given, prunes partitions at the scan."""
+        list, when given, prunes partitions at the scan.  ``broadcast`` only
+        when the caller has bounded the number of pairs."""
         s = self.read("silver")
         if days is not None:
             s = s.where(F.col("day").isin(days))
-        return s.join(touched.select("city", "day").distinct(), ["city", "day"], "left_semi")
+        pairs = touched.select("city", "day").distinct()
+        return s.join(F.broadcast(pairs) if broadcast else pairs, ["city", "day"], "left_semi")
 
     def keys_on_day(self, day) -> DataFrame:
         """Distinct keys seen on a day."""
