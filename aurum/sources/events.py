@@ -24,10 +24,12 @@ def spread(df: DataFrame) -> DataFrame:
     when the scan yields fewer partitions than cores (a small file with one
     row group).  Decided from the plan's partition count, no data is read; on
     a large input the scan already has enough splits and nothing changes."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # sessions without RDD access (Spark Connect): leave as is
+        return df
+    return df.repartition(cores) if parts < cores else df
 
 
 def props_k(props: Column) -> Column:

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import parse
+
 
 def kafka_options(bootstrap: str, topic: str) -> dict[str, str]:
     """One topic, from the earliest offset on first start (later the
@@ -31,7 +33,7 @@ def read_kafka(spark: SparkSession, bootstrap: str, topic: str) -> DataFrame:
         raise RuntimeError("Kafka source unavailable: add the spark-sql-kafka "
                            "connector to the session") from exc
     return raw.select(
-        F.col("value").cast("string").alias("value"),
+        parse.value_as_string(F.col("value")).alias("value"),
         F.concat_ws(":", F.col("topic"), F.col("partition").cast("string")).alias("source"),
         F.col("offset").alias("src_offset"),
     )

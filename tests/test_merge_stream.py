@@ -194,3 +194,31 @@ def test_catalog_tables_and_add_column_default(spark):
     assert add_column_if_missing(spark, "wx_test.silver", "checked", "BOOLEAN", "false")
     assert not add_column_if_missing(spark, "wx_test.silver", "checked", "BOOLEAN", "false")
     assert spark.table("wx_test.silver").first().checked is False    # old rows: default
+
+
+def test_windowed_hourly_equals_refresh_without_late_rows(spark):
+    from aurum.streaming import windowed
+    root = session.fresh_dir(spark, "windowed")
+    rows = [msg(c, event_time=f"2026-06-25T{h:02d}:{m:02d}", t=float(h + m / 100))
+            for c in "AB" for h in range(10, 14) for m in (0, 15, 30)]
+    copies = rows[:3]                                   # equal re-deliveries
+    sentinel = [msg("zz", event_time="2026-06-26T12:00", t=1.0)]   # moves the watermark
+    _land(spark, root, [rows[:12], rows[12:] + copies, sentinel])
+    q = windowed.start_windowed_hourly(_landing(spark, root), f"{root}/hourly",
+                                       f"{root}/cp", lateness="30 minutes")
+    q.awaitTermination()
+    got = spark.read.parquet(f"{root}/hourly").where("city != 'zz'")
+    ref = _silver(spark, rows + copies)
+    from aurum.plans.tables import Tables
+    want = Tables.from_silver(ref).hourly
+    cols = ["city", "hour_start", "avg_temp", "max_temp", "min_temp", "readings"]
+    assert _rows(got, cols) == _rows(want, cols)
+
+
+def test_today_only_refresh_leaves_other_days(spark):
+    lake = _lake(spark)
+    sb = _silver(spark, [msg("A", event_time="2026-06-24T10:00", t=1.0),
+                         msg("A", event_time="2026-06-25T10:00", t=2.0)])
+    incremental.write_silver(lake, sb)
+    assert incremental.refresh_gold(lake, sb, days=[dt.date(2026, 6, 25)]) == 1   # X5
+    assert [r.day for r in lake.read("daily").collect()] == [dt.date(2026, 6, 25)]

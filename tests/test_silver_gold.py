@@ -132,3 +132,41 @@ def test_rejects_reason(spark):
     typed = parse.parse_messages(messages_df(spark, vals))
     got = {r.city: r.reason for r in silver.rejects(typed).collect()}
     assert got == {"t": "temperature", "h": "humidity", "w": "wind", None: "missing_key"}
+
+
+def test_hot_key_matches_brute_force(spark):
+    """One key holds a third of all rows, 200 of them copies of one reading."""
+    import random
+    from decimal import Decimal
+
+    import numpy as np
+    rnd = random.Random(7)
+    recs = []
+    for i in range(200):                                   # copies of one reading
+        recs.append(("H", "2026-06-25T10:00", round(rnd.uniform(-10, 50), 2), 1000 + i))
+    for i in range(100):
+        recs.append(("H", f"2026-06-{20 + i % 5:02d}T{i % 24:02d}:{(i * 15) % 60:02d}",
+                     round(rnd.uniform(-10, 50), 2), i))
+    for i in range(600):
+        recs.append((f"k{i % 37}", f"2026-06-{20 + i % 5:02d}T{(i * 7) % 24:02d}:{(i * 15) % 60:02d}",
+                     round(rnd.uniform(-10, 50), 2), i))
+    vals = [msg(c, event_time=et, t=t, fetched=f"2026-06-25T12:{f // 60 % 60:02d}:{f % 60:02d}Z")
+            for c, et, t, f in recs]
+    s = _silver(spark, vals)
+    t = Tables.from_silver(s)
+    best = {}
+    for c, et, temp, f in recs:                            # keep the latest fetch
+        k = (c, et)
+        if k not in best or f > best[k][1]:
+            best[k] = (temp, f)
+    assert s.count() == len(best)
+    days = {}
+    for (c, et), (temp, _) in best.items():
+        days.setdefault((c, et[:10]), []).append(temp)
+    want = {}
+    for k, ts in days.items():
+        mean = float(sum(Decimal(str(x)) for x in ts)) / len(ts)
+        want[k] = (float(np.rint(mean * 100) / 100), max(ts), min(ts), len(ts))
+    got = {(r.city, r.day.isoformat()): (r.avg_temp, r.max_temp, r.min_temp, r.readings)
+           for r in t.daily.collect()}
+    assert got == want
