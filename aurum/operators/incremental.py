@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import gold, merge
-from ..sources.lakehouse import Lakehouse
+from ..sources.store import MedallionStore
 
 log = logging.getLogger(__name__)
 
@@ -32,7 +32,7 @@ def batch_summary(batch_silver: DataFrame, cfg) -> dict:
     return {"rows": int(r["rows"]), "days": sorted(r["days"]), "buckets": sorted(r["buckets"])}
 
 
-def write_silver(lake: Lakehouse, silver_batch: DataFrame, days: list | None = None) -> int:
+def write_silver(lake: MedallionStore, silver_batch: DataFrame, days: list | None = None) -> int:
     """Insert-if-absent on (city, event_time); first write wins across
     batches (the batch itself is already keep-last de-duplicated)."""
     return merge.merge_keyed(lake.spark, lake.path("silver"), silver_batch,
@@ -40,7 +40,7 @@ def write_silver(lake: Lakehouse, silver_batch: DataFrame, days: list | None = N
                              values=days)
 
 
-def refresh_gold(lake: Lakehouse, batch_silver: DataFrame, days: list | None = None,
+def refresh_gold(lake: MedallionStore, batch_silver: DataFrame, days: list | None = None,
                  summary: dict | None = None) -> int:
     """Recompute the gold rows of the touched (city, day) pairs from all
     of their silver rows and merge them.  ``days`` limits the refresh to some
@@ -79,7 +79,7 @@ def refresh_gold(lake: Lakehouse, batch_silver: DataFrame, days: list | None = N
     return len(touched_days)
 
 
-def rebuild_gold(lake: Lakehouse) -> None:
+def rebuild_gold(lake: MedallionStore) -> None:
     """Recompute all gold tables from silver and overwrite them (repair
     path; must equal the incremental result)."""
     cfg = lake.cfg

@@ -16,7 +16,7 @@ from ..config import DEFAULT
 from ..operators import gold, incremental, merge, silver
 from ..sources import events as ev
 from ..sources import streams
-from ..sources.lakehouse import Lakehouse
+from ..sources.store import MedallionStore
 from ..streaming import medallion
 from .registry import cut_sql, cut_ts, register
 from .tables import typed_events
@@ -25,8 +25,8 @@ SILVER_OUT = ["city", "event_time", "temperature_c", "humidity_pct", "wind_speed
               "weather_code", "condition", "day"]
 
 
-def new_lake(spark: SparkSession, name: str) -> Lakehouse:
-    return Lakehouse(spark, session.fresh_dir(spark, name), DEFAULT).ensure_tables()
+def new_lake(spark: SparkSession, name: str) -> MedallionStore:
+    return MedallionStore(spark, session.fresh_dir(spark, name), DEFAULT).ensure_tables()
 
 
 def _silver_sql(where: str) -> str:
@@ -137,7 +137,7 @@ def _day_batches(spark, sf_dir):
             typed.where(day < d1)]
 
 
-def _incremental_lake(spark, sf_dir) -> Lakehouse:
+def _incremental_lake(spark, sf_dir) -> MedallionStore:
     lake = new_lake(spark, "incremental")
     for batch in _day_batches(spark, sf_dir):
         sb = silver.to_silver(batch).persist()
@@ -202,7 +202,7 @@ def q_stream_medallion(spark, sf_dir):
     root = session.fresh_dir(spark, "stream")
     landing = f"{root}/landing"
     _land_batches(spark, sf_dir, landing)
-    lake = Lakehouse(spark, f"{root}/lake", DEFAULT)
+    lake = MedallionStore(spark, f"{root}/lake", DEFAULT)
     q = medallion.start_medallion(_landing_stream(spark, landing), lake, f"{root}/checkpoint")
     q.awaitTermination()
     if q.exception():
@@ -221,7 +221,7 @@ def q_stream_bronze_counts(spark, sf_dir):
     root = session.fresh_dir(spark, "stream-bronze")
     landing = f"{root}/landing"
     _land_batches(spark, sf_dir, landing)
-    lake = Lakehouse(spark, f"{root}/lake", DEFAULT)
+    lake = MedallionStore(spark, f"{root}/lake", DEFAULT)
     q = medallion.start_medallion(_landing_stream(spark, landing), lake, f"{root}/checkpoint")
     q.awaitTermination()
     if q.exception():
@@ -237,7 +237,7 @@ def q_stream_tiers(spark, sf_dir):
     root = session.fresh_dir(spark, "tiers")
     landing = f"{root}/landing"
     _land_batches(spark, sf_dir, landing)
-    lake = Lakehouse(spark, f"{root}/lake", DEFAULT).ensure_tables()
+    lake = MedallionStore(spark, f"{root}/lake", DEFAULT).ensure_tables()
     medallion.run_tiers_available_now(spark, _landing_stream(spark, landing), lake,
                                       f"{root}/checkpoint")
     return lake.read("daily").select("city", "day", "avg_temp", "max_temp", "min_temp",

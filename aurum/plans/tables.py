@@ -1,5 +1,5 @@
 """A bundle of the four serving tables, built lazily from silver or read from
-stored lakehouse paths."""
+stored table-store paths."""
 
 from __future__ import annotations
 
@@ -32,7 +32,7 @@ class Tables:
         )
 
     @classmethod
-    def from_lakehouse(cls, lake) -> Tables:
+    def from_store(cls, lake) -> Tables:
         return cls(silver=lake.read("silver"), latest=lake.read("latest"),
                    hourly=lake.read("hourly"), daily=lake.read("daily"), cfg=lake.cfg)
 

@@ -36,7 +36,7 @@ def _is_missing_path(exc: AnalysisException) -> bool:
     return cond == "PATH_NOT_FOUND"
 
 
-class Lakehouse:
+class MedallionStore:
     def __init__(self, spark: SparkSession, root: str, cfg: Config = DEFAULT):
         self.spark = spark
         self.root = root.rstrip("/")
@@ -51,7 +51,7 @@ class Lakehouse:
     def partition_col(self, name: str):
         return SPECS[name][1]
 
-    def ensure_tables(self) -> Lakehouse:
+    def ensure_tables(self) -> MedallionStore:
         """Create every table that does not exist yet (idempotent)."""
         for name, (schema, part) in SPECS.items():
             w = self.spark.createDataFrame([], schema).write.mode("ignore")

@@ -24,7 +24,7 @@ from pyspark.sql.types import StructType
 from ..functions import parse
 from ..operators import incremental, merge, silver
 from ..schemas import BRONZE_SCHEMA
-from ..sources.lakehouse import Lakehouse
+from ..sources.store import MedallionStore
 
 BRONZE_LOG = "bronze_log"  # bronze table of the three-query form (file sink)
 BRONZE_LOG_SCHEMA = StructType([f for f in BRONZE_SCHEMA.fields if f.name != "batch_id"])
@@ -44,7 +44,7 @@ def bronze_rows(batch: DataFrame) -> DataFrame:
         F.current_timestamp().alias("ingested_at"))
 
 
-def write_bronze(lake: Lakehouse, decoded: DataFrame, batch_id: int,
+def write_bronze(lake: MedallionStore, decoded: DataFrame, batch_id: int,
                  observation: Observation | None = None) -> None:
     """Bronze folder of this batch id; a replay of the batch rewrites it.
     ``observation`` collects the batch counts during the same write (A10)."""
@@ -55,11 +55,11 @@ def write_bronze(lake: Lakehouse, decoded: DataFrame, batch_id: int,
     merge.write_partitioned(rows, lake.path("bronze"), "batch_id", "overwrite")
 
 
-def silver_of(messages: DataFrame, lake: Lakehouse) -> DataFrame:
+def silver_of(messages: DataFrame, lake: MedallionStore) -> DataFrame:
     return silver.to_silver(parse.parse_messages(messages, "value", lake.cfg), lake.cfg)
 
 
-def process_batch(lake: Lakehouse, batch: DataFrame, batch_id: int,
+def process_batch(lake: MedallionStore, batch: DataFrame, batch_id: int,
                   gold_days: list | None = None) -> dict:
     """One micro-batch through all layers; returns the run-log row.
     The decoded batch is persisted once and feeds bronze and silver, so each
@@ -92,7 +92,7 @@ def process_batch(lake: Lakehouse, batch: DataFrame, batch_id: int,
         decoded.unpersist()
 
 
-def log_run(lake: Lakehouse, row: dict) -> None:
+def log_run(lake: MedallionStore, row: dict) -> None:
     """A10: append one summary row per processed batch."""
     schema = lake.schema("runlog")
     names = [f.name for f in schema.fields if f.name != "logged_at"]
@@ -107,7 +107,7 @@ def _trigger(w, trigger: dict | None):
     return w.trigger(**(trigger or {"availableNow": True}))
 
 
-def start_medallion(source: DataFrame, lake: Lakehouse, checkpoint: str,
+def start_medallion(source: DataFrame, lake: MedallionStore, checkpoint: str,
                     trigger: dict | None = None, gold_days_fn=None):
     """X1 + T4: one streaming query with a fault-tolerant batch sink."""
     lake.ensure_tables()
@@ -119,7 +119,7 @@ def start_medallion(source: DataFrame, lake: Lakehouse, checkpoint: str,
     return _trigger(w, trigger).start()
 
 
-def start_bronze(source: DataFrame, lake: Lakehouse, checkpoint: str,
+def start_bronze(source: DataFrame, lake: MedallionStore, checkpoint: str,
                  trigger: dict | None = None):
     """Tier 1: source -> bronze log (append-only Parquet file sink)."""
     w = (bronze_rows(source).writeStream.format("parquet")
@@ -127,7 +127,7 @@ def start_bronze(source: DataFrame, lake: Lakehouse, checkpoint: str,
     return _trigger(w, trigger).start()
 
 
-def start_silver(spark: SparkSession, lake: Lakehouse, checkpoint: str,
+def start_silver(spark: SparkSession, lake: MedallionStore, checkpoint: str,
                  trigger: dict | None = None, max_files_per_trigger: int | None = None):
     """Tier 2 (X4): new bronze files -> silver, insert-if-absent.  The stream
     checkpoint replaces the reference's ``processed`` flag (T6, F10)."""
@@ -149,7 +149,7 @@ def start_silver(spark: SparkSession, lake: Lakehouse, checkpoint: str,
     return _trigger(w, trigger).start()
 
 
-def start_gold(spark: SparkSession, lake: Lakehouse, checkpoint: str,
+def start_gold(spark: SparkSession, lake: MedallionStore, checkpoint: str,
                trigger: dict | None = None, gold_days_fn=None):
     """Tier 3 (X5): new silver files -> gold refresh of the touched buckets.
     ``gold_days_fn()`` may return a day list to refresh (e.g. today only);
@@ -164,7 +164,7 @@ def start_gold(spark: SparkSession, lake: Lakehouse, checkpoint: str,
     return _trigger(w, trigger).start()
 
 
-def run_tiers_available_now(spark: SparkSession, source: DataFrame, lake: Lakehouse,
+def run_tiers_available_now(spark: SparkSession, source: DataFrame, lake: MedallionStore,
                             checkpoint_root: str) -> None:
     """Drain the three tiers once, in order (backfills and tests)."""
     cp = checkpoint_root.rstrip("/")

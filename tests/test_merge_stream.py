@@ -12,12 +12,12 @@ from aurum.functions import parse
 from aurum.operators import gold, incremental, merge, silver
 from aurum.sources import events as ev
 from aurum.sources import streams
-from aurum.sources.lakehouse import Lakehouse
+from aurum.sources.store import MedallionStore
 from aurum.streaming import medallion
 
 
 def _lake(spark, name="lake"):
-    return Lakehouse(spark, session.fresh_dir(spark, name)).ensure_tables()
+    return MedallionStore(spark, session.fresh_dir(spark, name)).ensure_tables()
 
 
 def _silver(spark, values):
@@ -29,7 +29,7 @@ def _rows(df, cols):
 
 
 def test_missing_table_reads_empty_and_setup_is_idempotent(spark):
-    lake = Lakehouse(spark, session.fresh_dir(spark, "nolake"))
+    lake = MedallionStore(spark, session.fresh_dir(spark, "nolake"))
     assert lake.read("daily").count() == 0                       # R5
     lake.ensure_tables().ensure_tables()                          # T11 twice
     assert lake.read("silver").columns[-1] == "day"
@@ -147,7 +147,7 @@ def _landing(spark, root):
 
 def test_stream_medallion_replay_restart_and_late_rows(spark):
     root = session.fresh_dir(spark, "stream")
-    lake = Lakehouse(spark, f"{root}/lake")
+    lake = MedallionStore(spark, f"{root}/lake")
     b0 = [msg("A", event_time="2026-06-25T12:00", t=30.0), "not json"]
     b1 = [msg("A", event_time="2026-06-25T13:00", t=32.0), msg("B", t=41.5)]
     _land(spark, root, [b0, b1, b0])                              # b0 delivered twice
@@ -173,7 +173,7 @@ def test_stream_medallion_replay_restart_and_late_rows(spark):
 
 def test_three_tier_streams(spark):
     root = session.fresh_dir(spark, "tiers")
-    lake = Lakehouse(spark, f"{root}/lake").ensure_tables()
+    lake = MedallionStore(spark, f"{root}/lake").ensure_tables()
     _land(spark, root, [[msg("A", t=10.0)], [msg("A", t=10.0), msg("B", t=20.0)]])
     medallion.run_tiers_available_now(spark, _landing(spark, root), lake, f"{root}/cp")
     assert _rows(lake.read("daily"), ["city", "avg_temp"]) == [("A", 10.0), ("B", 20.0)]
@@ -181,12 +181,12 @@ def test_three_tier_streams(spark):
 
 
 def test_kafka_options_only():
-    opts = streams.kafka_options("broker:9092", "weather-raw")
+    opts = streams.kafka_options("broker:9092", "readings")
     assert opts["startingOffsets"] == "earliest" and opts["failOnDataLoss"] == "false"
 
 
 def test_catalog_tables_and_add_column_default(spark):
-    from aurum.sources.lakehouse import add_column_if_missing
+    from aurum.sources.store import add_column_if_missing
     lake = _lake(spark, "catalog")
     incremental.write_silver(lake, _silver(spark, [msg("A", event_time="2026-06-25T10:00")]))
     lake.register_catalog("wx_test")

@@ -12,7 +12,7 @@ from aurum.functions import parse
 from aurum.operators import incremental, silver
 from aurum.plans import serve
 from aurum.plans.tables import Tables, tables_from_events
-from aurum.sources.lakehouse import Lakehouse
+from aurum.sources.store import MedallionStore
 
 
 def _tables(spark, values):
@@ -128,12 +128,12 @@ def test_dedup_uses_partial_window_group_limit(spark):
 
 
 def test_stored_tables_prune_partitions_and_broadcast_dims(spark):
-    lake = Lakehouse(spark, session.fresh_dir(spark, "plans")).ensure_tables()
+    lake = MedallionStore(spark, session.fresh_dir(spark, "plans")).ensure_tables()
     vals = [msg("A", event_time=f"2026-06-{d:02d}T10:00", t=float(d)) for d in range(1, 10)]
     sb = silver.to_silver(parse.parse_messages(messages_df(spark, vals)))
     incremental.write_silver(lake, sb)
     incremental.refresh_gold(lake, sb)
-    t = Tables.from_lakehouse(lake)
+    t = Tables.from_store(lake)
     rec = serve.recent_readings(t, 24, as_of=F.lit(dt.datetime(2026, 6, 9, 12)).cast("timestamp"))
     assert rec.count() == 1
     fs = rec._jdf.queryExecution().executedPlan().toString()
@@ -141,3 +141,20 @@ def test_stored_tables_prune_partitions_and_broadcast_dims(spark):
     cards = serve.ranked_cards(t)
     cards.collect()
     assert "BroadcastHashJoin" in _plan(cards) or "BroadcastNestedLoopJoin" in _plan(cards)
+
+
+def test_touched_key_scan_prunes_days_and_fixed_dims_broadcast(spark):
+    from aurum.operators import lookups
+    lake = MedallionStore(spark, session.fresh_dir(spark, "plans-r4")).ensure_tables()
+    vals = [msg(c, event_time=f"2026-06-{d:02d}T10:00") for c in "AB" for d in range(1, 6)]
+    sb = silver.to_silver(parse.parse_messages(messages_df(spark, vals)))
+    incremental.write_silver(lake, sb)
+    batch = sb.where("day = DATE'2026-06-03' AND city = 'A'")
+    sub = lake.silver_for_keys(batch, [dt.date(2026, 6, 3)], broadcast=True)
+    assert [(r.city, r.day.day) for r in sub.collect()] == [("A", 3)]
+    plan = _plan(sub)
+    assert "PartitionFilters: [isnotnull(day" in plan and "BroadcastHashJoin" in plan
+    t = Tables.from_store(lake)
+    pts = serve.map_points(t, lookups.city_dim(spark), fixed_size=True)
+    pts.collect()
+    assert "BroadcastHashJoin" in _plan(pts)
