@@ -12,6 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import parse
+from ..schemas import MESSAGE_FIELDS
+
 SLOT_MINUTES = 15
 
 
@@ -60,12 +63,12 @@ def events_as_messages(events: DataFrame) -> DataFrame:
     """events -> (src_offset, key, value JSON, ts): the shape a Kafka source or
     a landing directory delivers.  Only the needed columns are read."""
     events = spread(events.select("event_id", "user_id", "ts", "value", "props"))
-    return events.select(
-        F.col("event_id").alias("src_offset"),
-        F.col("user_id").cast("string").alias("key"),
-        F.to_json(message_struct(events)).alias("value"),
-        F.col("ts"),
-    )
+    fields = events.select(F.col("event_id").alias("src_offset"),
+                           F.col("user_id").cast("string").alias("key"), "ts",
+                           message_struct(events).alias("m")).select("src_offset", "key",
+                                                                     "ts", "m.*")
+    return fields.select("src_offset", "key",
+                         parse.to_message_json(fields, MESSAGE_FIELDS).alias("value"), "ts")
 
 
 def events_as_api_payloads(events: DataFrame) -> DataFrame:
