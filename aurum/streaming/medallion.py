@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .. import session
 from ..functions import parse
 from ..operators import incremental, merge, silver
 from ..schemas import BRONZE_SCHEMA
@@ -107,9 +108,19 @@ def _trigger(w, trigger: dict | None):
     return w.trigger(**(trigger or {"availableNow": True}))
 
 
+def check_pairing(spark: SparkSession, checkpoint: str, output: str) -> None:
+    """Refuse a new checkpoint on an output that already holds batches: batch
+    ids restart at 0, so the bronze folders (or the file sink's log) of the
+    old run would be overwritten or new input silently skipped."""
+    if session.path_exists(spark, output) and not session.path_exists(spark, checkpoint):
+        raise RuntimeError(f"{output} already holds data but checkpoint {checkpoint} is new; "
+                           "reuse its checkpoint or write to a new table root")
+
+
 def start_medallion(source: DataFrame, lake: MedallionStore, checkpoint: str,
                     trigger: dict | None = None, gold_days_fn=None):
     """X1 + T4: one streaming query with a fault-tolerant batch sink."""
+    check_pairing(lake.spark, checkpoint, f"{lake.path('bronze')}/batch_id=0")
     lake.ensure_tables()
 
     def run(df, bid):
@@ -122,6 +133,7 @@ def start_medallion(source: DataFrame, lake: MedallionStore, checkpoint: str,
 def start_bronze(source: DataFrame, lake: MedallionStore, checkpoint: str,
                  trigger: dict | None = None):
     """Tier 1: source -> bronze log (append-only Parquet file sink)."""
+    check_pairing(lake.spark, checkpoint, f"{lake.path(BRONZE_LOG)}/_spark_metadata")
     w = (bronze_rows(source).writeStream.format("parquet")
          .option("path", lake.path(BRONZE_LOG)).option("checkpointLocation", checkpoint))
     return _trigger(w, trigger).start()

@@ -222,3 +222,15 @@ def test_today_only_refresh_leaves_other_days(spark):
     incremental.write_silver(lake, sb)
     assert incremental.refresh_gold(lake, sb, days=[dt.date(2026, 6, 25)]) == 1   # X5
     assert [r.day for r in lake.read("daily").collect()] == [dt.date(2026, 6, 25)]
+
+
+def test_new_checkpoint_on_old_bronze_is_refused(spark):
+    import pytest
+    root = session.fresh_dir(spark, "pairing")
+    lake = MedallionStore(spark, f"{root}/lake")
+    _land(spark, root, [[msg("A")]])
+    medallion.start_medallion(_landing(spark, root), lake, f"{root}/cp").awaitTermination()
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        medallion.start_medallion(_landing(spark, root), lake, f"{root}/cp-new")
+    # the original checkpoint restarts fine
+    medallion.start_medallion(_landing(spark, root), lake, f"{root}/cp").awaitTermination()
