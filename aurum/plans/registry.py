@@ -49,7 +49,7 @@ def comparable(df: DataFrame) -> DataFrame:
                        for c in df.columns])
 
 
-def T(spark: SparkSession, sf_dir: str) -> Tables:
+def _tables(spark: SparkSession, sf_dir: str) -> Tables:
     return tables_from_events(spark, sf_dir, DEFAULT)
 
 
@@ -122,38 +122,38 @@ SELECT city, event_time, temperature_c, humidity_pct, wind_speed_kmh, weather_co
        condition, day FROM silver"""))
 def q_silver_clean(spark, sf_dir):
     """Gated, de-duplicated, typed silver rows."""
-    return T(spark, sf_dir).silver.drop("ingested_at")
+    return _tables(spark, sf_dir).silver.drop("ingested_at")
 
 
 # ---------------------------------------------------------------- gold + serving
 @register("hourly_stats", with_base("SELECT * FROM hourly"))
 def q_hourly(spark, sf_dir):
     """A1, P8, P10 (V3)."""
-    return serve.hourly_stats(T(spark, sf_dir))
+    return serve.hourly_stats(_tables(spark, sf_dir))
 
 
 @register("daily_stats", with_base("SELECT * FROM daily"))
 def q_daily(spark, sf_dir):
     """A2, P9, P10 (V2)."""
-    return serve.daily_stats(T(spark, sf_dir))
+    return serve.daily_stats(_tables(spark, sf_dir))
 
 
 @register("city_latest", with_base("SELECT * FROM latest"))
 def q_city_latest(spark, sf_dir):
     """A3 / W3 (V1)."""
-    return serve.city_latest(T(spark, sf_dir))
+    return serve.city_latest(_tables(spark, sf_dir))
 
 
 @register("latest_full", with_base("SELECT * FROM latest_full"))
 def q_latest_full(spark, sf_dir):
     """W2 (V5)."""
-    return serve.latest_full(T(spark, sf_dir))
+    return serve.latest_full(_tables(spark, sf_dir))
 
 
 @register("heatwave_days", with_base("SELECT * FROM daily WHERE heatwave"))
 def q_heatwave_days(spark, sf_dir):
     """F6 (V14)."""
-    return serve.heatwave_days(T(spark, sf_dir))
+    return serve.heatwave_days(_tables(spark, sf_dir))
 
 
 @register("alerts", with_base(f"""
@@ -161,7 +161,7 @@ SELECT city, temperature_c, printf('%.0f', round_even(temperature_c, 0)) AS temp
 FROM latest WHERE temperature_c > {DEFAULT.alert_threshold}"""))
 def q_alerts(spark, sf_dir):
     """F3, F4, P16 (V6)."""
-    return serve.alerts(T(spark, sf_dir))
+    return serve.alerts(_tables(spark, sf_dir))
 
 
 @register("kpi_row", with_base("""
@@ -176,7 +176,7 @@ SELECT (SELECT count(*) FROM latest) AS live_keys,
         WHERE day = (SELECT max(day) FROM daily)) AS heatwave_keys"""))
 def q_kpi_row(spark, sf_dir):
     """A4, A5, A6, A9, F8 (V7)."""
-    return serve.kpi_row(T(spark, sf_dir))
+    return serve.kpi_row(_tables(spark, sf_dir))
 
 
 def _max_event_time(t: Tables):
@@ -188,7 +188,7 @@ SELECT city, event_time, temperature_c, humidity_pct, condition FROM silver
 WHERE event_time >= (SELECT max(event_time) FROM silver) - INTERVAL 24 HOUR"""))
 def q_recent(spark, sf_dir):
     """F7 (V4), as of the newest reading so that it is repeatable."""
-    t = T(spark, sf_dir)
+    t = _tables(spark, sf_dir)
     return serve.recent_readings(t, 24, as_of=_max_event_time(t))
 
 
@@ -197,7 +197,7 @@ SELECT city, event_time, temperature_c, humidity_pct, condition FROM silver
 WHERE event_time >= (SELECT max(event_time) FROM silver) - INTERVAL 12 HOUR"""))
 def q_trend(spark, sf_dir):
     """F7 + F4 (V11), all keys chosen."""
-    t = T(spark, sf_dir)
+    t = _tables(spark, sf_dir)
     return serve.trend(t, 12, None, as_of=_max_event_time(t))
 
 
@@ -207,7 +207,7 @@ SELECT * FROM latest_full WHERE city = (
   ORDER BY temperature_c DESC, city LIMIT 1)"""))
 def q_spotlight(spark, sf_dir):
     """F5 (V10): full latest row of the hottest key."""
-    t = T(spark, sf_dir)
+    t = _tables(spark, sf_dir)
     return serve.spotlight(t, serve.hottest_key(t))
 
 
@@ -218,7 +218,7 @@ SELECT l.city, l.temperature_c, l.condition,
 FROM latest l LEFT JOIN {emoji_values_sql()} ON l.condition = e.condition"""))
 def q_ranked_cards(spark, sf_dir):
     """O5 + J2 + P16 (V8)."""
-    return serve.ranked_cards(T(spark, sf_dir))
+    return serve.ranked_cards(_tables(spark, sf_dir))
 
 
 def customer_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -244,7 +244,7 @@ JOIN nation n ON c.c_nationkey = n.n_nationkey
 JOIN region r ON n.n_regionkey = r.r_regionkey"""))
 def q_map_points(spark, sf_dir):
     """J1 (V9): inner lookup of each key's location; unmatched keys dropped."""
-    return serve.map_points(T(spark, sf_dir), customer_locations(spark, sf_dir))
+    return serve.map_points(_tables(spark, sf_dir), customer_locations(spark, sf_dir))
 
 
 @register("daily_flag_labels", with_base(f"""
@@ -254,7 +254,7 @@ SELECT city, strftime(day, '%Y-%m-%d') AS day, max_temp,
 FROM daily"""))
 def q_daily_flag_labels(spark, sf_dir):
     """P12, P13 (V12)."""
-    return serve.daily_flag_labels(T(spark, sf_dir))
+    return serve.daily_flag_labels(_tables(spark, sf_dir))
 
 
 @register("hour_pivot", with_base("""
@@ -263,7 +263,7 @@ SELECT * FROM (
   ON hour USING avg(avg_temp) GROUP BY city)"""))
 def q_hour_pivot(spark, sf_dir):
     """A7, P12 (V13): key x hour-label matrix."""
-    return serve.hour_pivot(T(spark, sf_dir))
+    return serve.hour_pivot(_tables(spark, sf_dir))
 
 
 @register("newest_readings", with_base("""
@@ -271,14 +271,14 @@ SELECT day, city, event_time, temperature_c, humidity_pct, wind_speed_kmh, weath
        condition FROM silver ORDER BY event_time DESC, city LIMIT 20"""))
 def q_newest(spark, sf_dir):
     """O6 + P15 (V15): top-k newest rows with their partition."""
-    return serve.newest_readings(T(spark, sf_dir), 20)
+    return serve.newest_readings(_tables(spark, sf_dir), 20)
 
 
 @register("distinct_keys", with_base(
     "SELECT DISTINCT city FROM silver WHERE day = (SELECT max(day) FROM silver)"))
 def q_distinct_keys(spark, sf_dir):
     """R6 + A8: keys seen on the newest day."""
-    s = T(spark, sf_dir).silver
+    s = _tables(spark, sf_dir).silver
     last = s.select(F.max("day")).scalar()
     return s.where(F.col("day") == last).select("city").distinct()
 
@@ -309,7 +309,7 @@ def q_touched_buckets(spark, sf_dir):
     batch = (events.where(F.col("ts") >= cut_ts(events, 3, 4))
              .select(F.col("user_id").cast("string").alias("city"),
                      F.to_date("ts").alias("day")))
-    s = T(spark, sf_dir).silver.drop("ingested_at")
+    s = _tables(spark, sf_dir).silver.drop("ingested_at")
     return lookups.semi_match(s, batch, ["city", "day"])
 
 
@@ -321,7 +321,7 @@ SELECT count(*) AS total_rows,
 FROM silver"""))
 def q_key_check(spark, sf_dir):
     """Q1 on silver: no null and no repeated (key, event_time)."""
-    return checks.key_check(T(spark, sf_dir).silver, ["city", "event_time"])
+    return checks.key_check(_tables(spark, sf_dir).silver, ["city", "event_time"])
 
 
 @register("key_check_raw", with_base("""

@@ -47,6 +47,9 @@ def scratch_root(spark: SparkSession) -> str:
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
         if not root:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a shared folder: staged "
+                                   "tables must survive the loss of any one machine")
             root = tempfile.mkdtemp(prefix="aurum-ckpt-")  # local runs and tests only
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root
