@@ -172,11 +172,14 @@ def q_incremental_latest_hourly(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- streaming
-def _land_batches(spark, sf_dir, landing: str, replay_first: bool = True) -> None:
+def _land_batches(spark, sf_dir, landing: str, replay_first: bool = True) -> int:
     """Write the events as JSON-line messages into ``landing``, one folder per
     whole-day range plus a re-delivery of the first range.  Copies of a
-    (key, slot) share a file, as a keyed topic keeps a key in one partition."""
+    (key, slot) share a file, as a keyed topic keeps a key in one partition.
+    Each range gets as many files as the input has splits (at least 2), so the
+    write stays parallel on a large input; returns that file count."""
     events = ev.read_table(spark, sf_dir, "events")
+    files = max(2, events.rdd.getNumPartitions())
     msgs = ev.events_as_messages(events).withColumn("slot", ev.slot_text(F.col("ts")))
     d1 = F.to_date(cut_ts(events, 1, 3))
     d2 = F.to_date(cut_ts(events, 2, 3))
@@ -185,11 +188,14 @@ def _land_batches(spark, sf_dir, landing: str, replay_first: bool = True) -> Non
     if replay_first:
         parts.append(parts[0])
     for i, part in enumerate(parts):
-        streams.write_messages(part, f"{landing}/part{i}", 2, ["key", "slot"])
+        streams.write_messages(part, f"{landing}/part{i}", files, ["key", "slot"])
+    return files
 
 
-def _landing_stream(spark, landing: str):
-    return (spark.readStream.format("text").option("maxFilesPerTrigger", "4")
+def _landing_stream(spark, landing: str, files_per_part: int = 2):
+    """Two day ranges per micro-batch."""
+    return (spark.readStream.format("text")
+            .option("maxFilesPerTrigger", str(2 * files_per_part))
             .option("recursiveFileLookup", "true").load(landing)
             .select("value", F.col("_metadata.file_path").alias("source"),
                     F.lit(None).cast("bigint").alias("src_offset")))
@@ -201,9 +207,10 @@ def q_stream_medallion(spark, sf_dir):
     availableNow; the first day range is delivered twice."""
     root = session.fresh_dir(spark, "stream")
     landing = f"{root}/landing"
-    _land_batches(spark, sf_dir, landing)
+    files = _land_batches(spark, sf_dir, landing)
     lake = MedallionStore(spark, f"{root}/lake", DEFAULT)
-    q = medallion.start_medallion(_landing_stream(spark, landing), lake, f"{root}/checkpoint")
+    q = medallion.start_medallion(_landing_stream(spark, landing, files), lake,
+                                  f"{root}/checkpoint")
     q.awaitTermination()
     if q.exception():
         raise q.exception()
@@ -220,9 +227,10 @@ def q_stream_bronze_counts(spark, sf_dir):
     """T2 + A10: bronze keeps every delivered message (re-deliveries too)."""
     root = session.fresh_dir(spark, "stream-bronze")
     landing = f"{root}/landing"
-    _land_batches(spark, sf_dir, landing)
+    files = _land_batches(spark, sf_dir, landing)
     lake = MedallionStore(spark, f"{root}/lake", DEFAULT)
-    q = medallion.start_medallion(_landing_stream(spark, landing), lake, f"{root}/checkpoint")
+    q = medallion.start_medallion(_landing_stream(spark, landing, files), lake,
+                                  f"{root}/checkpoint")
     q.awaitTermination()
     if q.exception():
         raise q.exception()
@@ -236,9 +244,9 @@ def q_stream_tiers(spark, sf_dir):
     own checkpoint, drained with availableNow."""
     root = session.fresh_dir(spark, "tiers")
     landing = f"{root}/landing"
-    _land_batches(spark, sf_dir, landing)
+    files = _land_batches(spark, sf_dir, landing)
     lake = MedallionStore(spark, f"{root}/lake", DEFAULT).ensure_tables()
-    medallion.run_tiers_available_now(spark, _landing_stream(spark, landing), lake,
+    medallion.run_tiers_available_now(spark, _landing_stream(spark, landing, files), lake,
                                       f"{root}/checkpoint")
     return lake.read("daily").select("city", "day", "avg_temp", "max_temp", "min_temp",
                                      "readings", "heatwave")

@@ -283,7 +283,7 @@ def q_distinct_keys(spark, sf_dir):
     return s.where(F.col("day") == last).select("city").distinct()
 
 
-# Batch boundary used by the batch-shaped queries: 3/4 of the way through the
+# Batch boundary used by the batch-shaped queries: num/den of the way through the
 # events time span, in whole microseconds (same integer arithmetic in SQL).
 def cut_ts(events: DataFrame, num: int, den: int):
     us = F.unix_micros(F.col("ts").cast("timestamp"))
