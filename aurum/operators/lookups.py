@@ -45,18 +45,22 @@ def lookup_inner(df: DataFrame, dim: DataFrame, on: str | list[str],
     return df.join(F.broadcast(dim) if fixed_size else dim, on, "inner")
 
 
-def key_filter(df: DataFrame, keys: Iterable[str] | None, known: DataFrame | None = None,
-               col: str = "city") -> DataFrame:
-    """keep the chosen keys; keys unknown to ``known`` are ignored, and a
-    choice with no known key means all keys.  No data reaches the driver: the
-    'none known' test is a scalar subquery."""
+def key_predicate(keys: Iterable[str] | None, known: DataFrame, col: str = "city"):
+    """F4 as a predicate (None = all keys): the chosen keys; keys unknown to
+    ``known`` are ignored, and a choice with no known key means all keys.  No
+    data reaches the driver: the 'none known' test is a scalar subquery."""
     chosen = [k for k in (keys or [])]
     if not chosen:
-        return df
-    c = F.col(col)
-    ref = known if known is not None else df
-    none_known = ref.where(F.col(col).isin(chosen)).select(F.count(F.lit(1))).scalar() == 0
-    return df.where(c.isin(chosen) | none_known)
+        return None
+    none_known = known.where(F.col(col).isin(chosen)).select(F.count(F.lit(1))).scalar() == 0
+    return F.col(col).isin(chosen) | none_known
+
+
+def key_filter(df: DataFrame, keys: Iterable[str] | None, known: DataFrame | None = None,
+               col: str = "city") -> DataFrame:
+    """F4 applied to ``df``."""
+    pred = key_predicate(keys, known if known is not None else df, col)
+    return df if pred is None else df.where(pred)
 
 
 def key_equals(df: DataFrame, key: str | Column, col: str = "city") -> DataFrame:

@@ -69,9 +69,12 @@ def kpi_row(t: Tables, cities: Iterable[str] | None = None) -> DataFrame:
     on the latest day (the day maximum is taken before the key filter)."""
     lat = lookups.key_filter(t.latest, cities, t.latest)
     temp = F.col("temperature_c")
-    last_day = t.daily.select(F.max("day")).scalar()
-    flagged = (lookups.key_filter(t.daily.where(F.col("day") == last_day), cities, t.latest)
-               .select(F.count_if(F.col("heatwave")).alias("n")).scalar())
+    # flagged chosen keys per day, then the count of the newest day (taken over
+    # all keys): one aggregation pass over daily
+    pred = lookups.key_predicate(cities, t.latest)
+    hot = F.col("heatwave") if pred is None else (F.col("heatwave") & pred)
+    flagged = (t.daily.groupBy("day").agg(F.count_if(hot).alias("n"))
+               .select(F.max_by("n", "day")).scalar())
     return lat.select(
         F.count(F.lit(1)).alias("live_keys"),
         F.min_by("city", F.when(temp.isNotNull(), F.struct(-temp, F.col("city"))))
