@@ -122,3 +122,12 @@ def test_api_payload_flatten(spark):
     assert len(typed) == 1
     r = typed[0]
     assert (r.city, r.temperature_c, r.humidity_pct, r.condition) == ("Delhi", 30.5, 40.0, "Cloudy")
+
+
+def test_json_edge_shapes(spark):
+    vals = ['{"city":"A","city":"B","event_time":"2026-06-25T12:30","temperature_c":1}',
+            '  {"city":"W","event_time":"2026-06-25T12:30","temperature_c":2}\n',
+            '{"city":"N","event_time":"2026-06-25T12:30","temperature_c":{"v":3}}',
+            '{"city":"X","event_time":"2026-06-25T12:30","temperature_c":4,"extra":[1]}']
+    got = {r.city: r.temperature_c for r in _typed(spark, vals).collect()}
+    assert got == {"B": 1.0, "W": 2.0, "N": None, "X": 4.0}
