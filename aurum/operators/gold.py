@@ -50,6 +50,27 @@ def build_daily(silver: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     return out.withColumn("heatwave", F.col("max_temp") > F.lit(cfg.heatwave_threshold))
 
 
+def build_hourly_daily(silver: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+    """Hourly and daily stats in one pass: GROUPING SETS ((city, day, hour),
+    (city, day)) reads silver once and shuffles partial aggregates once.  Rows
+    carry ``_gid`` (0 = hourly, 1 = daily); split them with ``split_hourly_daily``.
+    Persist the result when both halves are used (it is gold-sized)."""
+    df = silver.select(
+        "city", times.day_bucket(F.col("event_time"), cfg.tz).alias("day"),
+        times.hour_bucket(F.col("event_time"), cfg.tz).alias("hour_start"), "temperature_c")
+    return (df.groupingSets([["city", "day", "hour_start"], ["city", "day"]],
+                            "city", "day", "hour_start")
+              .agg(*stats_agg("temperature_c", cfg), F.grouping_id().alias("_gid")))
+
+
+def split_hourly_daily(both: DataFrame, cfg: Config = DEFAULT) -> tuple[DataFrame, DataFrame]:
+    stats = list(STAT_NAMES)
+    hourly = both.where(F.col("_gid") == 0).select("city", "hour_start", *stats, "day")
+    daily = (both.where(F.col("_gid") == 1).select("city", *stats, "day")
+             .withColumn("heatwave", F.col("max_temp") > F.lit(cfg.heatwave_threshold)))
+    return hourly, daily
+
+
 def latest_by(df: DataFrame, keys: list[str], order: list[Column],
               cols: list[str] | None = None) -> DataFrame:
     """First row per key under ``order`` (row_number = 1 -> partial

@@ -63,35 +63,44 @@ def refresh_gold(lake: MedallionStore, batch_silver: DataFrame, days: list | Non
     small = summary["rows"] <= cfg.broadcast_touched_rows   # pairs <= rows: a proven bound
     sub = lake.silver_for_keys(touched, touched_days, broadcast=small)
     sub = sub.persist(StorageLevel.MEMORY_AND_DISK)
+    both = gold.build_hourly_daily(sub, cfg).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         latest = gold.with_latest_bucket(gold.build_latest(sub), cfg)
         merge.merge_keyed(lake.spark, lake.path("latest"), latest, ["city"], "bucket",
                           "replace_if_newer", lake.schema("latest"), time_col="event_time",
                           values=summary["buckets"])
-        merge.merge_keyed(lake.spark, lake.path("hourly"), gold.build_hourly(sub, cfg),
+        hourly, daily = gold.split_hourly_daily(both, cfg)
+        merge.merge_keyed(lake.spark, lake.path("hourly"), hourly,
                           ["city", "hour_start"], "day", "replace", lake.schema("hourly"),
                           values=touched_days)
-        merge.merge_keyed(lake.spark, lake.path("daily"), gold.build_daily(sub, cfg),
+        merge.merge_keyed(lake.spark, lake.path("daily"), daily,
                           ["city", "day"], "day", "replace", lake.schema("daily"),
                           values=touched_days)
     finally:
+        both.unpersist()
         sub.unpersist()
     return len(touched_days)
 
 
 def rebuild_gold(lake: MedallionStore) -> None:
     """Recompute all gold tables from silver and overwrite them (repair
-    path; must equal the incremental result)."""
+    path; must equal the incremental result).  Silver is read twice: once for
+    latest per key, once for hourly + daily together (grouping sets)."""
     cfg = lake.cfg
     s = lake.read("silver")
-    outputs = {
-        "latest": gold.with_latest_bucket(gold.build_latest(s), cfg),
-        "hourly": gold.build_hourly(s, cfg),
-        "daily": gold.build_daily(s, cfg),
-    }
-    for name, df in outputs.items():
-        cols = [f.name for f in lake.schema(name).fields]
-        part = lake.partition_col(name)
-        (df.select(*cols).hint("rebalance", part).write.mode("overwrite")
-           .option("partitionOverwriteMode", "static").partitionBy(part)
-           .parquet(lake.path(name)))
+    both = gold.build_hourly_daily(s, cfg).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        hourly, daily = gold.split_hourly_daily(both, cfg)
+        outputs = {
+            "latest": gold.with_latest_bucket(gold.build_latest(s), cfg),
+            "hourly": hourly,
+            "daily": daily,
+        }
+        for name, df in outputs.items():
+            cols = [f.name for f in lake.schema(name).fields]
+            part = lake.partition_col(name)
+            (df.select(*cols).hint("rebalance", part).write.mode("overwrite")
+               .option("partitionOverwriteMode", "static").partitionBy(part)
+               .parquet(lake.path(name)))
+    finally:
+        both.unpersist()

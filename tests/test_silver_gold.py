@@ -170,3 +170,15 @@ def test_hot_key_matches_brute_force(spark):
     got = {(r.city, r.day.isoformat()): (r.avg_temp, r.max_temp, r.min_temp, r.readings)
            for r in t.daily.collect()}
     assert got == want
+
+
+def test_grouping_sets_equal_separate_rollups(spark):
+    from conftest import SF001
+
+    from aurum.plans.tables import silver_from_events
+    s = silver_from_events(spark, SF001)
+    hourly, daily = gold.split_hourly_daily(gold.build_hourly_daily(s))
+    for a, b in ((hourly, gold.build_hourly(s)), (daily, gold.build_daily(s))):
+        cols = b.columns
+        assert sorted(map(tuple, a.select(*cols).collect())) == \
+            sorted(map(tuple, b.select(*cols).collect()))
