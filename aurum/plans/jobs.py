@@ -201,11 +201,10 @@ def _landing_stream(spark, landing: str, files_per_part: int = 2):
                     F.lit(None).cast("bigint").alias("src_offset")))
 
 
-@register("stream_medallion", _wb("SELECT * FROM daily"))
-def q_stream_medallion(spark, sf_dir):
-    """X1 + T2 + T4 + X7: landing-directory stream, foreachBatch medallion,
-    availableNow; the first day range is delivered twice."""
-    root = session.fresh_dir(spark, "stream")
+def run_stream_medallion(spark, sf_dir, name: str = "stream"):
+    """Land the events as messages, drain the one-query medallion with
+    availableNow; returns (store, finished query)."""
+    root = session.fresh_dir(spark, name)
     landing = f"{root}/landing"
     files = _land_batches(spark, sf_dir, landing)
     lake = MedallionStore(spark, f"{root}/lake", DEFAULT)
@@ -214,6 +213,14 @@ def q_stream_medallion(spark, sf_dir):
     q.awaitTermination()
     if q.exception():
         raise q.exception()
+    return lake, q
+
+
+@register("stream_medallion", _wb("SELECT * FROM daily"))
+def q_stream_medallion(spark, sf_dir):
+    """X1 + T2 + T4 + X7: landing-directory stream, foreachBatch medallion,
+    availableNow; the first day range is delivered twice."""
+    lake, _ = run_stream_medallion(spark, sf_dir)
     return lake.read("daily").select("city", "day", "avg_temp", "max_temp", "min_temp",
                                      "readings", "heatwave")
 
@@ -225,15 +232,7 @@ SELECT false AS is_malformed,
 FROM events""")
 def q_stream_bronze_counts(spark, sf_dir):
     """T2 + A10: bronze keeps every delivered message (re-deliveries too)."""
-    root = session.fresh_dir(spark, "stream-bronze")
-    landing = f"{root}/landing"
-    files = _land_batches(spark, sf_dir, landing)
-    lake = MedallionStore(spark, f"{root}/lake", DEFAULT)
-    q = medallion.start_medallion(_landing_stream(spark, landing, files), lake,
-                                  f"{root}/checkpoint")
-    q.awaitTermination()
-    if q.exception():
-        raise q.exception()
+    lake, _ = run_stream_medallion(spark, sf_dir, "stream-bronze")
     return (lake.read("bronze").groupBy("is_malformed")
             .agg(F.count(F.lit(1)).alias("messages")))
 
