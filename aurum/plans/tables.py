@@ -1,5 +1,5 @@
 """A bundle of the four serving tables, built lazily from silver or read from
-stored table-store paths."""
+a stored ``MedallionStore``."""
 
 from __future__ import annotations
 
