@@ -13,6 +13,7 @@ from dataclasses import dataclass
 class Config:
     # Zone used for day partitions, hour buckets and naive input times.
     tz: str = "UTC"
+    # --- fixed values (the gate bounds and thresholds of the original rules) ---
     # Validity gate, all bounds inclusive; wind has only a lower bound.
     temp_min: float = -60.0
     temp_max: float = 60.0
@@ -23,6 +24,7 @@ class Config:
     heatwave_threshold: float = 40.0
     # Alert list: latest temperature strictly above this value.
     alert_threshold: float = 40.0
+    # --- end of fixed values ---
     # Decimal digits kept by the exact-sum mean (inputs with more are rounded).
     mean_scale: int = 4
     # Digits of the rounded mean stored in gold.
