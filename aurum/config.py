@@ -33,10 +33,10 @@ class Config:
     latest_buckets: int = 16
     # Warn when one micro-batch touches more day partitions than this.
     max_touched_days_warn: int = 31
-    # Broadcast a batch's touched (key, day) pairs when the batch has at most
-    # this many rows (the pair count is bounded by the row count); larger
-    # batches use a shuffled join planned by AQE.
-    broadcast_touched_rows: int = 2_000_000
+    # Broadcast a batch's keys (touched pairs, update keys) when the bound
+    # derived from the batch row count is at most this many rows (about 50 MB
+    # of keys); larger batches use shuffled joins planned by AQE.
+    broadcast_touched_rows: int = 1_000_000
 
 
 DEFAULT = Config()

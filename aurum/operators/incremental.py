@@ -32,12 +32,15 @@ def batch_summary(batch_silver: DataFrame, cfg) -> dict:
     return {"rows": int(r["rows"]), "days": sorted(r["days"]), "buckets": sorted(r["buckets"])}
 
 
-def write_silver(lake: MedallionStore, silver_batch: DataFrame, days: list | None = None) -> int:
+def write_silver(lake: MedallionStore, silver_batch: DataFrame, days: list | None = None,
+                 rows: int | None = None) -> int:
     """Insert-if-absent on (city, event_time); first write wins across
-    batches (the batch itself is already keep-last de-duplicated)."""
+    batches (the batch itself is already keep-last de-duplicated).  ``rows``
+    (the batch row count, when known) allows broadcasting the batch keys."""
+    small = rows is not None and rows <= lake.cfg.broadcast_touched_rows
     return merge.merge_keyed(lake.spark, lake.path("silver"), silver_batch,
                              ["city", "event_time"], "day", "ignore", lake.schema("silver"),
-                             values=days)
+                             values=days, small_updates=small)
 
 
 def refresh_gold(lake: MedallionStore, batch_silver: DataFrame, days: list | None = None,
@@ -65,17 +68,20 @@ def refresh_gold(lake: MedallionStore, batch_silver: DataFrame, days: list | Non
     sub = sub.persist(StorageLevel.MEMORY_AND_DISK)
     both = gold.build_hourly_daily(sub, cfg).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        # proven bounds: latest rows <= touched keys <= batch rows, daily rows =
+        # touched pairs <= batch rows, hourly rows <= 24 x touched pairs
         latest = gold.with_latest_bucket(gold.build_latest(sub), cfg)
         merge.merge_keyed(lake.spark, lake.path("latest"), latest, ["city"], "bucket",
                           "replace_if_newer", lake.schema("latest"), time_col="event_time",
-                          values=summary["buckets"])
+                          values=summary["buckets"], small_updates=small)
         hourly, daily = gold.split_hourly_daily(both, cfg)
         merge.merge_keyed(lake.spark, lake.path("hourly"), hourly,
                           ["city", "hour_start"], "day", "replace", lake.schema("hourly"),
-                          values=touched_days)
+                          values=touched_days,
+                          small_updates=24 * summary["rows"] <= cfg.broadcast_touched_rows)
         merge.merge_keyed(lake.spark, lake.path("daily"), daily,
                           ["city", "day"], "day", "replace", lake.schema("daily"),
-                          values=touched_days)
+                          values=touched_days, small_updates=small)
     finally:
         both.unpersist()
         sub.unpersist()

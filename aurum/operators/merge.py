@@ -58,29 +58,47 @@ def newer_only(updates: DataFrame, current: DataFrame, keys: list[str],
     return joined.where(F.coalesce(keep, F.lit(False))).drop("_cur_t", "_hit")
 
 
+def merge_plan(spark: SparkSession, path: str, updates: DataFrame, keys: list[str],
+               partition_col: str, mode: str, schema: StructType, values: list,
+               time_col: str | None = None, small_updates: bool = False) -> DataFrame:
+    """The rows to write for a merge (appended for ``ignore``, overwriting
+    the touched partitions otherwise), as a lazy DataFrame."""
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}")
+    updates = updates.select(*[f.name for f in schema.fields])
+    current = read_partitions(spark, path, schema, partition_col, values)
+    upd_keys = F.broadcast(updates.select(*keys)) if small_updates else updates.select(*keys)
+    # stored rows whose key is in the batch (the only ones a join can match)
+    matched = current.join(upd_keys, keys, "left_semi") if small_updates else current
+    if mode == "ignore":
+        return updates.join(matched.select(*keys), keys, "left_anti")
+    if mode == "replace_if_newer":
+        if time_col is None:
+            raise ValueError("replace_if_newer needs time_col")
+        updates = newer_only(updates, matched, keys, time_col)
+        upd_keys = F.broadcast(updates.select(*keys)) if small_updates else updates.select(*keys)
+    return current.join(upd_keys, keys, "left_anti").unionByName(updates)
+
+
 def merge_keyed(spark: SparkSession, path: str, updates: DataFrame, keys: list[str],
                 partition_col: str, mode: str, schema: StructType,
-                time_col: str | None = None, values: list | None = None) -> int:
+                time_col: str | None = None, values: list | None = None,
+                small_updates: bool = False) -> int:
     """Merge ``updates`` into the table at ``path``; returns the number of
     touched partitions (0 = nothing written).  ``values``, when the caller
-    already knows them, are the partition values the updates touch."""
+    already knows them, are the partition values the updates touch.
+
+    ``small_updates`` is for callers that have bounded the update count: the
+    update keys are then broadcast and the target partitions are matched by
+    a hash lookup where they are scanned, instead of being shuffled for the
+    join (which AQE could only undo after the shuffle has run)."""
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
-    cols = [f.name for f in schema.fields]
-    updates = updates.select(*cols)
     if values is None:
         values = touched_values(updates, partition_col)
     if not values:
         return 0
-    current = read_partitions(spark, path, schema, partition_col, values)
-    if mode == "ignore":
-        new = updates.join(current.select(*keys), keys, "left_anti")
-        write_partitioned(new, path, partition_col, "append")
-        return len(values)
-    if mode == "replace_if_newer":
-        if time_col is None:
-            raise ValueError("replace_if_newer needs time_col")
-        updates = newer_only(updates, current, keys, time_col)
-    merged = current.join(updates.select(*keys), keys, "left_anti").unionByName(updates)
-    write_partitioned(merged, path, partition_col, "overwrite")
+    rows = merge_plan(spark, path, updates, keys, partition_col, mode, schema, values,
+                      time_col, small_updates)
+    write_partitioned(rows, path, partition_col, "append" if mode == "ignore" else "overwrite")
     return len(values)

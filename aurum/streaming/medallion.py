@@ -80,7 +80,7 @@ def process_batch(lake: MedallionStore, batch: DataFrame, batch_id: int,
             summary = incremental.batch_summary(sb, lake.cfg)
             row["silver_rows"] = summary["rows"]
             if summary["rows"]:
-                incremental.write_silver(lake, sb, summary["days"])
+                incremental.write_silver(lake, sb, summary["days"], summary["rows"])
                 if gold_days is None:
                     row["touched_days"] = incremental.refresh_gold(lake, sb, None, summary)
                 else:

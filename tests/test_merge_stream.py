@@ -269,3 +269,20 @@ def test_property_incremental_equals_rebuild_any_day_split(spark):
 
     run()
     typed.unpersist()
+
+
+def test_small_updates_do_not_shuffle_the_target(spark):
+    lake = _lake(spark, "noshuffle")
+    big = _silver(spark, [msg(f"k{i}", event_time=f"2026-06-25T{i % 24:02d}:00")
+                          for i in range(200)])
+    incremental.write_silver(lake, big)
+    upd = _silver(spark, [msg("k1", event_time="2026-06-25T01:00", t=99.0)])
+    for mode in ("ignore", "replace"):
+        df = merge.merge_plan(spark, lake.path("silver"), upd, ["city", "event_time"], "day",
+                              mode, lake.schema("silver"), [dt.date(2026, 6, 25)],
+                              small_updates=True)
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan, mode
+        # the target scan feeds broadcast joins only: no sort-merge join anywhere
+        assert "SortMergeJoin" not in plan, mode
