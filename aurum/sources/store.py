@@ -31,6 +31,18 @@ SPECS = {
 }
 
 
+# --- fixed values: the warehouse's schema-qualified table names -------------
+SQL_NAMES = {
+    "bronze": "bronze.raw_messages",
+    "silver": "silver.weather_readings",
+    "latest": "gold.city_latest",
+    "hourly": "gold.hourly_stats",
+    "daily": "gold.daily_stats",
+    "runlog": "ops.run_log",
+}
+# ------------------------------------------------------------------------------
+
+
 def _is_missing_path(exc: AnalysisException) -> bool:
     cond = exc.getCondition() if hasattr(exc, "getCondition") else exc.getErrorClass()
     return cond == "PATH_NOT_FOUND"
@@ -105,17 +117,28 @@ class MedallionStore:
                 dropped.append(n[4:])
         return sorted(dropped)
 
-    def register_catalog(self, database: str = "weather") -> None:
-        """Expose the tables as external catalog tables for SQL users."""
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    def register_catalog(self, database: str = "weather", names: dict | None = None) -> None:
+        """Expose the tables as external catalog tables for SQL users, as
+        ``database.<table>`` or, with ``names``, under qualified names of
+        their own (see ``SQL_NAMES``)."""
         for name, (schema, part) in SPECS.items():
+            qualified = (names or {}).get(name, f"{database}.{name}")
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {qualified.split('.')[0]}")
             cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
             parted = f" PARTITIONED BY ({part})" if part else ""
             self.spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {database}.{name} ({cols}) USING parquet"
+                f"CREATE TABLE IF NOT EXISTS {qualified} ({cols}) USING parquet"
                 f"{parted} LOCATION '{self.path(name)}'")
             if part:
-                self.spark.sql(f"ALTER TABLE {database}.{name} RECOVER PARTITIONS")
+                self.spark.sql(f"ALTER TABLE {qualified} RECOVER PARTITIONS")
+
+    def refresh_catalog(self, names: dict | None = None, database: str = "weather") -> None:
+        """Pick up partitions written since registration."""
+        for name, (_, part) in SPECS.items():
+            qualified = (names or {}).get(name, f"{database}.{name}")
+            if part:
+                self.spark.sql(f"ALTER TABLE {qualified} RECOVER PARTITIONS")
+            self.spark.catalog.refreshTable(qualified)
 
 
 def add_column_if_missing(spark: SparkSession, table: str, column: str, sql_type: str,

@@ -286,3 +286,23 @@ def test_small_updates_do_not_shuffle_the_target(spark):
         assert "BroadcastHashJoin" in plan, mode
         # the target scan feeds broadcast joins only: no sort-merge join anywhere
         assert "SortMergeJoin" not in plan, mode
+
+
+def test_warehouse_sql_names(spark):
+    from aurum.sources.store import SQL_NAMES
+    lake = _lake(spark, "sqlnames")
+    sb = _silver(spark, [msg("Delhi", t=41.2), msg("Mumbai", t=31.0),
+                         msg("Delhi", event_time="2026-06-24T10:00", t=35.0)])
+    incremental.write_silver(lake, sb)
+    incremental.refresh_gold(lake, sb)
+    lake.register_catalog(names=SQL_NAMES)
+    lake.refresh_catalog(SQL_NAMES)
+    assert [r.city for r in spark.sql("SELECT * FROM gold.city_latest ORDER BY city").collect()] \
+        == ["Delhi", "Mumbai"]
+    hot = spark.sql("SELECT * FROM gold.daily_stats WHERE heatwave").collect()
+    assert [(r.city, r.max_temp) for r in hot] == [("Delhi", 41.2)]
+    newest = spark.sql("SELECT day AS partition, * FROM silver.weather_readings "
+                       "ORDER BY event_time DESC LIMIT 20").collect()
+    assert len(newest) == 3 and newest[0].partition == dt.date(2026, 6, 25)
+    for db in ("bronze", "silver", "gold", "ops"):
+        spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
