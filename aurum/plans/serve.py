@@ -153,3 +153,20 @@ def newest_readings(t: Tables, n: int = 20) -> DataFrame:
             "wind_speed_kmh", "weather_code", "condition"]
     return (t.silver.select(*cols)
             .orderBy(F.col("event_time").desc(), F.col("city")).limit(int(n)))
+
+
+def register_views(t: Tables, prefix: str = "v_") -> list[str]:
+    """Expose the serving queries with default parameters as temporary views
+    (``v_city_latest``, ``v_kpi_row``, ...) for SQL users; the recent-window
+    views are relative to the current time."""
+    views = {
+        "city_latest": city_latest(t), "daily_stats": daily_stats(t),
+        "hourly_stats": hourly_stats(t), "recent_readings": recent_readings(t),
+        "latest_full": latest_full(t), "alerts": alerts(t), "kpi_row": kpi_row(t),
+        "ranked_cards": ranked_cards(t), "trend": trend(t),
+        "daily_flag_labels": daily_flag_labels(t), "heatwave_days": heatwave_days(t),
+        "newest_readings": newest_readings(t),
+    }
+    for name, df in views.items():
+        df.createOrReplaceTempView(prefix + name)
+    return sorted(prefix + n for n in views)

@@ -158,3 +158,11 @@ def test_touched_key_scan_prunes_days_and_fixed_dims_broadcast(spark):
     pts = serve.map_points(t, lookups.city_dim(spark), fixed_size=True)
     pts.collect()
     assert "BroadcastHashJoin" in _plan(pts)
+
+
+def test_serving_views_for_sql(spark):
+    t = _tables(spark, WEATHER)
+    names = serve.register_views(t)
+    assert "v_kpi_row" in names and "v_city_latest" in names
+    assert spark.sql("SELECT hottest_city FROM v_kpi_row").first()[0] == "Delhi"
+    assert spark.sql("SELECT count(*) FROM v_heatwave_days").first()[0] == 1
