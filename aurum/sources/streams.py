@@ -25,10 +25,16 @@ def kafka_options(bootstrap: str, topic: str) -> dict[str, str]:
     }
 
 
-def read_kafka(spark: SparkSession, bootstrap: str, topic: str) -> DataFrame:
-    """Streaming Kafka source -> (value STRING, source, src_offset)."""
+def read_kafka(spark: SparkSession, bootstrap: str, topic: str,
+               max_offsets_per_trigger: int | None = None) -> DataFrame:
+    """Streaming Kafka source -> (value STRING, source, src_offset).
+    ``max_offsets_per_trigger`` bounds the micro-batch size (each batch is
+    persisted once while it feeds bronze, silver and gold)."""
+    opts = kafka_options(bootstrap, topic)
+    if max_offsets_per_trigger:
+        opts["maxOffsetsPerTrigger"] = str(int(max_offsets_per_trigger))
     try:
-        raw = spark.readStream.format("kafka").options(**kafka_options(bootstrap, topic)).load()
+        raw = spark.readStream.format("kafka").options(**opts).load()
     except Exception as exc:  # the connector is an optional jar
         raise RuntimeError("Kafka source unavailable: add the spark-sql-kafka "
                            "connector to the session") from exc
