@@ -180,9 +180,13 @@ def test_three_tier_streams(spark):
     assert spark.read.parquet(lake.path(medallion.BRONZE_LOG)).count() == 3
 
 
-def test_kafka_options_only():
+def test_kafka_options_only(spark):
+    import pytest
     opts = streams.kafka_options("broker:9092", "readings")
     assert opts["startingOffsets"] == "earliest" and opts["failOnDataLoss"] == "false"
+    # no connector jar in this environment: a clear error, not a stack of JVM frames
+    with pytest.raises(RuntimeError, match="Kafka source unavailable"):
+        streams.read_kafka(spark, "broker:9092", "readings", max_offsets_per_trigger=1000)
 
 
 def test_catalog_tables_and_add_column_default(spark):
