@@ -310,3 +310,16 @@ def test_warehouse_sql_names(spark):
     assert len(newest) == 3 and newest[0].partition == dt.date(2026, 6, 25)
     for db in ("bronze", "silver", "gold", "ops"):
         spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
+
+
+def test_processing_time_trigger_cadence(spark):
+    root = session.fresh_dir(spark, "cadence")
+    lake = MedallionStore(spark, f"{root}/lake")
+    _land(spark, root, [[msg("A", t=10.0)], [msg("B", t=20.0)]])
+    q = medallion.start_medallion(_landing(spark, root), lake, f"{root}/cp",
+                                  trigger={"processingTime": "1 second"})
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert _rows(lake.read("latest"), ["city", "temperature_c"]) == [("A", 10.0), ("B", 20.0)]
