@@ -117,6 +117,21 @@ class MedallionStore:
                 dropped.append(n[4:])
         return sorted(dropped)
 
+    def compact(self, name: str, values: list) -> int:
+        """Rewrite the given partitions (e.g. yesterday's silver day) into
+        AQE-sized files; rows are unchanged.  Streaming appends leave at least
+        one file per micro-batch and touched partition, so this runs outside
+        the stream.  A gold stream that follows silver sees the rewritten
+        files as new input and recomputes the same buckets (the refresh is
+        idempotent), so compact closed days, not the current one."""
+        from ..operators.merge import read_partitions, write_partitioned
+        part = self.partition_col(name)
+        if not part or not values:
+            return 0
+        rows = read_partitions(self.spark, self.path(name), self.schema(name), part, values)
+        write_partitioned(rows, self.path(name), part, "overwrite")
+        return len(values)
+
     def register_catalog(self, database: str = "weather", names: dict | None = None) -> None:
         """Expose the tables as external catalog tables for SQL users, as
         ``database.<table>`` or, with ``names``, under qualified names of
