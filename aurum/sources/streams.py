@@ -47,9 +47,9 @@ def read_kafka(spark: SparkSession, bootstrap: str, topic: str,
 
 def read_landing(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
                  glob: str | None = None) -> DataFrame:
-    """R2: streaming text source over a landing directory (one message per
-    line) -> (value, source, src_offset=null)."""
-    r = spark.readStream.format("text")
+    """R2: streaming text source over a landing directory and its sub-folders
+    (one message per line) -> (value, source, src_offset=null)."""
+    r = spark.readStream.format("text").option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if glob:
@@ -61,7 +61,7 @@ def read_landing(spark: SparkSession, path: str, max_files_per_trigger: int | No
 
 def read_landing_batch(spark: SparkSession, path: str) -> DataFrame:
     """Batch read of a landing directory (backfills)."""
-    df = spark.read.format("text").load(path)
+    df = spark.read.format("text").option("recursiveFileLookup", "true").load(path)
     return df.select(F.col("value"), F.col("_metadata.file_path").alias("source"),
                      F.lit(None).cast("bigint").alias("src_offset"))
 

@@ -337,3 +337,18 @@ def test_compaction_keeps_rows_and_merges_files(spark):
     assert lake.compact("silver", [dt.date(2026, 6, 25)]) == 1
     assert _rows(lake.read("silver"), ["city", "event_time", "temperature_c"]) == rows
     assert before >= 4 and len(glob.glob(f"{day_dir}/*.parquet")) < before
+
+
+def test_cli_stream_show_rebuild(spark, capsys):
+    from aurum import cli
+    root = session.fresh_dir(spark, "cli")
+    _land(spark, root, [[msg("A", t=41.0), msg("B", t=20.0)]])
+    store = f"{root}/lake"
+    cli.main(["stream", "--store", store, "--checkpoint", f"{root}/cp",
+              "--landing", f"{root}/landing", "--available-now"], spark)
+    df = cli.main(["show", "kpi_row", "--store", store], spark)
+    assert df.first().hottest_city == "A"
+    assert "hottest_city" in capsys.readouterr().out
+    cli.main(["rebuild", "--store", store], spark)
+    assert MedallionStore(spark, store).read("daily").count() == 2
+    assert cli.main(["retention", "--store", store, "--before", "2000-01-01"], spark) == []
