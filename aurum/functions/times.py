@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 # refused, because a plain cast would turn "12:30" into today and "2026" into
 # January 1st.
 _ISO_SHAPE = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}.*)?$"
-_ZONE_SUFFIX = r"[T ].*(Z|[+-]\d{2}:?\d{2})$"
-_NO_SECONDS_WITH_ZONE = r"^(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2})(Z|[+-]\d{2}:?\d{2})$"
+_ZONE_SUFFIX = r"[T ].*(Z|[+-]\d{2}(:?\d{2})?)$"
+_NO_SECONDS_WITH_ZONE = r"^(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2})(Z|[+-]\d{2}(:?\d{2})?)$"
 
 
 def parse_event_time(s: Column, tz: str = "UTC") -> Column:

@@ -87,6 +87,8 @@ def test_numeric_coercion(spark):
     ("2026-06-25T12:30", dt.datetime(2026, 6, 25, 12, 30)),
     ("2026-06-25T12:31:00+05:30", dt.datetime(2026, 6, 25, 7, 1)),
     ("2026-06-25T12:30Z", dt.datetime(2026, 6, 25, 12, 30)),      # e10b
+    ("2026-06-25T12:30:00+05", dt.datetime(2026, 6, 25, 7, 30)),
+    ("2026-06-25T12:30-0530", dt.datetime(2026, 6, 25, 18, 0)),
     ("2026-06-25 12:30:15", dt.datetime(2026, 6, 25, 12, 30, 15)),
     ("2026-06-25", dt.datetime(2026, 6, 25)),
     ("12:30", None), ("2026", None), ("bad", None), (None, None),  # e10
@@ -98,9 +100,10 @@ def test_event_time_parse(spark, text, expected):
 
 
 def test_naive_time_in_business_zone(spark):
-    df = spark.createDataFrame([("2026-06-25T12:30",)], "s string")
-    got = df.select(times.to_ntz(times.parse_event_time(F.col("s"), "Asia/Kolkata"))).first()[0]
-    assert got == dt.datetime(2026, 6, 25, 7, 0)
+    df = spark.createDataFrame([("2026-06-25T12:30",), ("2026-06-25T12:30:00+05",)], "s string")
+    got = [r[0] for r in df.select(
+        times.to_ntz(times.parse_event_time(F.col("s"), "Asia/Kolkata"))).collect()]
+    assert got == [dt.datetime(2026, 6, 25, 7, 0), dt.datetime(2026, 6, 25, 7, 30)]
 
 
 def test_rows_without_key_dropped(spark):
