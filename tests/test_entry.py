@@ -11,7 +11,7 @@ from conftest import SF001
 
 import __spark_entry__ as E
 
-READ_ONLY = [n for n in E.queries() if n not in {
+READ_ONLY = [n for n in E.registry.QUERIES if n not in {
     "insert_if_absent", "upsert_replace", "upsert_if_newer", "incremental_gold",
     "incremental_latest_hourly", "stream_medallion", "stream_bronze_counts", "stream_tiers",
     "rebuild_gold", "retention"}]
@@ -25,7 +25,7 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(E.registry.QUERIES) == set(E.registry.ORACLES)
 
 
 @pytest.fixture(scope="module")
