@@ -81,3 +81,10 @@ def ranked(df: DataFrame, key: Column, bucket: Column, order: list[Column],
                   & F.col("_bucket").eqNullSafe(F.col("_b")))
             .withColumn(rank, F.col("_first") + F.col("_row"))
             .drop("_key", "_bucket", "_k", "_b", "_first", "_row"))
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once per row, also where the body
+    uses it inside a lambda (a plain column could be inlined there and be
+    computed again for each element)."""
+    return F.transform(F.array(value), body)[0]

@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import fresh_dir, prepare, scratch_root
-from . import packing, repair
-from .common import read_table, ship
+from . import blocknames, packing, quality, repair, secret_spans
+from .common import read_table, ship, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -34,6 +34,35 @@ def op1_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.documents(repair.read(spark, path))
 
 
+@query
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pattern and entropy spans of all documents."""
+    return secret_spans.digest(secret_spans.find(read_table(spark, sf_dir, "documents")))
+
+
+@query
+def op5_blocknames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Identity classes of all documents."""
+    return blocknames.duplicates(read_table(spark, sf_dir, "documents")).drop("rid")
+
+
+ORACLES["op5_blocknames"] = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(t) AS text_sha256
+FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)
+WINDOW same AS (PARTITION BY t)"""
+
+
+@query
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules and divergence from the language for all documents."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    m = stage(quality.measured(docs).drop("text"), "measures")
+    return quality.judged(m).select(
+        "doc_id", *[f"_measures.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines",
+                                               "n_repeat_words", "base_failed", "kept")])
+
+
 @query
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pack all documents into sequences of at most 1024 ids."""
