@@ -7,9 +7,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import fresh_dir, prepare, scratch_root
-from . import blocknames, packing, quality, repair, secret_spans
+from . import blocknames, packing, quality, repair, secret_spans, simhash
 from .common import read_table, ship, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +41,14 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_spans.digest(secret_spans.find(read_table(spark, sf_dir, "documents")))
 
 
+@query
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints and components of all documents."""
+    found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), 3, 3)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+                        "component_id")
+
+
 @query
 def op5_blocknames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Identity classes of all documents."""
