@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_dir, prepare, scratch_root
-from . import blocknames, packing, quality, repair, secret_spans, simhash
+from . import blocknames, packing, phrases, quality, repair, secret_spans, simhash
 from .common import read_table, ship, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,6 +72,28 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                "n_repeat_words", "base_failed", "kept")])
 
 
+@query
+def op8_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Remove passages that a document with a smaller id has as well."""
+    return phrases.without_repeats(read_table(spark, sf_dir, "documents")).drop("kept_text")
+
+
+ORACLES["op8_phrases"] = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+                  list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+           FROM documents),
+win AS (SELECT r, doc_id, i, array_to_string(w[i:i + 12], ' ') AS g
+        FROM d, unnest(range(1, len(w) - 11)) AS t(i)),
+first AS (SELECT g, min(doc_id) AS m FROM win GROUP BY g),
+bad AS (SELECT DISTINCT r, i + k AS p
+        FROM win JOIN first USING (g), unnest(range(0, 13)) AS u(k) WHERE m < doc_id),
+gone AS (SELECT r, list(p) AS ps FROM bad GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(len(ps), 0) AS n_removed,
+       sha256(array_to_string(CASE WHEN ps IS NULL THEN w ELSE
+         list_transform(list_filter(range(1, len(w) + 1), lambda p: NOT list_contains(ps, p)), lambda p: w[p]) END, ' ')) AS kept_sha256
+FROM d LEFT JOIN gone USING (r)"""
+
+
 @query
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pack all documents into sequences of at most 1024 ids."""
