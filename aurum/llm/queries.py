@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_dir, prepare, scratch_root
-from . import blocknames, packing, phrases, quality, repair, secret_spans, simhash
+from . import blocknames, packing, pfair, phrases, quality, repair, secret_spans, simhash
 from .common import read_table, ship, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,6 +94,52 @@ SELECT doc_id, len(w) AS n_words, coalesce(len(ps), 0) AS n_removed,
 FROM d LEFT JOIN gone USING (r)"""
 
 
+#: Target shares of the sources, in blocks per round; all others share the rest.
+SHARES = {"src0": 5, "src1": 3, "src2": 3, "src3": 2, "src4": 2}
+REST_SHARE = 9
+BLOCK_DOCS = 8
+
+
+@query
+def op9_pfair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of every document in the mixture."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source")
+    return pfair.mixed(docs, SHARES, REST_SHARE, BLOCK_DOCS).select("doc_id", "source", "_mix.*")
+
+
+_SHARE_ROWS = ", ".join(f"('{s}', {n})" for s, n in {**SHARES, pfair.REST: REST_SHARE}.items())
+ORACLES["op9_pfair"] = f"""
+WITH RECURSIVE shares(pool, share) AS (VALUES {_SHARE_ROWS}),
+d AS (SELECT doc_id, source, coalesce(pool, '{pfair.REST}') AS pool
+      FROM documents LEFT JOIN shares ON source = pool),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY pool ORDER BY doc_id % {pfair.BUCKETS}, doc_id) - 1 AS rank
+             FROM d),
+pools AS (SELECT pool, share, ceil(count(*) / {BLOCK_DOCS}::DOUBLE)::BIGINT AS blocks,
+                 row_number() OVER (ORDER BY pool) AS i
+          FROM d JOIN shares USING (pool) GROUP BY pool, share),
+p AS (SELECT list(pool ORDER BY i) AS pool, list(share ORDER BY i) AS share, list(blocks ORDER BY i) AS blocks
+      FROM pools),
+run AS (  -- one row a slot: the round, the slot in it, blocks placed in it by each pool
+  SELECT 0::BIGINT AS slot, 0::BIGINT AS round, 0::BIGINT AS t,
+         list_transform(pool, lambda x: 0::BIGINT) AS done, NULL::BIGINT AS pk, NULL::BIGINT AS k FROM p
+  UNION ALL
+  SELECT slot + 1, if(full_round, round + 1, round), if(full_round, 0, t + 1),
+         if(full_round, list_transform(done, lambda x: 0::BIGINT),
+            list_transform(done, lambda x, j: if(j = pick, x + 1, x))), pick, round * share[pick] + done[pick]
+  FROM (
+    SELECT *, t + 1 = total AS full_round,
+      list_min(list_filter(list_transform(a, lambda x, j: if(done[j] < x AND (done[j] * total) // x <= t,
+        {{'due': ((done[j] + 1) * total + x - 1) // x, 'j': j}}, NULL)), lambda x: x IS NOT NULL))['j'] AS pick
+    FROM (SELECT *, list_sum(a)::BIGINT AS total
+          FROM (SELECT run.slot, round, t, done, share, blocks,
+                  list_transform(blocks, lambda b, j: greatest(0, least(share[j], b - round * share[j]))) AS a
+                FROM run, p))
+    WHERE total > 0)),
+placed AS (SELECT pool[pk] AS pool, k AS block, slot - 1 AS slot FROM run, p WHERE pk IS NOT NULL)
+SELECT doc_id, source, pool, block, slot, (rank % {BLOCK_DOCS})::BIGINT AS in_block
+FROM (SELECT *, rank // {BLOCK_DOCS} AS block FROM numbered) JOIN placed USING (pool, block)"""
+
+
 @query
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pack all documents into sequences of at most 1024 ids."""
