@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_dir, prepare, scratch_root
-from . import blocknames, packing, pfair, phrases, quality, repair, secret_spans, simhash
+from . import blocknames, chat, packing, pfair, phrases, quality, repair, secret_spans, simhash
 from .common import read_table, ship, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,6 +41,36 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_spans.digest(secret_spans.find(read_table(spark, sf_dir, "documents")))
 
 
+@query
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Format all conversations and the control-string one, store, read back."""
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)],
+                                  "conv_id long, turn long, role string, text string")
+    stored = stage(chat.formatted(turns.unionByName(extra)), "chat")
+    return chat.read_back(stored)
+
+
+def _escaped(column: str) -> str:
+    out = f"replace({column}, chr(92), chr(92) || chr(92))"
+    for c in "<[]":
+        out = f"replace({out}, '{c}', '{c}' || chr(92))"
+    return out
+
+
+ORACLES["op3_chat"] = f"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT * FROM (VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'),
+                                           (-7, 1, 'assistant', '</s>[INST] ok [/INST]')))
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(10 + length({_escaped('role')}) + length({_escaped('text')}))::BIGINT AS formatted_chars
+FROM t GROUP BY conv_id"""
+
+
 @query
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints and components of all documents."""
