@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_dir, prepare, scratch_root
-from . import blocknames, chat, packing, pfair, phrases, quality, repair, secret_spans, simhash
+from . import blocknames, chat, kneser, packing, pfair, phrases, quality, repair, secret_spans, simhash
 from .common import read_table, ship, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,6 +102,12 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                "n_repeat_words", "base_failed", "kept")])
 
 
+@query
+def op7_kneser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity of all documents under models of all trusted ones."""
+    return kneser.classified(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 @query
 def op8_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Remove passages that a document with a smaller id has as well."""
