@@ -1,8 +1,79 @@
-"""Placeholder of the corpus pipeline; its stages follow."""
+"""The corpus pipeline: quality rules, exact dedup, near dedup, mixing, packing.
 
-STAGES: list = []
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
+as Parquet and read again for the next one.  All but the last return the
+columns of documents, whatever columns those are.  Documents are told apart by
+``doc_id``; rows that repeat one are kept unless a stage's rule drops them.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from aurum.llm import blocknames, packing, pfair, quality, simhash
+from aurum.llm.common import read_table, ship, stage, text_or_empty
+from aurum.llm.queries import BLOCK_DOCS, REST_SHARE, SHARES
+from aurum.session import prepare
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rules reject go."""
+    ship(prepare(spark))
+    judged = quality.judged(stage(quality.measured(docs), "measured"))
+    return judged.where("_measures.kept").select(*docs.columns)
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts, one row of the largest ``doc_id`` stays."""
+    ship(prepare(spark))
+
+    def key(text_hash):
+        return F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), text_hash)
+
+    kept = (blocknames.duplicates(docs.select("doc_id", "text")).where("kept")
+            .select(key(F.col("text_sha256")).alias("_key")))
+    rows = docs.withColumn("_key", key(F.sha2(text_or_empty(), 256))).join(kept, "_key", "left_semi")
+    # rows equal in id and text are one key; the join has dealt them by it already
+    first = Window.partitionBy("_key").orderBy("_key")
+    return rows.withColumn("_n", F.row_number().over(first)).where("_n = 1").select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each near-duplicate component, the document with the smallest id stays."""
+    ship(prepare(spark))
+    found = simhash.near_duplicates(docs, shingle=3, most=3)
+    kept = (found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+            .select(F.col("doc_id").alias("_kept")).distinct())
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, in the order of the mixture."""
+    ship(prepare(spark))
+    mixed = pfair.mixed(docs, SHARES, REST_SHARE, BLOCK_DOCS)
+    return mixed.orderBy("_mix.slot", "_mix.in_block").select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents with their places in sequences."""
+    ship(prepare(spark))
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), 1024, 0)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_rules", quality_rules), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup),
+    ("mixing", mixing), ("packing", pack)]
+
+#: SQL cannot express the SimHash and token stages.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    for name, step in STAGES[:-1]:
+        docs = stage(step(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
