@@ -92,14 +92,15 @@ def mixed(docs: DataFrame, shares: dict[str, int], rest: int, block_docs: int =
     # a row per pool: as many as the mixture lists
     pools = (docs.select(pool.alias("pool")).groupBy("pool").agg(F.count(F.lit(1)).alias("n"))
              .select("pool", share[F.col("pool")].alias("share"), F.ceil(F.col("n") / block_docs).alias("blocks")))
-    plan = stage(schedule(pools), "schedule").alias("plan")  # (2 pools + 1) rounds at most
+    plan = stage(schedule(pools), "schedule")  # (2 pools + 1) rounds at most
+    plan = plan.select(*[F.col(c).alias(f"_plan_{c}") for c in plan.columns])
     share_of = share[F.col("_pool")]
     blocks = (numbered.withColumn("_block", F.expr(f"_rank div {block_docs}"))
               .withColumn("_round", F.floor(F.col("_block") / share_of))
               .withColumn("_k", F.pmod("_block", share_of)))
-    met = blocks.join(F.broadcast(plan), (F.col("_pool") == F.col("plan.pool")) & (F.col("_k") == F.col("plan.k"))
-                      & (F.col("_round") >= F.col("plan.first_round")) & (F.col("_round") < F.col("plan.end_round")))
-    slot = F.col("plan.base") + (F.col("_round") - F.col("plan.first_round")) * F.col("plan.slots") + F.col("plan.slot")
+    met = blocks.join(F.broadcast(plan), (F.col("_pool") == F.col("_plan_pool")) & (F.col("_k") == F.col("_plan_k"))
+                      & (F.col("_round") >= F.col("_plan_first_round")) & (F.col("_round") < F.col("_plan_end_round")))
+    slot = F.col("_plan_base") + (F.col("_round") - F.col("_plan_first_round")) * F.col("_plan_slots") + F.col("_plan_slot")
     return met.select(*[F.col(c) for c in docs.columns], F.struct(
         F.col("_pool").alias("pool"), F.col("_block").alias("block"), slot.alias("slot"),
         F.expr(f"_rank % {block_docs}").alias("in_block")).alias("_mix"))

@@ -157,7 +157,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int,
 
         size = 0
         for batch in batches:
-            for a, b in tokens.slices(batch.column(1), 3_000_000):
+            for a, b in tokens.slices(batch.column(1), min(3_000_000, 6 * shard_tokens)):
                 ids, n = enc.encode(batch.column(1).slice(a, b - a))
                 ends = np.cumsum(n)
                 held.append(np.insert(ids, ends, end_id))  # the end id after each document

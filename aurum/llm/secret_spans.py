@@ -45,6 +45,8 @@ WINDOW = 20
 ALLOW = (r"^[^0-9]*$", r"^[0-9]+$", r"^[a-z]+([_/-][a-z0-9]+)+$",
          r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
          r"(?i)example|placeholder|xxxx|0123456789|abcdefgh", r"^/?([A-Za-z_][A-Za-z0-9_]*/){2,}")
+#: Hexadecimal strings are judged by their own class only.
+ALLOW_OF = {"text_entropy": (*ALLOW, r"^[0-9A-Fa-f]+$")}
 
 
 def _spans(text: Column, pattern: str, kind: str, fits=None) -> Column:
@@ -107,7 +109,7 @@ def _secret(kind: str):
 
     def fits(piece: Column) -> Column:
         allowed = F.lit(False)
-        for pattern in ALLOW:
+        for pattern in ALLOW_OF.get(kind, ALLOW):
             allowed = allowed | piece.rlike(pattern)
         return F.when(allowed, F.lit(False)).otherwise(best_entropy(piece, alphabet) >= least)
 

@@ -1,0 +1,116 @@
+"""The registered queries against DuckDB and brute force, and the pipeline."""
+
+from __future__ import annotations
+
+import zlib
+from collections import Counter, defaultdict
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pytest
+from helpers import SCHEMA, components, edge_docs, fingerprint
+from tokenizers import Tokenizer
+
+import __spark_entry__ as E
+import corpus_pipeline
+from aurum.llm import queries
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for t in ("documents", "conversations", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    return con
+
+
+def test_all_ten_are_registered():
+    assert {f"op{n}_" for n in range(1, 11)} == {q.split("_")[0] + "_" for q in queries.QUERIES}
+    assert set(queries.QUERIES) | {"pipeline"} <= set(E.queries())
+
+
+@pytest.mark.parametrize("name", list(queries.ORACLES))
+def test_query_matches_duckdb(spark, duck, name):
+    df = E.queries()[name](spark, SF)
+    res = duck.execute(queries.ORACLES[name])
+    columns = [d[0] for d in res.description]
+    assert sorted(columns) == sorted(df.columns)
+    assert Counter(map(str, res.fetchall())) == Counter(str(tuple(r[c] for c in columns)) for r in df.collect())
+
+
+def _documents(duck):
+    return duck.execute("SELECT doc_id, text, lang FROM documents ORDER BY doc_id").fetchall()
+
+
+def test_op1(spark, duck):
+    t, start, want = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")), 0, []
+    for d, text, _ in _documents(duck):
+        ids = t.encode(text or "", add_special_tokens=False).ids + [2]
+        want.append((d, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    got = E.queries()["op1_repair"](spark, SF).select("doc_id", "start", "n_tokens", "ids_crc32").collect()
+    assert sorted(map(tuple, got)) == want
+
+
+def test_op4(spark, duck):
+    docs = _documents(duck)
+    fps = [fingerprint(t) for _, t, _ in docs]
+    want = list(zip([d[0] for d in docs], [f"{f:016x}" for f in fps], components([d[0] for d in docs], fps)))
+    assert sorted(map(tuple, E.queries()["op4_simhash"](spark, SF).collect())) == want
+
+
+def _edge_pipeline(docs):
+    """The filtering stages on documents with distinct ids, by plain code."""
+    last = {}
+    for d, t, *_ in docs:
+        last[t] = max(last.get(t, d), d)
+    docs = [d for d in docs if last[d[1]] == d[0]]
+    fps = [fingerprint(d[1]) for d in docs]
+    return [d for d, c in zip(docs, components([d[0] for d in docs], fps)) if d[0] == c]
+
+
+def test_pipeline(spark, duck, tmp_path):
+    base = [(d, t, lang, f"src{d % 7}", len(t)) for d, t, lang in _documents(duck)]
+    extra = [(1000 + i, base[5][1], "en", "src0", 1) for i in range(20)]
+    extra += [(1100 + i, base[6][1] + f" tail{i}", "en", "src0", 1) for i in range(5)]
+    docs = spark.createDataFrame(base + extra, SCHEMA)
+    columns = docs.columns
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    seen, frame = {}, spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, step in corpus_pipeline.STAGES:
+        frame = step(spark, frame, str(tmp_path))
+        if name != "packing":
+            assert frame.columns == columns
+            frame.write.parquet(f"{tmp_path}/{name}")
+            frame = spark.read.parquet(f"{tmp_path}/{name}")
+            seen[name] = [tuple(r) for r in frame.collect()]
+    verdict = {r["doc_id"]: r["kept"] for r in
+               E.queries()["op6_quality"](spark, str(tmp_path)).select("doc_id", "kept").collect()}
+    assert sorted(r[0] for r in seen["quality_rules"]) == sorted(d for d, k in verdict.items() if k)
+    assert sorted(r[0] for r in seen["near_dedup"]) == sorted(
+        d[0] for d in _edge_pipeline(seen["quality_rules"]))
+    assert sorted(seen["mixing"]) == sorted(seen["near_dedup"])
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    packed = defaultdict(int)
+    for r in frame.collect():
+        packed[r["doc_id"]] += r["length"]
+    assert packed == {d[0]: len(t.encode(d[1], add_special_tokens=False).ids) + 1 for d in seen["mixing"]}
+    whole = corpus_pipeline.run(spark, str(tmp_path))
+    assert whole.count() == frame.count()
+
+
+def test_pipeline_edge_rows(spark, edge, tmp_path):
+    """Nulls, repeated ids and rows, and further columns go through all stages."""
+    spark.createDataFrame(edge_docs(), SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
+    spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/none/documents.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+    frame = edge
+    for _, step in corpus_pipeline.STAGES[:-1]:
+        frame = step(spark, frame, str(tmp_path))
+        assert frame.columns == edge.columns
+    for step in (corpus_pipeline.exact_dedup, corpus_pipeline.near_dedup, corpus_pipeline.mixing):
+        assert step(spark, edge, "").where("doc_id = 14").count() == 2
