@@ -26,7 +26,9 @@ class Config:
     alert_threshold: float = 40.0
     # --- end of fixed values ---
     # Decimal digits kept by the exact-sum mean (inputs with more are rounded).
-    mean_scale: int = 4
+    # Six are beyond any sensor, and sums stay exact as doubles far past the
+    # bucket sizes here; the mean is then stored with ``round_digits``.
+    mean_scale: int = 6
     # Digits of the rounded mean stored in gold.
     round_digits: int = 2
     # Hash buckets of the latest-per-key table (dynamic overwrite unit).

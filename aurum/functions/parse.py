@@ -70,10 +70,16 @@ def parse_messages(df: DataFrame, value_col: str = "value", cfg: Config = DEFAUL
 def flatten_api_payload(df: DataFrame, key_col: str = "city", payload_col: str = "payload",
                         fetched_col: str = "fetched_at") -> DataFrame:
     """Landed API response rows (key, payload JSON, fetch time) -> flat message
-    JSON in ``value`` (R7).  A payload without ``current.time`` is dropped; the
-    measures are optional."""
-    p = F.from_json(F.col(payload_col), API_PAYLOAD_SCHEMA)
-    cur = p.getField("current")
+    JSON in ``value`` (R7).  A payload without ``current.time`` or that is not one
+    JSON object is dropped, as for messages; the measures are optional."""
+    others = [c for c in df.columns if c not in (key_col, payload_col, fetched_col)]
+    raw = F.col(payload_col)
+    options = {"mode": "PERMISSIVE", "allowSingleQuotes": JSON_OPTIONS["allowSingleQuotes"]}
+    parsed = F.when(raw.rlike(_OBJECT_SHAPE), F.from_json(raw, API_PAYLOAD_SCHEMA, options))
+    # behind a one-element explode the payload is parsed once (see decode_json)
+    rows = df.select(*others, key_col, fetched_col,
+                     F.explode(F.array(F.struct(parsed.alias("p")))).alias("_d"))
+    cur = F.col("_d.p.current")
     msg = F.struct(
         F.col(key_col).alias("city"),
         cur.getField("time").alias("event_time"),
@@ -83,10 +89,8 @@ def flatten_api_payload(df: DataFrame, key_col: str = "city", payload_col: str =
         cur.getField("weather_code").alias("weather_code"),
         F.col(fetched_col).alias("fetched_at"),
     )
-    others = [c for c in df.columns if c not in (key_col, payload_col, fetched_col)]
-    return (df.withColumn("_m", msg)
-              .where(F.col("_m.event_time").isNotNull())
-              .select(*others, F.to_json("_m").alias("value")))
+    return (rows.where(cur.getField("time").isNotNull())
+            .select(*others, F.to_json(msg).alias("value")))
 
 
 def to_message_json(df: DataFrame, cols: list[str] | None = None) -> Column:

@@ -30,12 +30,6 @@ def parse_event_time(s: Column, tz: str = "UTC") -> Column:
             .otherwise(naive))
 
 
-def wall_clock_to_instant(ts_ntz: Column, tz: str = "UTC") -> Column:
-    """TIMESTAMP_NTZ wall clock in ``tz`` -> TIMESTAMP instant."""
-    ts = ts_ntz.cast("timestamp")  # session clock is UTC
-    return F.to_utc_timestamp(ts, tz) if tz.upper() != "UTC" else ts
-
-
 def local_time(ts: Column, tz: str = "UTC") -> Column:
     return F.from_utc_timestamp(ts, tz) if tz.upper() != "UTC" else ts
 
@@ -48,8 +42,12 @@ def day_bucket(ts: Column, tz: str = "UTC") -> Column:
 def hour_bucket(ts: Column, tz: str = "UTC") -> Column:
     """Start of the hour of an instant in ``tz`` (TIMESTAMP instant).  With a
     half-hour zone the bucket starts on the UTC half hour."""
-    start = F.date_trunc("hour", local_time(ts, tz))
-    return F.to_utc_timestamp(start, tz) if tz.upper() != "UTC" else start
+    if tz.upper() == "UTC":
+        return F.date_trunc("hour", ts)
+    # step back on the instant itself: a wall-clock hour that occurs twice
+    # (clocks set back) stays two buckets
+    into = F.pmod(F.unix_micros(local_time(ts, tz)), F.lit(3_600_000_000))
+    return F.timestamp_micros(F.unix_micros(ts) - into)
 
 
 def to_ntz(ts: Column) -> Column:

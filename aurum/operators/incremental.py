@@ -12,8 +12,8 @@ from __future__ import annotations
 import logging
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel, inheritable_thread_target
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..operators import gold, merge
@@ -34,14 +34,24 @@ def batch_summary(batch_silver: DataFrame, cfg) -> dict:
 
 
 def write_silver(lake: MedallionStore, silver_batch: DataFrame, days: list | None = None,
-                 rows: int | None = None) -> int:
+                 rows: int | None = None, observation: Observation | None = None) -> int:
     """Insert-if-absent on (city, event_time); first write wins across
     batches (the batch itself is already keep-last de-duplicated).  ``rows``
-    (the batch row count, when known) allows broadcasting the batch keys."""
+    (the batch row count, when known) allows broadcasting the batch keys;
+    ``observation`` collects the number of rows inserted (``written``)."""
     small = rows is not None and rows <= lake.cfg.broadcast_touched_rows
+    lake.layout()
+    kept_from = lake.silver_from()
+    if kept_from is not None:  # rows of days that retention has dropped
+        late = silver_batch.where(F.col("day") < F.lit(kept_from).cast("date"))
+        if not late.isEmpty():
+            merge.write_partitioned(late.select(*lake.schema("late").names), lake.path("late"),
+                                    "day", "append")
+        silver_batch = silver_batch.where(F.col("day") >= F.lit(kept_from).cast("date"))
+        days = None if days is None else [d for d in days if str(d) >= kept_from]
     return merge.merge_keyed(lake.spark, lake.path("silver"), silver_batch,
                              ["city", "event_time"], "day", "ignore", lake.schema("silver"),
-                             values=days, small_updates=small)
+                             values=days, small_updates=small, observation=observation)
 
 
 def refresh_gold(lake: MedallionStore, batch_silver: DataFrame, days: list | None = None,
@@ -52,6 +62,12 @@ def refresh_gold(lake: MedallionStore, batch_silver: DataFrame, days: list | Non
     ``summary`` (from ``batch_summary``) saves a job when already known.
     Returns the number of touched days."""
     cfg = lake.cfg
+    lake.layout()
+    kept_from = lake.silver_from()
+    if kept_from is not None:  # older gold cannot be recomputed any more
+        batch_silver = batch_silver.where(F.col("day") >= F.lit(kept_from).cast("date"))
+        if summary is not None:
+            summary = {**summary, "days": [d for d in summary["days"] if str(d) >= kept_from]}
     if days is not None:
         batch_silver = batch_silver.where(F.col("day").isin(days))
         summary = None
@@ -89,7 +105,8 @@ def refresh_gold(lake: MedallionStore, batch_silver: DataFrame, days: list | Non
         # three independent tables from the same persisted inputs: submit the
         # jobs together so small batches do not pay three job latencies in a row
         with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
-            for f in [pool.submit(j) for j in jobs]:
+            # inherit the stream's job group, so that stopping it cancels them
+            for f in [pool.submit(inheritable_thread_target(j)) for j in jobs]:
                 f.result()
     finally:
         both.unpersist()

@@ -25,11 +25,6 @@ def city_dim(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "city string, lat double, lon double")
 
 
-def code_dim(spark: SparkSession) -> DataFrame:
-    rows = [(code, label) for label, codes in rules.CODE_LABELS for code in codes]
-    return spark.createDataFrame(rows, "code int, condition string")
-
-
 def with_emoji(df: DataFrame, spark: SparkSession, col: str = "condition") -> DataFrame:
     """Left lookup with a default."""
     dim = F.broadcast(emoji_dim(spark).withColumnRenamed("condition", "_cond"))
@@ -47,13 +42,14 @@ def lookup_inner(df: DataFrame, dim: DataFrame, on: str | list[str],
 
 def key_predicate(keys: Iterable[str] | None, known: DataFrame, col: str = "city"):
     """F4 as a predicate (None = all keys): the chosen keys; keys unknown to
-    ``known`` are ignored, and a choice with no known key means all keys.  No
-    data reaches the driver: the 'none known' test is a scalar subquery."""
+    ``known`` are ignored, and a choice with no known key means all keys.
+    Whether any is known is one bounded check (at most one row) when the query
+    is built; the filter itself is then a plain IN list, which is pushed to the
+    scan."""
     chosen = [k for k in (keys or [])]
-    if not chosen:
+    if not chosen or known.where(F.col(col).isin(chosen)).isEmpty():
         return None
-    none_known = known.where(F.col(col).isin(chosen)).select(F.count(F.lit(1))).scalar() == 0
-    return F.col(col).isin(chosen) | none_known
+    return F.col(col).isin(chosen)
 
 
 def key_filter(df: DataFrame, keys: Iterable[str] | None, known: DataFrame | None = None,
@@ -72,8 +68,3 @@ def key_equals(df: DataFrame, key: str | Column, col: str = "city") -> DataFrame
 def semi_match(df: DataFrame, keys_df: DataFrame, on: list[str]) -> DataFrame:
     """Rows whose key pair occurs in ``keys_df`` (exact pairs)."""
     return df.join(keys_df.select(*on).distinct(), on, "left_semi")
-
-
-def anti_match(df: DataFrame, keys_df: DataFrame, on: list[str]) -> DataFrame:
-    """Rows whose key does not occur in ``keys_df``."""
-    return df.join(keys_df.select(*on), on, "left_anti")

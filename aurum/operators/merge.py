@@ -18,10 +18,13 @@ a batch leaves the table unchanged.  ``updates`` must be unique on ``keys``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..session import path_exists
+
 MODES = ("ignore", "replace", "replace_if_newer")
 
 
@@ -44,9 +47,13 @@ def write_partitioned(df: DataFrame, path: str, partition_col: str, mode: str) -
 
 def read_partitions(spark: SparkSession, path: str, schema: StructType,
                     partition_col: str, values: list) -> DataFrame:
-    """Target rows of the given partitions only (pruned at the scan)."""
-    return (spark.read.schema(schema).parquet(path)
-            .where(F.col(partition_col).isin(values)))
+    """Target rows of the given partitions only.  Their folders are read by
+    path, so the listing does not grow with the number of stored partitions."""
+    folders = [f"{path}/{partition_col}={v}" for v in values]
+    present = [f for f in folders if path_exists(spark, f)]
+    if not present:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*present)
 
 
 def newer_only(updates: DataFrame, current: DataFrame, keys: list[str],
@@ -83,7 +90,7 @@ def merge_plan(spark: SparkSession, path: str, updates: DataFrame, keys: list[st
 def merge_keyed(spark: SparkSession, path: str, updates: DataFrame, keys: list[str],
                 partition_col: str, mode: str, schema: StructType,
                 time_col: str | None = None, values: list | None = None,
-                small_updates: bool = False) -> int:
+                small_updates: bool = False, observation: Observation | None = None) -> int:
     """Merge ``updates`` into the table at ``path``; returns the number of
     touched partitions (0 = nothing written).  ``values``, when the caller
     already knows them, are the partition values the updates touch.
@@ -94,11 +101,21 @@ def merge_keyed(spark: SparkSession, path: str, updates: DataFrame, keys: list[s
     join (which AQE could only undo after the shuffle has run)."""
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
-    if values is None:
-        values = touched_values(updates, partition_col)
-    if not values:
-        return 0
-    rows = merge_plan(spark, path, updates, keys, partition_col, mode, schema, values,
-                      time_col, small_updates)
-    write_partitioned(rows, path, partition_col, "append" if mode == "ignore" else "overwrite")
-    return len(values)
+    own = values is None
+    if own:  # several passes read the updates: evaluate them once
+        updates = updates.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if own:
+            values = touched_values(updates, partition_col)
+        if not values:
+            return 0
+        rows = merge_plan(spark, path, updates, keys, partition_col, mode, schema, values,
+                          time_col, small_updates)
+        if observation is not None:
+            rows = rows.observe(observation, F.count(F.lit(1)).alias("written"))
+        write_partitioned(rows, path, partition_col,
+                          "append" if mode == "ignore" else "overwrite")
+        return len(values)
+    finally:
+        if own:
+            updates.unpersist()

@@ -15,6 +15,7 @@ from ..config import DEFAULT, Config
 from ..functions import numbers, rules, times
 
 KEYS = ["city", "event_time"]
+VALUES = ("temperature_c", "humidity_pct", "wind_speed_kmh", "weather_code")
 
 
 def gate(typed: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
@@ -32,16 +33,18 @@ def rejects(typed: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     return typed.withColumn("reason", reason).where(F.col("reason").isNotNull())
 
 
-def dedup_order(has_offset: bool) -> list:
+def dedup_order(has_offset: bool, values: tuple[str, ...] = ()) -> list:
     """Total order of copies, best first: a missing fetch time wins (it sorts
     last in the original rule and the last copy is kept), then the latest
-    fetch instant, then its text, then the latest source position."""
+    fetch instant, then its text, then the latest source position, then the
+    values themselves, so that copies without a position resolve alike in every
+    run (landing files have none)."""
     order = [F.col("fetched_at").isNull().desc(),
              F.col("fetched_ts").desc_nulls_last(),
              F.col("fetched_at").desc_nulls_last()]
     if has_offset:
         order.append(F.col("src_offset").desc_nulls_last())
-    return order
+    return order + [F.col(c).desc_nulls_last() for c in values]
 
 
 def dedup_last(valid: DataFrame, keys: list[str] = KEYS) -> DataFrame:
@@ -51,7 +54,8 @@ def dedup_last(valid: DataFrame, keys: list[str] = KEYS) -> DataFrame:
         valid = valid.withColumn("fetched_at", F.lit(None).cast("string"))
     if "fetched_ts" not in valid.columns:
         valid = valid.withColumn("fetched_ts", F.lit(None).cast("timestamp"))
-    w = Window.partitionBy(*keys).orderBy(*dedup_order(has_offset))
+    values = tuple(c for c in VALUES if c in valid.columns)
+    w = Window.partitionBy(*keys).orderBy(*dedup_order(has_offset, values))
     return (valid.withColumn("_rn", F.row_number().over(w))
                  .where(F.col("_rn") == 1).drop("_rn"))
 

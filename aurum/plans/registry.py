@@ -257,13 +257,70 @@ def q_daily_flag_labels(spark, sf_dir):
     return serve.daily_flag_labels(_tables(spark, sf_dir))
 
 
-@register("hour_pivot", with_base("""
-SELECT * FROM (
-  PIVOT (SELECT city, strftime(hour_start, '%m-%d %H:00') AS hour, avg_temp FROM hourly)
-  ON hour USING avg(avg_temp) GROUP BY city)"""))
+# Every hour of the month that ``events`` spans: one list for both sides.
+HOUR_LABELS = [f"01-{d:02d} {h:02d}:00" for d in range(1, 32) for h in range(24)]
+_PIVOT_COLS = ", ".join(f"m['{x}'] AS \"{x}\"" for x in HOUR_LABELS)
+
+
+@register("hour_pivot", with_base(f"""
+, cells AS (
+  SELECT city, strftime(hour_start, '%m-%d %H:00') AS hour,
+         CAST(SUM(CAST(avg_temp AS DECIMAL(18,2))) AS DOUBLE) / COUNT(avg_temp) AS v
+  FROM hourly GROUP BY ALL),
+rows AS (SELECT city, MAP(list(hour ORDER BY hour), list(v ORDER BY hour)) AS m FROM cells GROUP BY city)
+SELECT city, {_PIVOT_COLS} FROM rows"""))
 def q_hour_pivot(spark, sf_dir):
-    """A7, P12 (V13): key x hour-label matrix."""
-    return serve.hour_pivot(_tables(spark, sf_dir))
+    """A7, P12 (V13): key x hour-label matrix; a label outside the list fails."""
+    return serve.hour_pivot(_tables(spark, sf_dir), labels=HOUR_LABELS)
+
+
+# ---------------------------------------------------------------- chosen keys
+# Keys a user might choose, one of them unknown; and a choice with no known key.
+CHOSEN = ["1", "2", "3", "5", "8", "13", "no such key"]
+UNKNOWN = ["no such key", "nor this"]
+
+
+def _in(keys: list[str]) -> str:
+    return "(" + ", ".join(f"'{k}'" for k in keys) + ")"
+
+
+def _chosen_sql(keys: list[str]) -> str:
+    return f"(city IN {_in(keys)} OR NOT EXISTS (SELECT 1 FROM latest WHERE city IN {_in(keys)}))"
+
+
+@register("alerts_chosen", with_base(f"""
+SELECT city, temperature_c, printf('%.0f', round_even(temperature_c, 0)) AS temp_label
+FROM latest WHERE temperature_c > 40.0 AND {_chosen_sql(UNKNOWN)}"""))
+def q_alerts_chosen(spark, sf_dir):
+    """F3 + F4: a choice with no known key means all keys."""
+    return serve.alerts(_tables(spark, sf_dir), cities=UNKNOWN)
+
+
+@register("trend_chosen", with_base(f"""
+SELECT city, event_time, temperature_c, humidity_pct, condition FROM silver
+WHERE event_time >= (SELECT max(event_time) FROM silver) - INTERVAL 240 HOUR
+  AND {_chosen_sql(CHOSEN)}"""))
+def q_trend_chosen(spark, sf_dir):
+    """F7 + F4 (V11): chosen keys, one unknown."""
+    t = _tables(spark, sf_dir)
+    return serve.trend(t, 240, CHOSEN, as_of=_max_event_time(t))
+
+
+@register("kpi_row_chosen", with_base(f"""
+, l AS (SELECT * FROM latest WHERE {_chosen_sql(CHOSEN)}),
+d AS (SELECT * FROM daily WHERE {_chosen_sql(CHOSEN)})
+SELECT (SELECT count(*) FROM l) AS live_keys,
+       (SELECT city FROM l WHERE temperature_c IS NOT NULL
+        ORDER BY temperature_c DESC, city LIMIT 1) AS hottest_city,
+       (SELECT max(temperature_c) FROM l) AS hottest_temp,
+       (SELECT city FROM l WHERE temperature_c IS NOT NULL
+        ORDER BY temperature_c ASC, city LIMIT 1) AS coolest_city,
+       (SELECT min(temperature_c) FROM l) AS coolest_temp,
+       (SELECT count(*) FILTER (WHERE heatwave) FROM d
+        WHERE day = (SELECT max(day) FROM daily)) AS heatwave_keys"""))
+def q_kpi_row_chosen(spark, sf_dir):
+    """A4-A6 + F4 (V7) for chosen keys."""
+    return serve.kpi_row(_tables(spark, sf_dir), CHOSEN)
 
 
 @register("newest_readings", with_base("""

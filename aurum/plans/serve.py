@@ -137,9 +137,18 @@ def hour_pivot(t: Tables, cities: Iterable[str] | None = None,
     h = lookups.key_filter(t.hourly, cities, t.latest)
     h = h.select("city", times.hour_label(F.col("hour_start"), t.cfg.tz).alias("hour"),
                  "avg_temp")
+    # the mean per cell first: the pivot then only places values
+    h = h.groupBy("city", "hour").agg(
+        numbers.exact_mean(F.col("avg_temp"), t.cfg.mean_scale).alias("avg_temp"))
     g = h.groupBy("city")
-    g = g.pivot("hour", sorted(labels)) if labels is not None else g.pivot("hour")
-    return g.agg(F.avg("avg_temp")).orderBy("city")
+    if labels is None:
+        g = g.pivot("hour")
+    else:
+        outside = h.where(~F.col("hour").isin(list(labels))).select("hour").first()
+        if outside:
+            raise ValueError(f"hour label {outside[0]} is not in the given list")
+        g = g.pivot("hour", sorted(labels))
+    return g.agg(F.max("avg_temp")).orderBy("city")  # one value per cell by now
 
 
 def heatwave_days(t: Tables) -> DataFrame:

@@ -9,6 +9,7 @@ below it.  Only when it is unset (tests, local runs) do we create one.
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import SparkSession
@@ -61,8 +62,53 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a folder; none if it does not exist."""
+    fs, p = _fs(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def read_small(spark: SparkSession, path: str) -> str | None:
+    """A small text file as a string; None if it does not exist."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_small(spark: SparkSession, path: str, text: str) -> None:
+    """Replace a small text file: written beside it, then renamed."""
+    fs, p = _fs(spark, path)
+    beside = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
+    stream = fs.create(beside, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    fs.delete(p, False)
+    if not fs.rename(beside, p):
+        raise OSError(f"could not write {path}")
+
+
+def set_age(spark: SparkSession, folder: str, days: int) -> None:
+    """Date the files below a folder back, as a copy that keeps old dates does."""
+    fs, p = _fs(spark, folder)
+    then = int((time.time() - days * 86_400) * 1000)
+    for s in fs.listStatus(p):
+        if s.isFile():
+            fs.setTimes(s.getPath(), then, -1)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check on any Hadoop file system (local, HDFS, object store)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    fs, p = _fs(spark, path)
+    return fs.exists(p)

@@ -8,16 +8,21 @@ Tables live below one root on a shared file system:
     latest/   one row per key, partitioned by ``bucket`` (hash of the key)
     hourly/   (key, hour) stats, partitioned by ``day``
     daily/    (key, day) stats, partitioned by ``day``
-    runlog/   one row per processed micro-batch
+    runlog/   rows per processed micro-batch (``run_log`` gives the last one of each)
+    late/     rows of days that retention has dropped, partitioned by ``day``
+    _layout   bucket count and zone the tables were written with, retention day
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import schemas
+from .. import schemas, session
 from ..config import DEFAULT, Config
 
 SPECS = {
@@ -27,6 +32,7 @@ SPECS = {
     "latest": (schemas.LATEST_SCHEMA, "bucket"),
     "hourly": (schemas.HOURLY_SCHEMA, "day"),
     "daily": (schemas.DAILY_SCHEMA, "day"),
+    "late": (schemas.SILVER_SCHEMA, "day"),
     "runlog": (schemas.RUN_LOG_SCHEMA, None),
 }
 
@@ -38,6 +44,7 @@ SQL_NAMES = {
     "latest": "gold.city_latest",
     "hourly": "gold.hourly_stats",
     "daily": "gold.daily_stats",
+    "late": "silver.late_readings",
     "runlog": "ops.run_log",
 }
 # ------------------------------------------------------------------------------
@@ -53,6 +60,8 @@ class MedallionStore:
         self.spark = spark
         self.root = root.rstrip("/")
         self.cfg = cfg
+        session.prepare(spark)  # parsing and buckets need the clock pinned to UTC
+        self._layout: dict | None = None
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -63,8 +72,58 @@ class MedallionStore:
     def partition_col(self, name: str):
         return SPECS[name][1]
 
+    # ------------------------------------------------------------- layout
+    def _write_layout(self, layout: dict) -> None:
+        session.write_small(self.spark, f"{self.root}/_layout", json.dumps(layout))
+        self._layout = layout
+
+    def layout(self) -> dict:
+        """Bucket count, zone and retention day of the stored tables.  The first
+        use fixes the first two; a configuration that differs later is refused,
+        because stored rows would sit in buckets or days the new one does not
+        visit (see ``rebucket``)."""
+        if self._layout is None:
+            text = session.read_small(self.spark, f"{self.root}/_layout")
+            if text is None:
+                self._write_layout({"latest_buckets": self.cfg.latest_buckets, "tz": self.cfg.tz,
+                                    "silver_from": None})
+            else:
+                self._layout = json.loads(text)
+        for key in ("latest_buckets", "tz"):
+            if self._layout[key] != getattr(self.cfg, key):
+                raise ValueError(f"{self.root} was written with {key}={self._layout[key]!r}, not "
+                                 f"{getattr(self.cfg, key)!r}")
+        return self._layout
+
+    def rebucket(self) -> None:
+        """Rewrite ``latest`` for this configuration's bucket count and record
+        it.  Run it while no stream writes to the store."""
+        from ..operators import gold
+        text = session.read_small(self.spark, f"{self.root}/_layout")
+        layout = json.loads(text) if text else {"tz": self.cfg.tz, "silver_from": None}
+        old = self.read("latest").drop("bucket")
+        path = f"{self.root}/latest-{uuid.uuid4().hex[:8]}"  # beside, then read back
+        old.write.parquet(path)
+        new = gold.with_latest_bucket(self.spark.read.schema(old.schema).parquet(path), self.cfg)
+        (new.select(*self.schema("latest").names).write.mode("overwrite")
+         .option("partitionOverwriteMode", "static").partitionBy("bucket").parquet(self.path("latest")))
+        self._write_layout({**layout, "latest_buckets": self.cfg.latest_buckets})
+
+    def silver_from(self) -> str | None:
+        """The first day retention has kept, if it has dropped any.  Read from
+        the store each time: another job may have run retention."""
+        text = session.read_small(self.spark, f"{self.root}/_layout")
+        return json.loads(text).get("silver_from") if text else None
+
+    def run_log(self) -> DataFrame:
+        """A10: one row per batch, the last one logged (a replay logs again)."""
+        last = F.max(F.struct("logged_at", *[c for c in self.schema("runlog").names
+                                             if c not in ("logged_at", "batch_id")])).alias("r")
+        return self.read("runlog").groupBy("batch_id").agg(last).select("batch_id", "r.*")
+
     def ensure_tables(self) -> MedallionStore:
         """Create every table that does not exist yet (idempotent)."""
+        self.layout()
         for name, (schema, part) in SPECS.items():
             w = self.spark.createDataFrame([], schema).write.mode("ignore")
             if part:
@@ -88,9 +147,9 @@ class MedallionStore:
         """R4 + J3: every silver row of the touched (city, day) pairs; the day
         list, when given, prunes partitions at the scan.  ``broadcast`` only
         when the caller has bounded the number of pairs."""
-        s = self.read("silver")
-        if days is not None:
-            s = s.where(F.col("day").isin(days))
+        from ..operators.merge import read_partitions
+        s = (self.read("silver") if days is None else
+             read_partitions(self.spark, self.path("silver"), self.schema("silver"), "day", days))
         pairs = touched.select("city", "day").distinct()
         return s.join(F.broadcast(pairs) if broadcast else pairs, ["city", "day"], "left_semi")
 
@@ -101,21 +160,20 @@ class MedallionStore:
     def drop_days_before(self, name: str, day) -> list[str]:
         """Retention by partition; deletes whole ``day=`` directories
         older than ``day`` and returns them.  Only directory names are listed,
-        no data is read."""
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        root = jvm.org.apache.hadoop.fs.Path(self.path(name))
-        fs = root.getFileSystem(conf)
-        if not fs.exists(root):
-            return []
+        no data is read.  For silver the day is recorded in the store: rows of
+        older days that arrive later go to ``late`` and leave gold as it is,
+        since it could only be recomputed from them alone."""
         cutoff = str(day)
-        dropped = []
-        for st in fs.listStatus(root):
-            n = st.getPath().getName()
-            if st.isDirectory() and n.startswith("day=") and n[4:] < cutoff:
-                fs.delete(st.getPath(), True)
-                dropped.append(n[4:])
-        return sorted(dropped)
+        if name == "silver":  # recorded before anything goes
+            layout = {**self.layout(), "silver_from": self.silver_from()}
+            if layout["silver_from"] is None or layout["silver_from"] < cutoff:
+                self._write_layout({**layout, "silver_from": cutoff})
+        dropped = [n[4:] for n in session.child_names(self.spark, self.path(name))
+                   if n.startswith("day=") and n[4:] < cutoff]
+        for d in dropped:
+            fs, p = session._fs(self.spark, f"{self.path(name)}/day={d}")
+            fs.delete(p, True)
+        return dropped
 
     def compact(self, name: str, values: list) -> int:
         """Rewrite the given partitions (e.g. yesterday's silver day) into

@@ -14,23 +14,31 @@ from pyspark.sql import functions as F
 from ..functions import parse
 
 
-def kafka_options(bootstrap: str, topic: str) -> dict[str, str]:
+# A file stream ignores files older than ``maxFileAge`` before the newest one it
+# has seen, 7 days by default, without an error.  Lateness is unlimited here, so
+# the age is too (the source then remembers every file name it has read).
+FILE_STREAM_OPTIONS = {"maxFileAge": "36500d"}
+
+
+def kafka_options(bootstrap: str, topic: str, fail_on_data_loss: bool = False) -> dict[str, str]:
     """One topic, from the earliest offset on first start (later the
-    checkpoint decides), lost offsets tolerated."""
+    checkpoint decides).  By default lost offsets are tolerated, as a topic
+    with retention needs; ``fail_on_data_loss`` stops the query instead."""
     return {
         "kafka.bootstrap.servers": bootstrap,
         "subscribe": topic,
         "startingOffsets": "earliest",
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(bool(fail_on_data_loss)).lower(),
     }
 
 
 def read_kafka(spark: SparkSession, bootstrap: str, topic: str,
-               max_offsets_per_trigger: int | None = None) -> DataFrame:
+               max_offsets_per_trigger: int | None = 1_000_000,
+               fail_on_data_loss: bool = False) -> DataFrame:
     """Streaming Kafka source -> (value STRING, source, src_offset).
     ``max_offsets_per_trigger`` bounds the micro-batch size (each batch is
     persisted once while it feeds bronze, silver and gold)."""
-    opts = kafka_options(bootstrap, topic)
+    opts = kafka_options(bootstrap, topic, fail_on_data_loss)
     if max_offsets_per_trigger:
         opts["maxOffsetsPerTrigger"] = str(int(max_offsets_per_trigger))
     try:
@@ -49,7 +57,8 @@ def read_landing(spark: SparkSession, path: str, max_files_per_trigger: int | No
                  glob: str | None = None) -> DataFrame:
     """R2: streaming text source over a landing directory and its sub-folders
     (one message per line) -> (value, source, src_offset=null)."""
-    r = spark.readStream.format("text").option("recursiveFileLookup", "true")
+    r = (spark.readStream.format("text").options(**FILE_STREAM_OPTIONS)
+         .option("recursiveFileLookup", "true"))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if glob:

@@ -26,6 +26,7 @@ from ..functions import parse
 from ..operators import incremental, merge, silver
 from ..schemas import BRONZE_SCHEMA
 from ..sources.store import MedallionStore
+from ..sources.streams import FILE_STREAM_OPTIONS
 
 BRONZE_LOG = "bronze_log"  # bronze table of the three-query form (file sink)
 BRONZE_LOG_SCHEMA = StructType([f for f in BRONZE_SCHEMA.fields if f.name != "batch_id"])
@@ -71,7 +72,8 @@ def process_batch(lake: MedallionStore, batch: DataFrame, batch_id: int,
         write_bronze(lake, decoded, batch_id, obs)
         m = obs.get
         row = {"batch_id": int(batch_id), "messages_in": int(m.get("n") or 0),
-               "malformed": int(m.get("bad") or 0), "silver_rows": 0, "touched_days": 0}
+               "malformed": int(m.get("bad") or 0), "silver_rows": 0, "silver_inserted": 0,
+               "touched_days": 0}
         if row["messages_in"] == 0:  # empty batch, nothing else to write
             return row
         sb = silver.to_silver(parse.type_message(decoded, lake.cfg), lake.cfg)
@@ -80,7 +82,9 @@ def process_batch(lake: MedallionStore, batch: DataFrame, batch_id: int,
             summary = incremental.batch_summary(sb, lake.cfg)
             row["silver_rows"] = summary["rows"]
             if summary["rows"]:
-                incremental.write_silver(lake, sb, summary["days"], summary["rows"])
+                inserted = Observation(f"silver-{batch_id}")
+                if incremental.write_silver(lake, sb, summary["days"], summary["rows"], inserted):
+                    row["silver_inserted"] = int(inserted.get.get("written") or 0)
                 if gold_days is None:
                     row["touched_days"] = incremental.refresh_gold(lake, sb, None, summary)
                 else:
@@ -108,11 +112,13 @@ def _trigger(w, trigger: dict | None):
     return w.trigger(**(trigger or {"availableNow": True}))
 
 
-def check_pairing(spark: SparkSession, checkpoint: str, output: str) -> None:
-    """Refuse a new checkpoint on an output that already holds batches: batch
+def check_pairing(spark: SparkSession, checkpoint: str, output: str, sign: str) -> None:
+    """Refuse a new checkpoint on an output that already holds batches (any
+    entry that starts with ``sign``; the first batch may have been empty): batch
     ids restart at 0, so the bronze folders (or the file sink's log) of the
     old run would be overwritten or new input silently skipped."""
-    if session.path_exists(spark, output) and not session.path_exists(spark, checkpoint):
+    held = any(n.startswith(sign) for n in session.child_names(spark, output))
+    if held and not session.path_exists(spark, checkpoint):
         raise RuntimeError(f"{output} already holds data but checkpoint {checkpoint} is new; "
                            "reuse its checkpoint or write to a new table root")
 
@@ -120,7 +126,7 @@ def check_pairing(spark: SparkSession, checkpoint: str, output: str) -> None:
 def start_medallion(source: DataFrame, lake: MedallionStore, checkpoint: str,
                     trigger: dict | None = None, gold_days_fn=None):
     """X1 + T4: one streaming query with a fault-tolerant batch sink."""
-    check_pairing(lake.spark, checkpoint, f"{lake.path('bronze')}/batch_id=0")
+    check_pairing(lake.spark, checkpoint, lake.path("bronze"), "batch_id=")
     lake.ensure_tables()
 
     def run(df, bid):
@@ -133,7 +139,7 @@ def start_medallion(source: DataFrame, lake: MedallionStore, checkpoint: str,
 def start_bronze(source: DataFrame, lake: MedallionStore, checkpoint: str,
                  trigger: dict | None = None):
     """Tier 1: source -> bronze log (append-only Parquet file sink)."""
-    check_pairing(lake.spark, checkpoint, f"{lake.path(BRONZE_LOG)}/_spark_metadata")
+    check_pairing(lake.spark, checkpoint, lake.path(BRONZE_LOG), "_spark_metadata")
     w = (bronze_rows(source).writeStream.format("parquet")
          .option("path", lake.path(BRONZE_LOG)).option("checkpointLocation", checkpoint))
     return _trigger(w, trigger).start()
@@ -144,7 +150,7 @@ def start_silver(spark: SparkSession, lake: MedallionStore, checkpoint: str,
     """Tier 2 (X4): new bronze files -> silver, insert-if-absent.  The stream
     checkpoint replaces the reference's ``processed`` flag (T6, F10)."""
     lake.ensure_tables()
-    r = spark.readStream.schema(BRONZE_LOG_SCHEMA)
+    r = spark.readStream.schema(BRONZE_LOG_SCHEMA).options(**FILE_STREAM_OPTIONS)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     src = (r.parquet(lake.path(BRONZE_LOG)).where(~F.col("is_malformed"))
@@ -153,7 +159,9 @@ def start_silver(spark: SparkSession, lake: MedallionStore, checkpoint: str,
     def run(df, bid):
         sb = silver_of(df, lake).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            incremental.write_silver(lake, sb)
+            summary = incremental.batch_summary(sb, lake.cfg)
+            if summary["rows"]:
+                incremental.write_silver(lake, sb, summary["days"], summary["rows"])
         finally:
             sb.unpersist()
 
@@ -167,10 +175,15 @@ def start_gold(spark: SparkSession, lake: MedallionStore, checkpoint: str,
     ``gold_days_fn()`` may return a day list to refresh (e.g. today only);
     default: every touched day, so late rows reach gold too."""
     lake.ensure_tables()
-    src = spark.readStream.schema(lake.schema("silver")).parquet(lake.path("silver"))
+    src = (spark.readStream.schema(lake.schema("silver")).options(**FILE_STREAM_OPTIONS)
+           .parquet(lake.path("silver")))
 
     def run(df, bid):
-        incremental.refresh_gold(lake, df, gold_days_fn() if gold_days_fn else None)
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)  # read once for the summary and the pairs
+        try:
+            incremental.refresh_gold(lake, df, gold_days_fn() if gold_days_fn else None)
+        finally:
+            df.unpersist()
 
     w = src.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return _trigger(w, trigger).start()
