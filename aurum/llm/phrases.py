@@ -5,8 +5,8 @@ starts in a document with a smaller id.
 
 1. Confirm.  Each window has one anchor, the phrase of ``ANCHOR`` words in it
    with the smallest hash, so equal windows have equal anchors and neighbouring
-   windows mostly share one.  Anchors are counted over the corpus; those seen
-   twice or more set a bit in a filter of fixed size (``FILTER_BITS``), which
+   windows mostly share one.  The documents of each anchor are counted over the
+   corpus; anchors of two or more set a bit in a filter of fixed size (``FILTER_BITS``), which
    every task gets.  A bit set by chance costs time later, never a result.
 2. Deal.  The stretches of words over windows with a recurring anchor go to
    shards by anchor: all occurrences of a window meet in one shard, and the
@@ -104,7 +104,14 @@ def recurring(docs: DataFrame) -> Broadcast:
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _each(batches):
-            yield pa.record_batch([pa.array(Words(batch.column(0)).stretches()[2].view(np.int64))], names=["h"])
+            words = Words(batch.column(0))
+            start, _, h = words.stretches()
+            # once per document, so that the count is that of documents
+            row = np.searchsorted(words.first + words.n, start, "right")
+            order = np.lexsort((h, row))
+            h, row = h[order], row[order]
+            new = np.concatenate([[True], (h[1:] != h[:-1]) | (row[1:] != row[:-1])]) if len(h) else row
+            yield pa.record_batch([pa.array(h[new.astype(bool)].view(np.int64))], names=["h"])
 
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[int, np.ndarray] = {}
@@ -120,7 +127,7 @@ def recurring(docs: DataFrame) -> Broadcast:
 
     often = (docs.select("text").mapInArrow(anchors, "h long")
              .groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-             .select(F.shiftrightunsigned("h", 64 - FILTER_BITS).alias("at")).distinct())
+             .select(F.shiftrightunsigned("h", 64 - FILTER_BITS).alias("at")))
     parts = (often.repartition(F.shiftright("at", SLICE_BITS)).mapInArrow(bits, "k long, bits binary")
              .collect())  # the filter's fixed size at most
     size = 1 << SLICE_BITS - 3
