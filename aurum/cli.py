@@ -3,8 +3,8 @@
     python -m aurum.cli stream   --store ROOT --checkpoint DIR (--landing DIR | --kafka HOST:PORT --topic T)
                                  [--trigger "30 seconds" | --available-now]
     python -m aurum.cli tiers    --store ROOT --checkpoint DIR (--landing DIR | --kafka ...)
-                                 [--bronze-every 10] [--silver-every 30] [--gold-every 60]
-    python -m aurum.cli show     QUERY --store ROOT [--cities a,b] [--hours N] [--limit N]
+                                 [--bronze-every 10] [--silver-every 30] [--gold-every 60] [--today-only]
+    python -m aurum.cli show     QUERY --store ROOT [--cities a,b] [--hours N] [--limit N] [--ascending]
     python -m aurum.cli rebuild  --store ROOT
     python -m aurum.cli compact  --store ROOT --table silver --days 2026-06-24,2026-06-25
     python -m aurum.cli retention --store ROOT --table silver --before 2026-01-01
@@ -17,11 +17,12 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import zoneinfo
 
 from pyspark.sql import SparkSession
 
 from . import session
-from .operators import incremental
+from .operators import incremental, lookups
 from .plans import serve
 from .plans.tables import Tables
 from .sources import streams
@@ -36,7 +37,9 @@ SHOW = {
     "latest_full": lambda t, a: serve.latest_full(t),
     "alerts": lambda t, a: serve.alerts(t, cities=a.cities),
     "kpi_row": lambda t, a: serve.kpi_row(t, a.cities),
-    "ranked_cards": lambda t, a: serve.ranked_cards(t, a.cities),
+    "ranked_cards": lambda t, a: serve.ranked_cards(t, a.cities, a.ascending),
+    "map_points": lambda t, a: serve.map_points(t, lookups.city_dim(t.latest.sparkSession),
+                                                a.cities, fixed_size=True),
     "spotlight": lambda t, a: serve.spotlight(t, a.cities[0] if a.cities else serve.hottest_key(t)),
     "trend": lambda t, a: serve.trend(t, a.hours or 12, a.cities),
     "daily_flag_labels": lambda t, a: serve.daily_flag_labels(t, a.cities),
@@ -56,6 +59,12 @@ def _days(text: str) -> list:
     return [dt.date.fromisoformat(d.strip()) for d in text.split(",") if d.strip()]
 
 
+def _today_only(store):
+    """The days a gold refresh covers: the current one, by the business zone."""
+    zone = zoneinfo.ZoneInfo(store.cfg.tz)
+    return lambda: [dt.datetime.now(zone).date()]
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="aurum")
     sub = p.add_subparsers(dest="cmd", required=True)
@@ -66,7 +75,8 @@ def parser() -> argparse.ArgumentParser:
         s.add_argument("--landing")
         s.add_argument("--kafka")
         s.add_argument("--topic", default="readings")
-        s.add_argument("--max-files", type=int, default=None)
+        s.add_argument("--max-files", type=int, default=1000,
+                       help="landing files per micro-batch")
         s.add_argument("--available-now", action="store_true")
         if name == "stream":
             s.add_argument("--trigger", default=None, help='e.g. "30 seconds"')
@@ -74,12 +84,15 @@ def parser() -> argparse.ArgumentParser:
             s.add_argument("--bronze-every", type=int, default=10)
             s.add_argument("--silver-every", type=int, default=30)
             s.add_argument("--gold-every", type=int, default=60)
+            s.add_argument("--today-only", action="store_true",
+                           help="refresh gold for the current day only")
     s = sub.add_parser("show")
     s.add_argument("query", choices=sorted(SHOW))
     s.add_argument("--store", required=True)
     s.add_argument("--cities", type=lambda v: [c for c in v.split(",") if c], default=None)
     s.add_argument("--hours", type=int, default=None)
     s.add_argument("--limit", type=int, default=None)
+    s.add_argument("--ascending", action="store_true", help="ranked_cards: coolest first")
     s.add_argument("--rows", type=int, default=50)
     s = sub.add_parser("rebuild")
     s.add_argument("--store", required=True)
@@ -114,7 +127,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None):
               medallion.start_silver(spark, store, f"{cp}/silver",
                                      {"processingTime": f"{a.silver_every} seconds"}),
               medallion.start_gold(spark, store, f"{cp}/gold",
-                                   {"processingTime": f"{a.gold_every} seconds"})]
+                                   {"processingTime": f"{a.gold_every} seconds"},
+                                   _today_only(store) if a.today_only else None)]
         spark.streams.awaitAnyTermination()
         return qs
     if a.cmd == "show":

@@ -86,14 +86,17 @@ def kpi_row(t: Tables, cities: Iterable[str] | None = None) -> DataFrame:
     ).withColumn("heatwave_keys", F.coalesce(flagged, F.lit(0)).cast("bigint"))
 
 
-def ranked_cards(t: Tables, cities: Iterable[str] | None = None) -> DataFrame:
-    """V8: keys ranked by latest temperature, descending, with emoji."""
+def ranked_cards(t: Tables, cities: Iterable[str] | None = None,
+                 ascending: bool = False) -> DataFrame:
+    """V8: keys ranked by latest temperature with emoji, hottest first, or
+    coolest first for bars that grow upwards."""
+    temp = F.col("temperature_c")
     lat = lookups.key_filter(t.latest, cities, t.latest)
     spark = t.latest.sparkSession
     return (lookups.with_emoji(lat, spark)
             .select("city", "temperature_c", "condition", "emoji",
                     numbers.display(F.col("temperature_c"), 1).alias("temp_label"))
-            .orderBy(F.col("temperature_c").desc_nulls_last(), "city"))
+            .orderBy(temp.asc_nulls_last() if ascending else temp.desc_nulls_last(), "city"))
 
 
 def map_points(t: Tables, locations: DataFrame, cities: Iterable[str] | None = None,
@@ -174,7 +177,8 @@ def register_views(t: Tables, prefix: str = "v_") -> list[str]:
         "latest_full": latest_full(t), "alerts": alerts(t), "kpi_row": kpi_row(t),
         "ranked_cards": ranked_cards(t), "trend": trend(t),
         "daily_flag_labels": daily_flag_labels(t), "heatwave_days": heatwave_days(t),
-        "newest_readings": newest_readings(t),
+        "newest_readings": newest_readings(t), "spotlight": spotlight(t, hottest_key(t)),
+        "map_points": map_points(t, lookups.city_dim(t.latest.sparkSession), fixed_size=True),
     }
     for name, df in views.items():
         df.createOrReplaceTempView(prefix + name)
