@@ -68,7 +68,8 @@ def ranked(df: DataFrame, key: Column, bucket: Column, order: list[Column],
     Rows are ordered by (bucket, order) inside the key.  They are split by
     (key, bucket); a count per (key, bucket), combined map-side, gives each
     bucket its first number.  ``bucket`` must have a fixed number of values, so
-    the table of counts is bounded by keys x buckets.
+    the table of counts is bounded by keys x buckets.  Neither may be null: the
+    rows are then dealt once, for the numbering and the join alike.
     """
     d = df.withColumns({"_key": key, "_bucket": bucket})
     counts = d.groupBy("_key", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
@@ -77,8 +78,7 @@ def ranked(df: DataFrame, key: Column, bucket: Column, order: list[Column],
                           F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
     inside = Window.partitionBy("_key", "_bucket").orderBy(*order)
     return (d.withColumn("_row", F.row_number().over(inside).cast("long") - 1)
-            .join(first, F.col("_key").eqNullSafe(F.col("_k"))
-                  & F.col("_bucket").eqNullSafe(F.col("_b")))
+            .join(first, (F.col("_key") == F.col("_k")) & (F.col("_bucket") == F.col("_b")))
             .withColumn(rank, F.col("_first") + F.col("_row"))
             .drop("_key", "_bucket", "_k", "_b", "_first", "_row"))
 
