@@ -271,7 +271,7 @@ rows AS (SELECT city, MAP(list(hour ORDER BY hour), list(v ORDER BY hour)) AS m
 SELECT city, {_PIVOT_COLS} FROM rows"""))
 def q_hour_pivot(spark, sf_dir):
     """A7, P12 (V13): key x hour-label matrix; a label outside the list fails."""
-    return serve.hour_pivot(_tables(spark, sf_dir), labels=HOUR_LABELS)
+    return serve.hour_pivot(_tables(spark, sf_dir), labels=HOUR_LABELS, strict=True)
 
 
 # ---------------------------------------------------------------- chosen keys

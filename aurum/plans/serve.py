@@ -134,9 +134,10 @@ def daily_flag_labels(t: Tables, cities: Iterable[str] | None = None) -> DataFra
 
 
 def hour_pivot(t: Tables, cities: Iterable[str] | None = None,
-               labels: list[str] | None = None) -> DataFrame:
+               labels: list[str] | None = None, strict: bool = False) -> DataFrame:
     """Key x 'MM-dd HH:00' matrix of mean avg_temp.  Years share a
-    label.  Passing ``labels`` skips the job that lists the distinct labels."""
+    label.  Passing ``labels`` skips the job that lists the distinct labels and
+    shows only those; with ``strict``, data outside them is an error."""
     h = lookups.key_filter(t.hourly, cities, t.latest)
     h = h.select("city", times.hour_label(F.col("hour_start"), t.cfg.tz).alias("hour"),
                  "avg_temp")
@@ -147,7 +148,8 @@ def hour_pivot(t: Tables, cities: Iterable[str] | None = None,
     if labels is None:
         g = g.pivot("hour")
     else:
-        outside = h.where(~F.col("hour").isin(list(labels))).select("hour").first()
+        outside = None if not strict else h.where(
+            ~F.col("hour").isin(list(labels))).select("hour").first()
         if outside:
             raise ValueError(f"hour label {outside[0]} is not in the given list")
         g = g.pivot("hour", sorted(labels))
