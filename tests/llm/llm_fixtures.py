@@ -2,14 +2,8 @@
 
 from __future__ import annotations
 
-import os
-import sys
-
 import pytest
-
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
-
-from helpers import SCHEMA, edge_docs  # noqa: E402
+from helpers import SCHEMA, edge_docs
 
 
 @pytest.fixture(scope="session")

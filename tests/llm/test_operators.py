@@ -13,6 +13,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 from helpers import (base_spans, components, doc, edge_docs, entropy, fingerprint, removed, rules, SCHEMA, words)
+from llm_fixtures import edge, empty  # noqa: F401  (fixtures)
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 

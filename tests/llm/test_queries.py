@@ -10,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from helpers import SCHEMA, components, edge_docs, fingerprint
+from llm_fixtures import edge  # noqa: F401  (fixture)
 from tokenizers import Tokenizer
 
 import __spark_entry__ as E
