@@ -12,6 +12,7 @@ from __future__ import annotations
 import logging
 from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -33,6 +34,15 @@ def batch_summary(batch_silver: DataFrame, cfg) -> dict:
     return {"rows": int(r["rows"]), "days": sorted(r["days"]), "buckets": sorted(r["buckets"])}
 
 
+def written(observation: Observation) -> int:
+    """Rows an observed write counted.  A write that the optimiser proves empty
+    (a replay) carries no metrics, which the getter reports as an error."""
+    try:
+        return int(observation.get.get("written") or 0)
+    except Py4JJavaError:
+        return 0
+
+
 def write_silver(lake: MedallionStore, silver_batch: DataFrame, days: list | None = None,
                  rows: int | None = None, observation: Observation | None = None) -> int:
     """Insert-if-absent on (city, event_time); first write wins across

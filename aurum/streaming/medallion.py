@@ -84,7 +84,7 @@ def process_batch(lake: MedallionStore, batch: DataFrame, batch_id: int,
             if summary["rows"]:
                 inserted = Observation(f"silver-{batch_id}")
                 if incremental.write_silver(lake, sb, summary["days"], summary["rows"], inserted):
-                    row["silver_inserted"] = int(inserted.get.get("written") or 0)
+                    row["silver_inserted"] = incremental.written(inserted)
                 if gold_days is None:
                     row["touched_days"] = incremental.refresh_gold(lake, sb, None, summary)
                 else:
