@@ -116,10 +116,13 @@ class MedallionStore:
         return json.loads(text).get("silver_from") if text else None
 
     def run_log(self) -> DataFrame:
-        """A10: one row per batch, the last one logged (a replay logs again)."""
-        last = F.max(F.struct("logged_at", *[c for c in self.schema("runlog").names
-                                             if c not in ("logged_at", "batch_id")])).alias("r")
-        return self.read("runlog").groupBy("batch_id").agg(last).select("batch_id", "r.*")
+        """A10: one row per batch, the last one logged (a replay logs again).  What
+        the batch inserted is the sum over its runs: a replay inserts the rest."""
+        names = [c for c in self.schema("runlog").names if c not in ("batch_id", "silver_inserted")]
+        last = F.max(F.struct("logged_at", *[c for c in names if c != "logged_at"])).alias("r")
+        return (self.read("runlog").groupBy("batch_id")
+                .agg(last, F.sum("silver_inserted").alias("silver_inserted"))
+                .select("batch_id", *[f"r.{c}" for c in names], "silver_inserted"))
 
     def ensure_tables(self) -> MedallionStore:
         """Create every table that does not exist yet (idempotent)."""

@@ -366,5 +366,6 @@ def test_replayed_micro_batch_leaves_all_layers_unchanged(spark):
     first = medallion.process_batch(lake, batch, 7)
     before = snapshot()
     again = medallion.process_batch(lake, batch, 7)           # e17: same batch id again
+    assert first.pop("silver_inserted") == 2 and again.pop("silver_inserted") == 0
     assert first == again and snapshot() == before
     assert len(before["bronze"]) == 3 and len(before["silver"]) == 2
