@@ -138,7 +138,8 @@ def recurring(docs: DataFrame) -> Broadcast:
 
 
 def dealt(docs: DataFrame, often: Broadcast) -> DataFrame:
-    """(h, doc_id, key, pos, passage): the stretches with a recurring anchor."""
+    """(h, doc_id, key, places, passage): the stretches with a recurring anchor,
+    and the numbers of the words at which a document has each, comma-joined."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _each(batches):
@@ -149,15 +150,24 @@ def dealt(docs: DataFrame, often: Broadcast) -> DataFrame:
             start, n, h = start[hit], n[hit], h[hit]
             text = words.word[words.code] if len(start) else None
             row = np.searchsorted(words.first + words.n, start, "right")
-            passages = [" ".join(text[a:b]) for a, b in
-                        zip(start.tolist(), (start + n + WINDOW - 1).tolist())]
-            rows = pa.array(row)
+            # a stretch that a document repeats is one row with several places
+            places: dict[tuple[int, str], str] = {}
+            kept: list[int] = []
+            for i, (r, p, a, b) in enumerate(zip(row.tolist(), (start - words.first[row]).tolist(),
+                                                 start.tolist(), (start + n + WINDOW - 1).tolist())):
+                own = (r, " ".join(text[a:b]))
+                if own in places:
+                    places[own] += f",{p}"
+                else:
+                    places[own] = str(p)
+                    kept.append(i)
+            rows = pa.array(row[kept])
             yield pa.record_batch(
-                [pa.array(h.view(np.int64)), batch.column(0).take(rows), batch.column(1).take(rows),
-                 pa.array(start - words.first[row]), pa.array(passages, pa.string())],
-                names=["h", "doc_id", "key", "pos", "passage"])
+                [pa.array(h.view(np.int64)[kept]), batch.column(0).take(rows), batch.column(1).take(rows),
+                 pa.array(places.values(), pa.string()), pa.array((t for _, t in places), pa.string())],
+                names=["h", "doc_id", "key", "places", "passage"])
 
-    return _keyed(docs).mapInArrow(run, "h long, doc_id long, key long, pos long, passage string")
+    return _keyed(docs).mapInArrow(run, "h long, doc_id long, key long, places string, passage string")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -179,7 +189,7 @@ class Shard:
         last = float(np.iinfo(np.int64).max)
         ids = rows["doc_id"].to_pylist()
         docs = [last if d is None else d for d in ids]
-        pos, passages = rows["pos"].to_pylist(), rows["passage"].to_pylist()
+        places, passages = rows["places"].to_pylist(), rows["passage"].to_pylist()
         head = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])).tolist()
         numbers: dict[str, int] = {}
         phrases: dict[tuple[int, ...], float] = {}
@@ -210,10 +220,11 @@ class Shard:
                 for i in range(a, b):
                     first, doc = firsts[passages[i]], docs[i]
                     if max(first) < doc:
-                        out.append((i, pos[i], pos[i] + len(first) + WINDOW - 1))
-                    elif min(first) < doc:
-                        out += [(i, pos[i] + k, pos[i] + k + WINDOW)
-                                for k, f in enumerate(first) if f < doc]
+                        spans = [(0, len(first) + WINDOW - 1)]
+                    else:
+                        spans = [(k, k + WINDOW) for k, f in enumerate(first) if f < doc]
+                    if spans:
+                        out += [(i, p + a, p + b) for p in map(int, places[i].split(",")) for a, b in spans]
         self._keep(h[-1], head[-1], docs, passages, goes_on and len(head) == 1)
         at = pa.array([i for i, _, _ in out], pa.int64())
         return pa.record_batch(
