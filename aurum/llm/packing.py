@@ -10,6 +10,10 @@
    are numbered (split by buckets, see ``common.ranked``), and each pattern
    takes a range of numbers, so a piece finds its pack by a join on its length
    and its number against the bounded table of ranges.
+4. With a ``place`` column (a whole number from 0 that orders the documents, as
+   the mixture's), pieces of a length are numbered in that order, so the packs
+   of a pattern take them in it, and sequence ids follow the smallest (place,
+   start) in each sequence.  Buckets are then ranges of places.
 
 Nulls and empty texts give the end id alone.  Repeated rows are packed one by
 one.  A null ``doc_id`` is carried along.  An empty table gives no rows.
@@ -23,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -92,8 +96,10 @@ PIECES = T.StructType([
     T.StructField("doc_tokens", T.LongType())])
 
 
-def pieces(docs: DataFrame, tokenizer: str, max_len: int, end_id: int) -> DataFrame:
-    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens."""
+def pieces(docs: DataFrame, tokenizer: str, max_len: int, end_id: int, place: str | None = None) -> DataFrame:
+    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, and _place
+    if ``place`` names the column of the documents' places."""
+    schema = T.StructType([*PIECES, T.StructField("_place", T.LongType())]) if place else PIECES
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = tokens.encoder(tokenizer)
@@ -113,30 +119,58 @@ def pieces(docs: DataFrame, tokenizer: str, max_len: int, end_id: int) -> DataFr
                         lengths.append(e - s)
                         crcs.append(zlib.crc32(own[4 * s:4 * e]))
                         totals.append(k + 1)
-                yield pa.record_batch([batch.column(0).take(pa.array(rows, pa.int64())),
-                                       *(pa.array(x, pa.int64()) for x in (starts, lengths, crcs, totals))],
-                                      names=PIECES.names)
+                at_rows = pa.array(rows, pa.int64())
+                yield pa.record_batch([batch.column(0).take(at_rows),
+                                       *(pa.array(x, pa.int64()) for x in (starts, lengths, crcs, totals)),
+                                       *(c.take(at_rows) for c in batch.columns[2:])],
+                                      names=schema.names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).mapInArrow(cut, PIECES)
+    places = [F.coalesce(F.col(place).cast("long"), F.lit(0).cast("long")).alias("_place")] if place else []
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), *places).mapInArrow(cut, schema)
 
 
-def pack(docs: DataFrame, tokenizer: str, max_len: int = 1024, end_id: int = 0) -> DataFrame:
+def _range(place: Column, most: int) -> Column:
+    """The bucket of a place: one of ``BUCKETS`` ranges up to the largest place."""
+    return F.floor(place / F.lit(most // BUCKETS + 1)).cast("long")
+
+
+def pack(docs: DataFrame, tokenizer: str, max_len: int = 1024, end_id: int = 0,
+         place: str | None = None) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset.  The pieces of a sequence fill it from offset 0 without
-    gaps; what is left up to ``max_len`` is padding."""
+    gaps; what is left up to ``max_len`` is padding.  ``place`` names a column of
+    ``docs`` whose order pieces and sequences follow."""
     spark = docs.sparkSession
-    cut = stage(pieces(docs, tokenizer, max_len, end_id), "pieces")
-    histogram = {r["length"]: r["n"] for r in  # at most max_len rows
-                 cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
+    cut = stage(pieces(docs, tokenizer, max_len, end_id, place), "pieces")
+    most = F.max("_place") if place else F.lit(0)
+    found = cut.groupBy("length").agg(F.count(F.lit(1)).alias("n"), most.alias("most")).collect()  # max_len rows at most
+    histogram = {r["length"]: r["n"] for r in found}
+    most = max((r["most"] for r in found), default=0)
     ranges = spark.createDataFrame(
         _ranges(plan_packs(histogram, max_len)),
         "_length long, _from long, _to long, _sequence long, _per long, _offset long")
-    numbered = ranked(cut, F.col("length"), F.pmod(F.xxhash64("doc_id", "start"), F.lit(BUCKETS)),
-                      [F.col("doc_id"), F.col("start"), F.col("ids_crc32"), F.col("doc_tokens")])
+    order = [F.col(c) for c in ("doc_id", "start", "ids_crc32", "doc_tokens")]
+    bucket = F.pmod(F.xxhash64("doc_id", "start"), F.lit(BUCKETS))
+    if place:
+        order, bucket = [F.col("_place"), F.col("start"), *order], _range(F.col("_place"), most)
+    numbered = ranked(cut, F.col("length"), bucket, order)
     within = F.col("rank") - F.col("_from")
     # the ranges follow max_len (a few thousand rows), so each task gets them whole
-    return (numbered.join(F.broadcast(ranges), (F.col("length") == F.col("_length"))
-                          & (F.col("rank") >= F.col("_from")) & (F.col("rank") < F.col("_to")))
+    packed = (numbered.join(F.broadcast(ranges), (F.col("length") == F.col("_length"))
+                            & (F.col("rank") >= F.col("_from")) & (F.col("rank") < F.col("_to")))
+              .select("doc_id", "start", "length", "ids_crc32", "doc_tokens",
+                      (F.col("_sequence") + F.expr("(rank - _from) div _per")).alias("sequence_id"),
+                      (F.col("_offset") + within % F.col("_per") * F.col("length")).alias("offset"),
+                      *(["_place"] if place else [])))
+    return _in_order(stage(packed, "packed"), most) if place else packed
+
+
+def _in_order(packed: DataFrame, most: int) -> DataFrame:
+    """Number the sequences by the smallest (place, start) of their pieces."""
+    first = packed.groupBy(F.col("sequence_id").alias("_own")).agg(
+        F.min(F.struct("_place", "start")).alias("_least"))
+    numbers = ranked(first, F.lit(0), _range(F.col("_least._place"), most),
+                     [F.col("_least"), F.col("_own")], "_number")
+    return (packed.join(numbers, F.col("sequence_id") == F.col("_own"))
             .select("doc_id", "start", "length", "ids_crc32", "doc_tokens",
-                    (F.col("_sequence") + F.expr("(rank - _from) div _per")).alias("sequence_id"),
-                    (F.col("_offset") + within % F.col("_per") * F.col("length")).alias("offset")))
+                    F.col("_number").alias("sequence_id"), "offset"))

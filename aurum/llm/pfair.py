@@ -80,14 +80,16 @@ def schedule(pools: DataFrame) -> DataFrame:
         F.col("slot").cast("long").alias("slot"), "first_round", "end_round", "base", "slots")
 
 
-def mixed(docs: DataFrame, shares: dict[str, int], rest: int, block_docs: int = 16) -> DataFrame:
+def mixed(docs: DataFrame, shares: dict[str, int], rest: int, block_docs: int = 16,
+          ties: tuple[Column, ...] = ()) -> DataFrame:
     """All columns of ``docs`` (doc_id, source and any others) with the struct
     ``_mix``: pool, block (its number in the pool), slot (the block's place in
-    the mixture) and in_block (the document's place in the block)."""
+    the mixture) and in_block (the document's place in the block).  ``ties``
+    order rows of a pool that share a ``doc_id``."""
     known = F.create_map(*[x for s, n in sorted(shares.items()) for x in (F.lit(s), F.lit(s))]) if shares else None
     pool = F.coalesce(known[F.col("source")], F.lit(REST)) if shares else F.lit(REST)
     bucket = F.coalesce(F.pmod(F.col("doc_id"), F.lit(BUCKETS)), F.lit(0))
-    numbered = ranked(docs.withColumn("_pool", pool), F.col("_pool"), bucket, [F.col("doc_id")], "_rank")
+    numbered = ranked(docs.withColumn("_pool", pool), F.col("_pool"), bucket, [F.col("doc_id"), *ties], "_rank")
     share = F.create_map(*[x for s, n in [*sorted(shares.items()), (REST, rest)] for x in (F.lit(s), F.lit(n))])
     # a row per pool: as many as the mixture lists
     pools = (docs.select(pool.alias("pool")).groupBy("pool").agg(F.count(F.lit(1)).alias("n"))

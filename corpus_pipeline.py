@@ -51,17 +51,29 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
 
 
+#: In run() a column of the documents: the place in the mixture, null until mixing.
+PLACE = "_mixture_place"
+
+
+def _placed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``PLACE``: slot by slot, block by block.  Rows that repeat a
+    ``doc_id`` are told apart by their text, so the places are always the same."""
+    mixed = pfair.mixed(docs.drop(PLACE), SHARES, REST_SHARE, BLOCK_DOCS, (F.xxhash64(text_or_empty()),))
+    return mixed.withColumn(PLACE, F.col("_mix.slot") * BLOCK_DOCS + F.col("_mix.in_block")).drop("_mix")
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, in the order of the mixture."""
+    """All documents, in the order of the mixture; fills ``PLACE`` if it is a column."""
     ship(prepare(spark))
-    mixed = pfair.mixed(docs, SHARES, REST_SHARE, BLOCK_DOCS)
-    return mixed.orderBy("_mix.slot", "_mix.in_block").select(*docs.columns)
+    return _placed(docs).orderBy(PLACE).select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents with their places in sequences."""
+    """Pieces of all documents with their places in sequences, which follow the
+    mixture: by ``PLACE``, or, in documents without it, by the same places anew."""
     ship(prepare(spark))
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), 1024, 0)
+    return packing.pack(docs if PLACE in docs.columns else _placed(docs),
+                        public_tokenizers.path("byte_bpe_50k.json"), 1024, 0, PLACE)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
@@ -73,7 +85,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    # file order says nothing to a reader, so the mixture's decision goes in a column
+    docs = read_table(spark, sf_dir, "documents").withColumn(PLACE, F.lit(None).cast("long"))
     for name, step in STAGES[:-1]:
         docs = stage(step(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -115,3 +115,43 @@ def test_pipeline_edge_rows(spark, edge, tmp_path):
         assert frame.columns == edge.columns
     for step in (corpus_pipeline.exact_dedup, corpus_pipeline.near_dedup, corpus_pipeline.mixing):
         assert step(spark, edge, "").where("doc_id = 14").count() == 2
+
+
+def _sequences(rows):
+    out = defaultdict(list)
+    for r in rows:
+        out[r["sequence_id"]].append((r["offset"], r["doc_id"], r["start"], r["length"]))
+    return {k: sorted(v) for k, v in out.items()}
+
+
+def test_pipeline_packs_in_the_order_of_the_mixture(spark, monkeypatch, tmp_path):
+    """Sequences follow the mixture: other shares, or no mixing, give others."""
+    spark.createDataFrame(
+        [(i, " ".join(f"w{(i * 37 + j * j * (i % 11 + 1)) % 9973}" for j in range(60 + i % 40)), "en", f"src{i % 3}", 1)
+         for i in range(240)], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    stages = corpus_pipeline.STAGES
+    monkeypatch.setattr(corpus_pipeline, "STAGES", stages[3:])  # all documents reach the mixture
+
+    def packed():
+        return _sequences(corpus_pipeline.run(spark, str(tmp_path)).collect())
+
+    def places():
+        docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+        return {r["doc_id"]: r[corpus_pipeline.PLACE] for r in corpus_pipeline._placed(docs).collect()}
+
+    def follows(sequences, place):
+        first = [min((place[d], s) for _, d, s, _ in sequences[k]) for k in sorted(sequences)]
+        assert sorted(sequences) == list(range(len(sequences))) and first == sorted(first)
+
+    base = packed()
+    follows(base, places())
+    frame = spark.read.parquet(f"{tmp_path}/documents.parquet")  # stage by stage, without the column
+    for _, step in stages[3:]:
+        frame = step(spark, frame, str(tmp_path))
+    assert _sequences(frame.collect()) == base
+    monkeypatch.setattr(corpus_pipeline, "SHARES", {"src0": 1, "src1": 1, "src2": 9})
+    other = packed()
+    follows(other, places())
+    assert other != base
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("mixing", lambda s, docs, d: docs), stages[4]])
+    assert packed() not in (base, other)
