@@ -69,17 +69,19 @@ def fingerprint(text: bytes, shingle: int = 3, seed: int = 42) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42) -> DataFrame:
-    """doc_id, fp (the 64 bits as a long) for every row."""
+def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42, key: str | None = None) -> DataFrame:
+    """doc_id, fp (the 64 bits as a long) for every row, and its ``key`` (text) if named."""
+    also = [key] if key else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.fromiter((fingerprint((t.as_py() or "").encode(), shingle, seed)
                                for t in batch.column(1)), np.uint64, batch.num_rows)
-            yield pa.record_batch([batch.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.record_batch([batch.column(0), pa.array(fps.view(np.int64)), *batch.columns[2:]],
+                                  names=["doc_id", "fp", *also])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *also).mapInArrow(
+        run, ", ".join(["doc_id long, fp long", *(f"{c} string" for c in also)]))
 
 
 # -------------------------------------------------------------------- index
@@ -266,12 +268,26 @@ def links(fps: DataFrame, most: int = 3) -> DataFrame:
             .mapInArrow(run, "u long, v long"))
 
 
+def _rooted(fps: DataFrame, most: int) -> DataFrame:
+    """``fps`` (distinct fp) with root, the fingerprint that stands for its component."""
+    roots = components(links(fps.select("fp"), most)).select(F.col("node").alias("fp"), "root")
+    return fps.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, most: int = 3, seed: int = 42) -> DataFrame:
     """doc_id, fp, component_id (the smallest doc_id of the component) per row."""
     rows = stage(fingerprints(docs, shingle, seed), "fingerprints")
     fps = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
-    roots = components(links(fps.select("fp"), most)).select(F.col("node").alias("fp"), "root")
-    rooted = fps.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    rooted = _rooted(fps, most)
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     return rows.join(rooted.join(smallest, "root").select("fp", "component_id"), "fp").select(
         "doc_id", "fp", "component_id")
+
+
+def representatives(docs: DataFrame, key: str, shingle: int = 3, most: int = 3, seed: int = 42) -> DataFrame:
+    """The ``key`` (text) of one row per component: of those with the smallest
+    ``doc_id`` (null if there is no other) the smallest key."""
+    rows = stage(fingerprints(docs, shingle, seed, key), "fingerprints")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", key))
+    fps = stage(rows.groupBy("fp").agg(least.alias("first")), "distinct-fingerprints")
+    return _rooted(fps, most).groupBy("root").agg(F.min("first").alias("first")).select(f"first.{key}")

@@ -3,7 +3,7 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
 as Parquet and read again for the next one.  All but the last return the
 columns of documents, whatever columns those are.  Documents are told apart by
-``doc_id``; rows that repeat one are kept unless a stage's rule drops them.
+``doc_id`` and text; rows that repeat an id are kept unless a stage's rule drops them.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from aurum.llm import blocknames, packing, pfair, quality, simhash
@@ -27,28 +27,33 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return judged.where("_measures.kept").select(*docs.columns)
 
 
-def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, one row of the largest ``doc_id`` stays."""
-    ship(prepare(spark))
+def _key(text_hash: Column) -> Column:
+    """A row's identity, of its id and text."""
+    return F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), text_hash)
 
-    def key(text_hash):
-        return F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), text_hash)
 
-    kept = (blocknames.duplicates(docs.select("doc_id", "text")).where("kept")
-            .select(key(F.col("text_sha256")).alias("_key")))
-    rows = docs.withColumn("_key", key(F.sha2(text_or_empty(), 256))).join(kept, "_key", "left_semi")
+def _one_of_each(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """One row of ``docs`` (with ``_key``) for each ``_key`` in ``kept``."""
+    rows = docs.join(kept, "_key", "left_semi")
     # rows equal in id and text are one key; the join has dealt them by it already
     first = Window.partitionBy("_key").orderBy("_key")
-    return rows.withColumn("_n", F.row_number().over(first)).where("_n = 1").select(*docs.columns)
+    return rows.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_key", "_n")
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts, one row of the largest ``doc_id`` stays."""
+    ship(prepare(spark))
+    kept = (blocknames.duplicates(docs.select("doc_id", "text")).where("kept")
+            .select(_key(F.col("text_sha256")).alias("_key")))
+    return _one_of_each(docs.withColumn("_key", _key(F.sha2(text_or_empty(), 256))), kept).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each near-duplicate component, the document with the smallest id stays."""
+    """Of each near-duplicate component, one row stays: of the smallest id (null
+    if there is no other), and among its texts that of the smallest hash."""
     ship(prepare(spark))
-    found = simhash.near_duplicates(docs, shingle=3, most=3)
-    kept = (found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .select(F.col("doc_id").alias("_kept")).distinct())
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    keyed = docs.withColumn("_key", _key(F.sha2(text_or_empty(), 256)))
+    return _one_of_each(keyed, simhash.representatives(keyed, "_key", shingle=3, most=3)).select(*docs.columns)
 
 
 #: In run() a column of the documents: the place in the mixture, null until mixing.

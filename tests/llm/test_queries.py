@@ -155,3 +155,17 @@ def test_pipeline_packs_in_the_order_of_the_mixture(spark, monkeypatch, tmp_path
     assert other != base
     monkeypatch.setattr(corpus_pipeline, "STAGES", [("mixing", lambda s, docs, d: docs), stages[4]])
     assert packed() not in (base, other)
+
+
+def test_near_dedup_keeps_one_row_of_each_component(spark, tmp_path):
+    """Rows that repeat an id, or have none, are rows of their own."""
+    words = [" ".join(f"{a}{i * i % 613}" for i in range(500)) for a in "pqr"]
+    near = [[w, w + f" {w[:4]}", w + " tail"] for w in words]
+    assert all(bin(fingerprint(t[0]) ^ fingerprint(x)).count("1") <= 3 for t in near for x in t)
+    docs = [(1, near[0][0]), (1, near[0][1]), (2, near[0][2]),  # an id repeats within a component
+            (1, near[1][0]), (0, near[1][1]),  # ... and is the smallest of another one
+            (None, near[2][0]), (None, near[2][1]), (None, near[2][2]), (None, near[2][2])]
+    df = spark.createDataFrame([(d, t, "en", "src0", i) for i, (d, t) in enumerate(docs)], SCHEMA)
+    got = corpus_pipeline.near_dedup(spark, df.repartition(3), "").collect()
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"][0]) for r in got) == [
+        (False, 0, "q"), (False, 1, "p"), (True, 0, "r")]
