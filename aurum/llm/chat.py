@@ -7,6 +7,8 @@ k-th rendered turn with the place where it starts in the conversation, and each
 assistant row closes an example whose text is all rows up to it.  The stored
 form is linear in the input, however long a conversation is; ``expand`` streams
 the full text of every example, with the loss span, to whoever trains.
+``read_examples`` does the same and takes its digests from the full texts, so its
+work is that of all prefixes: with the square of a conversation's length.
 
 A turn is rendered as ``<s>[role] text</s>``.  In roles and texts, ``\\`` is
 doubled and ``\\`` is put behind each ``<``, ``[`` and ``]``, so that none of the
@@ -15,8 +17,8 @@ template's marks can occur inside, and reading backs out exactly.
 Rows of a conversation are taken by turn; equal turns by role, then by text.
 Null roles and texts count as empty (an empty role is never trainable); a null
 conversation or turn is a value of its own, turns without number first.  An
-empty table gives no rows; other columns are not read.  Only one turn is held at
-a time, so long texts and conversations need no more memory.
+empty table gives no rows; other columns are not read.  Formatting holds one turn
+at a time; full examples need the text of one conversation in memory.
 """
 
 from __future__ import annotations
@@ -110,26 +112,39 @@ def examples(stored: DataFrame) -> DataFrame:
         (F.col("start") + F.col("loss_end")).alias("loss_end"))
 
 
+_STORED = ["conv_id", "example", "trained", "start", "loss_start", "loss_end", "piece"]
+
+
+def _full(batches: Iterator[pa.RecordBatch], rest: bool = False) -> Iterator[tuple]:
+    """(conversation, example, text, loss_start, loss_end) of every example in
+    full.  With ``rest``, turns behind a conversation's last reply close a text
+    of all its turns, which has no example's number and no loss."""
+    own, text, ended = object(), "", True
+    for batch in batches:
+        for r in zip(*(batch.column(i) for i in range(len(_STORED)))):
+            conv, example, trained, start, a, b, piece = (x.as_py() for x in r)
+            if conv != own:
+                if rest and not ended:
+                    yield own, None, text, len(text), len(text)
+                own, text = conv, ""
+            if start != len(text):
+                raise ValueError(f"conversation {conv}: a turn is missing before {start}")
+            text, ended = text + piece, trained
+            if trained:
+                yield conv, example, text, start + a, start + b
+    if rest and not ended:
+        yield own, None, text, len(text), len(text)
+
+
 def expand(stored: DataFrame) -> DataFrame:
     """Every example in full: conv_id, example, text, loss_start, loss_end.
     Its size is that of all prefixes; one conversation is held at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, held, size = object(), [], 0
-        for batch in batches:
-            for r in zip(*(batch.column(i) for i in range(6))):
-                conv, example, trained, a, b, piece = (x.as_py() for x in r)
-                if conv != own:
-                    own, held, size = conv, [], 0
-                held.append(piece)
-                if trained:
-                    yield pa.RecordBatch.from_pylist(
-                        [{"conv_id": conv, "example": example, "text": "".join(held),
-                          "loss_start": size + a, "loss_end": size + b}], schema=_EXAMPLE)
-                size += len(piece)
-
-    return (_by_conversation(stored, "position")
-            .select("conv_id", "example", "trained", "loss_start", "loss_end", "piece")
+        for row in _full(batches):
+            yield pa.RecordBatch.from_pylist([dict(zip(_EXAMPLE.names, row))], schema=_EXAMPLE)
+
+    return (_by_conversation(stored, "position").select(*_STORED)
             .mapInArrow(run, "conv_id long, example long, text string, loss_start long, loss_end long"))
 
 
@@ -137,6 +152,51 @@ _EXAMPLE = pa.schema([("conv_id", pa.int64()), ("example", pa.int64()), ("text",
                       ("loss_start", pa.int64()), ("loss_end", pa.int64())])
 
 
+def read_examples(stored: DataFrame) -> DataFrame:
+    """The columns of ``read_back``, from every example in full: its loss span
+    gives the trained text, its context has to be the example before it with the
+    turns since, and the last text of a conversation gives its size."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, before, state = object(), "", None
+        done: list[tuple] = []
+
+        def close() -> None:
+            if state is not None:
+                n, turns, chars, loss = state
+                done.append((own, n, turns.hexdigest(), chars, loss.hexdigest(), len(before)))
+
+        def flush() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*done), _DIGEST)] if done else
+                [pa.array([], t) for t in _DIGEST], names=_DIGEST_NAMES)
+            done.clear()
+            return out
+
+        for conv, example, text, a, b in _full(batches, rest=True):
+            if conv != own or state is None:
+                close()
+                own, before, state = conv, "", [0, hashlib.sha256(), 0, hashlib.sha256()]
+                if len(done) >= 10_000:
+                    yield flush()
+            if not text.startswith(before) or (example is not None and text[b:] != CLOSE):
+                raise ValueError(f"conversation {conv}: an example is not context and reply")
+            for piece in text[len(before):].split(CLOSE)[:-1]:  # the mark is in no role or text
+                role, said = parse(piece + CLOSE)
+                state[0] += 1
+                state[1].update(f"{role}\n{said}\n".encode())
+            trained = unescape(text[a:b])
+            state[2] += len(trained)
+            state[3].update(trained.encode())
+            before = text
+        close()
+        yield flush()
+
+    return (_by_conversation(stored, "position").select(*_STORED)
+            .mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, "
+                             "loss_sha256 string, formatted_chars long"))
+
+
 def read_back(stored: DataFrame) -> DataFrame:
     """Per conversation, from the stored form alone: conv_id, n_turns,
     turns_sha256, loss_chars, loss_sha256, formatted_chars."""

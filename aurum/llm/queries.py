@@ -43,13 +43,13 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Format all conversations and the control-string one, store, read back."""
+    """Format all conversations and the control-string one, store, read every example in full."""
     turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     hard = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)],
                                   "conv_id long, turn long, role string, text string")
     stored = stage(chat.formatted(turns.unionByName(extra)), "chat")
-    return chat.read_back(stored)
+    return chat.read_examples(stored)
 
 
 def _escaped(column: str) -> str:

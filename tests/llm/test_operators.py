@@ -19,6 +19,7 @@ from tokenizers import Tokenizer
 
 from aurum.llm import (blocknames, chat, kneser, packing, pfair, phrases, quality, repair, secret_spans, simhash)
 from aurum.llm import components as cc
+from aurum.llm import queries
 from aurum.llm.common import stage
 from aurum.llm.tokens import UnitEncoder
 from aurum.session import fresh_dir, scratch_root
@@ -163,6 +164,22 @@ def test_chat_escapes_hide_all_marks():
         assert chat.parse(chat.render(text, text)[0]) == (text, text)
 
 
+def test_chat_examples_in_full(spark, edge, monkeypatch):
+    """The query reads each reply with its whole context, also in a long conversation."""
+    long = [(9, i, ("user", "assistant")[i % 2], f"turn {i} [<\\ " * 5) for i in range(301)]
+    df = spark.createDataFrame(TURNS + long, "conv_id long, turn long, role string, text string")
+    stored = stage(chat.formatted(df.repartition(3)), "chat")
+    assert rows(chat.read_examples(stored)) == rows(chat.read_back(stored))
+    pieces = [chat.render(r, x)[0] for _, _, r, x in long]
+    batch = (stored.where("conv_id = 9").orderBy("position").select(*chat._STORED)).toArrow().to_batches()
+    full = list(chat._full(iter(batch), rest=True))
+    assert [t for _, _, t, _, _ in full] == ["".join(pieces[:i + 1]) for i in [*range(1, 301, 2), 300]]
+    with pytest.raises(Exception, match="missing before"):  # a context without one of its turns
+        chat.read_examples(stored.where("conv_id != 9 OR position != 100")).collect()
+    monkeypatch.setattr(chat, "read_back", None)  # not by single turns
+    queries.QUERIES["op3_chat"](spark, "/root/testdata/sf0.001").count()
+
+
 def test_chat_empty(spark, empty):
     df = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.read_back(chat.formatted(df)).count() == 0
