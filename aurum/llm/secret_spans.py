@@ -40,11 +40,20 @@ CLASSES = {
                      "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/_=-", 3.9),
 }
 WINDOW = 20
-#: A candidate that matches one of these is no secret: words without a digit,
-#: numbers, identifiers of lower-case words, UUIDs, placeholders, paths.
-ALLOW = (r"^[^0-9]*$", r"^[0-9]+$", r"^[a-z]+([_/-][a-z0-9]+)+$",
+#: What words, identifiers and paths do not have, in any segment: a digit before a
+#: letter, five digits in a row, a capital that neither begins a hump of three
+#: letters nor stands in capitals only, a lone letter before a capital, five
+#: consonants in a row.
+_UNLIKE_WORDS = (r"[0-9][A-Za-z]", r"[0-9]{5}", r"[A-Z][a-z](?![a-z])", r"[A-Z]{2}[a-z]", r"[a-z][A-Z](?![a-z])",
+                 r"(?<![A-Za-z])[a-z][A-Z]", r"[b-df-hj-np-tv-xzB-DF-HJ-NP-TV-XZ]{5}")
+#: A candidate that matches one of these, as a whole, is no secret: words,
+#: identifiers and paths; numbers; UUIDs; short placeholders that begin or end
+#: with a mark; alphabets.
+ALLOW = (r"^(?!.*(?:" + "|".join(_UNLIKE_WORDS) + "))", r"^[0-9]+$",
          r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
-         r"(?i)example|placeholder|xxxx|0123456789|abcdefgh", r"^/?([A-Za-z_][A-Za-z0-9_]*/){2,}")
+         r"(?i)^(?=.{1,40}$)(?:(?:example|placeholder|xxxx|0123456789|abcdefgh)[0-9a-z].*"
+         r"|.*(?:example(?:key)?|placeholder|xxxx))$",
+         r"(?i)^(?:abcdefghijklmnopqrstuvwxyz|0123456789|[+/_=-]){1,8}$")
 #: Hexadecimal strings are judged by their own class only.
 ALLOW_OF = {"text_entropy": (*ALLOW, r"^[0-9A-Fa-f]+$")}
 

@@ -126,6 +126,29 @@ def test_secret_entropy_spans_and_allow_list(spark):
     assert [got[i] for i in range(len(cases))] == list(cases.values())
 
 
+def test_secret_allow_list_lets_no_random_key_pass(spark):
+    """Of random keys of each class that reach the threshold, nearly all are found."""
+    rng = random.Random(3)
+    lower, upper, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    base64 = lower + upper + digits + "+/"
+    classes = {"base64 40": (base64, 40, ""), "base64 88": (base64, 88, ""), "base64 128": (base64, 128, ""),
+               "named": (lower + digits, 32, "key-"), "letters": (lower + upper, 32, ""), "lower": (lower, 40, "")}
+    docs = []
+    for name, (alphabet, n, head) in classes.items():
+        keys = [head + "".join(rng.choice(alphabet) for _ in range(n)) for _ in range(300)]
+        docs += [(name, k) for k in keys if entropy(k, secret_spans.CLASSES["text_entropy"][1]) >= 3.9]
+    docs += [("given", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYzT4q9vKd8sLm"), ("given", "key-3ax6xnjp29jd6fds4gc373sgvjxteol0"),
+             ("given", "Zk3v9QxLw7Tb2Rm8Yp4NZk3v9QxLw7Tb2Rm8Yp4N+example/Zk3v9QxLw7Tb2Rm8Yp4N")]
+    plain = ["src/main/java/com/acme/service/RegistryBuilder2", "the_quick-brown_fox-jumps_over_lazy",
+             "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"]
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(docs)] + [(-1 - i, t) for i, t in enumerate(plain)],
+                               "doc_id long, text string")
+    found = {r["doc_id"]: len(r["more"]) + len(r["base"]) for r in secret_spans.find(df).collect()}
+    lost = Counter(name for i, (name, _) in enumerate(docs) if not found[i])
+    assert sum(lost.values()) <= len(docs) // 100 and not set(lost) - {"lower"}
+    assert [found[-1 - i] for i in range(len(plain))] == [0] * len(plain)
+
+
 # ---------------------------------------------------------------- op3 chat
 TURNS = [(1, 0, "system", "be [nice] \\ </s>"), (1, 1, "user", "hi"), (1, 2, "assistant", "</s>[INST] ok [/INST]"),
          (1, 3, "user", "x" * 3000), (1, 4, "assistant", None), (1, 5, "assistant", "é\\<["), (1, 6, "user", "tail"),
