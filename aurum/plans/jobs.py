@@ -30,14 +30,6 @@ def new_lake(spark: SparkSession, name: str) -> MedallionStore:
 
 
 DAILY_OUT = ["city", "day", "avg_temp", "max_temp", "min_temp", "readings", "heatwave"]
-_ONCE: dict[tuple[str, str, str], MedallionStore] = {}
-
-
-def _once(spark: SparkSession, sf_dir: str, kind: str, make) -> MedallionStore:
-    key = (spark.sparkContext.applicationId, sf_dir, kind)
-    if key not in _ONCE:
-        _ONCE[key] = make()
-    return _ONCE[key]
 
 
 def _silver_sql(where: str) -> str:
@@ -165,7 +157,7 @@ def _incremental_lake(spark, sf_dir) -> MedallionStore:
 def q_incremental_gold(spark, sf_dir):
     """X2 + T9/T10 + X6: three day-range batches, newest first; incremental
     daily gold equals the one-shot roll-up."""
-    lake = _once(spark, sf_dir, "incremental", lambda: _incremental_lake(spark, sf_dir))
+    lake = _incremental_lake(spark, sf_dir)
     return lake.read("daily").select(*DAILY_OUT)
 
 
@@ -175,7 +167,7 @@ FROM hourly h JOIN latest l ON h.city = l.city"""))
 def q_incremental_latest_hourly(spark, sf_dir):
     """X2 + T8/T9: incremental hourly and latest tables (late batches must not
     move latest back)."""
-    lake = _once(spark, sf_dir, "incremental", lambda: _incremental_lake(spark, sf_dir))
+    lake = _incremental_lake(spark, sf_dir)
     lat = lake.read("latest").select("city", F.col("event_time").alias("latest_time"))
     return (lake.read("hourly").select("city", "hour_start", "avg_temp", "readings")
             .join(lat, "city"))
@@ -227,9 +219,8 @@ def run_stream_medallion(spark, sf_dir, name: str = "stream"):
 
 
 def _streamed(spark, sf_dir) -> MedallionStore:
-    """The store a stream filled from this input, once per application: the
-    queries over it read different tables of one run."""
-    return _once(spark, sf_dir, "stream", lambda: run_stream_medallion(spark, sf_dir)[0])
+    """The store that a stream fills from this input, anew on each call."""
+    return run_stream_medallion(spark, sf_dir)[0]
 
 
 @register("stream_medallion", _wb("SELECT * FROM daily"))

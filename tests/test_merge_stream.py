@@ -369,3 +369,19 @@ def test_replayed_micro_batch_leaves_all_layers_unchanged(spark):
     assert first.pop("silver_inserted") == 2 and again.pop("silver_inserted") == 0
     assert first == again and snapshot() == before
     assert len(before["bronze"]) == 3 and len(before["silver"]) == 2
+
+
+def test_write_path_queries_do_their_own_job_on_each_call(spark, monkeypatch, tmp_path):
+    """Nothing is kept by application and path: a rewritten table gives its own rows."""
+    from aurum.plans import jobs
+
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.limit(60).coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    first = jobs.q_incremental_gold(spark, str(tmp_path)).agg(F.sum("readings")).first()[0]
+    events.limit(120).coalesce(1).write.mode("overwrite").parquet(f"{tmp_path}/events.parquet")
+    assert jobs.q_incremental_gold(spark, str(tmp_path)).agg(F.sum("readings")).first()[0] > first
+    runs, done = [], jobs.run_stream_medallion(spark, str(tmp_path))
+    monkeypatch.setattr(jobs, "run_stream_medallion", lambda *a: runs.append(a) or done)
+    for query in (jobs.q_stream_medallion, jobs.q_stream_bronze_counts, jobs.q_stream_run_log):
+        assert query(spark, str(tmp_path)).count() > 0
+    assert len(runs) == 3
