@@ -11,14 +11,24 @@ starts in a document with a smaller id.
 2. Deal.  The stretches of words over windows with a recurring anchor go to
    shards by anchor: all occurrences of a window meet in one shard, and the
    number of shards grows with the input.
-3. Compile and stream.  A shard takes the anchors one after another, in chunks
-   of bounded size.  Passages of anchors with several documents are compiled,
-   phrase by phrase, to an Aho-Corasick automaton over word numbers whose hits
-   give the smallest document; then the passages of all documents stream
-   through it.  Matching is on the words themselves, so hashes decide nothing.
-4. The hits, as ranges of words, go back to their documents.
-
-Null texts have no words; texts shorter than a window lose none.  Documents
+3. Compile and stream.  A shard takes its anchors in chunks of whole anchors.
+   The windows that several documents have are compiled to an Aho-Corasick
+   automaton whose hits give the smallest document; then the stretches of all
+   documents stream through it.  A word is written in the automaton as a few
+   digits of base 64, so that no node has many children.  Matching is on the
+   words themselves, so hashes decide nothing.
+4. Anchors with over ``HOT`` stretches (a licence line in a third of all
+   documents) meet in no single shard.  Their recurring windows are found by a
+   combined count first, dealt to automata of about ``HOT`` windows by a second
+   hash, and each automaton is given to as many tasks as its stretches need.
+5. The hits, as ranges of words, go back to their documents.
+
+A task's memory is bounded by ``CHUNK`` + ``HOT`` stretches and by the longest
+text, however many documents share a passage.
+
+Null texts have no words; texts shorter than a window lose none;
+a very long text is one document like any other and leaves a task only as its
+recurring stretches.  Documents
 that share a ``doc_id`` do not remove each other's words, and keep their own
 rows.  A null ``doc_id`` counts as larger than any other.  An empty table gives
 no rows; other columns are not read.
@@ -46,8 +56,17 @@ WINDOW = 13
 ANCHOR = 6
 FILTER_BITS = 28
 SLICE_BITS = 20
+#: The filter of hot anchors has fewer bits; a bit set by chance costs time only.
+HOT_BITS = FILTER_BITS - 4
 #: Stretches that a shard compiles at a time.
 CHUNK = 20_000
+#: Stretches of one anchor that one task may hold.
+HOT = 50_000
+#: Stands for a missing document id, which is larger than any other.
+LAST = (1 << 63) - 1
+#: Digits of the words' numbers in an automaton; each place has its own letters,
+#: so a hit can only begin and end with a word.
+BASE = 64
 
 
 class Words:
@@ -99,8 +118,10 @@ def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(a, b - a)
 
 
-def recurring(docs: DataFrame) -> Broadcast:
-    """The filter of anchors that occur more than once, as a bit array."""
+def recurring(docs: DataFrame) -> tuple[Broadcast, Broadcast | None, int]:
+    """The filters of anchors that occur in several documents, and of those with
+    over ``HOT`` stretches (None if there are none), as bit arrays, and the
+    number of the latter's stretches."""
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _each(batches):
@@ -110,44 +131,119 @@ def recurring(docs: DataFrame) -> Broadcast:
             row = np.searchsorted(words.first + words.n, start, "right")
             order = np.lexsort((h, row))
             h, row = h[order], row[order]
-            new = np.concatenate([[True], (h[1:] != h[:-1]) | (row[1:] != row[:-1])]) if len(h) else row
-            yield pa.record_batch([pa.array(h[new.astype(bool)].view(np.int64))], names=["h"])
+            head = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (row[1:] != row[:-1])])
+                                  if len(h) else row)
+            yield pa.record_batch([pa.array(h[head].view(np.int64)),
+                                   pa.array(np.diff(np.append(head, len(h))).astype(np.int32))], names=["h", "m"])
 
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[int, np.ndarray] = {}
+        found: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        total: dict[int, int] = {}
         for batch in batches:
-            at = batch.column(0).to_numpy()
-            own = at >> SLICE_BITS
+            at, m = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            hot = m > HOT
+            own, place = at >> SLICE_BITS, at & ((1 << SLICE_BITS) - 1)
             for k in np.unique(own).tolist():
-                part = found.setdefault(k, np.zeros(1 << SLICE_BITS, bool))
-                part[at[own == k] & ((1 << SLICE_BITS) - 1)] = True
-        for k, part in found.items():
-            yield pa.record_batch([pa.array([k]), pa.array([zlib.compress(np.packbits(part).tobytes(), 1)])],
-                                  names=["k", "bits"])
-
-    often = (docs.select("text").mapInArrow(anchors, "h long")
-             .groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-             .select(F.shiftrightunsigned("h", 64 - FILTER_BITS).alias("at")))
-    parts = (often.repartition(F.shiftright("at", SLICE_BITS)).mapInArrow(bits, "k long, bits binary")
-             .collect())  # the filter's fixed size at most
-    size = 1 << SLICE_BITS - 3
-    whole = np.zeros(size << FILTER_BITS - SLICE_BITS, np.uint8)
-    for r in parts:
-        whole[r["k"] * size:(r["k"] + 1) * size] = np.frombuffer(zlib.decompress(r["bits"]), np.uint8)
-    return docs.sparkSession.sparkContext.broadcast(whole)
-
-
-def dealt(docs: DataFrame, often: Broadcast) -> DataFrame:
-    """(h, doc_id, key, places, passage): the stretches with a recurring anchor,
-    and the numbers of the words at which a document has each, comma-joined."""
+                often, much = found.setdefault(k, (np.zeros(1 << SLICE_BITS, bool),
+                                                   np.zeros(1 << SLICE_BITS - FILTER_BITS + HOT_BITS, bool)))
+                often[place[own == k]] = True
+                much[place[(own == k) & hot] >> FILTER_BITS - HOT_BITS] = True
+                total[k] = total.get(k, 0) + int(m[(own == k) & hot].sum())
+        for k, (often, much) in found.items():
+            yield pa.record_batch(
+                [pa.array([k]), pa.array([zlib.compress(np.packbits(often).tobytes(), 1)]),
+                 pa.array([zlib.compress(np.packbits(much).tobytes(), 1) if total[k] else None], pa.binary()),
+                 pa.array([total[k]], pa.int64())],
+                names=["k", "often", "hot", "rows"])
+
+    often = (docs.select("text").mapInArrow(anchors, "h long, m int")
+             .groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.sum("m").alias("m")).where("n > 1")
+             .select(F.shiftrightunsigned("h", 64 - FILTER_BITS).alias("at"), "m"))
+    parts = (often.repartition(F.shiftright("at", SLICE_BITS))
+             .mapInArrow(bits, "k long, often binary, hot binary, rows long").collect())  # the filters' fixed size at most
+
+    def whole(name: str, total: int) -> Broadcast:
+        size = 1 << SLICE_BITS - FILTER_BITS + total - 3
+        out = np.zeros(1 << total - 3, np.uint8)
+        for r in parts:
+            if r[name] is not None:
+                out[r["k"] * size:(r["k"] + 1) * size] = np.frombuffer(zlib.decompress(r[name]), np.uint8)
+        return docs.sparkSession.sparkContext.broadcast(out)
+
+    rows = sum(r["rows"] for r in parts)
+    return whole("often", FILTER_BITS), whole("hot", HOT_BITS) if rows else None, rows
+
+
+def _set(filter: Broadcast, at: np.ndarray) -> np.ndarray:
+    return (filter.value[at >> np.uint64(3)] >> (7 - (at & np.uint64(7))).astype(np.uint8) & 1).astype(bool)
+
+
+def _second(window: str) -> int:
+    """The second hash of a window, which deals it to a hot shard."""
+    return xxhash.xxh64_intdigest(window, 1)
+
+
+def hot_phrases(docs: DataFrame, hot: Broadcast) -> DataFrame:
+    """(passage, doc_id, n, w): the windows of hot anchors that several documents
+    have, their smallest document, their occurrences and their second hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _each(batches):
+            words = Words(batch.column(1))
+            start, n, h = words.stretches()
+            hit = _set(hot, h >> np.uint64(64 - HOT_BITS))
+            start, n = start[hit], n[hit]
+            text = words.word[words.code] if len(start) else None
+            ids = batch.column(0).to_pylist()
+            found: dict[str, list[int]] = {}
+            for r, a, k in zip(np.searchsorted(words.first + words.n, start, "right").tolist(),
+                               start.tolist(), n.tolist()):
+                doc = LAST if ids[r] is None else ids[r]
+                for i in range(a, a + k):
+                    own = found.setdefault(" ".join(text[i:i + WINDOW]), [doc, doc, 0])
+                    own[:] = min(own[0], doc), max(own[1], doc), own[2] + 1
+            yield pa.record_batch([pa.array(found, pa.string()),
+                                   *(pa.array((v[i] for v in found.values()), pa.int64()) for i in range(3))],
+                                  names=["passage", "least", "most", "n"])
+
+    def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            w = np.fromiter(map(_second, batch.column(0).to_pylist()), np.uint64, batch.num_rows)
+            yield pa.record_batch([*batch.columns, pa.array(w.view(np.int64))], names=["passage", "doc_id", "n", "w"])
+
+    return (_keyed(docs).select("doc_id", "text").mapInArrow(run, "passage string, least long, most long, n long")
+            .groupBy("passage").agg(F.min("least").alias("doc_id"), F.max("most").alias("most"),
+                                    F.sum("n").alias("n"))
+            .where("doc_id < most").drop("most")
+            .mapInArrow(second, "passage string, doc_id long, n long, w long"))
+
+
+def _deal(shard: int, share: int) -> int:
+    return xxhash.xxh64_intdigest(shard.to_bytes(8, "little") + share.to_bytes(8, "little"), 2) - (1 << 63)
+
+
+DEALT = "h long, kind int, doc_id long, key long, places string, passage string"
+
+
+def dealt(docs: DataFrame, often: Broadcast, hot: Broadcast | None = None, shares: list[int] = ()) -> DataFrame:
+    """(h, kind, doc_id, key, places, passage): the stretches with a recurring
+    anchor, and the numbers of the words at which a document has each,
+    comma-joined.  Kind 0 is dealt by anchor.  Stretches of hot anchors (kind 2)
+    go to the shards of their windows, in each to one of its ``shares``."""
+
+    def shards(passage: str) -> list[int]:
+        if len(shares) == 1:
+            return [0]
+        w = passage.split(" ")
+        return sorted({_second(" ".join(w[i:i + WINDOW])) % len(shares) for i in range(len(w) - WINDOW + 1)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _each(batches):
             words = Words(batch.column(2))
             start, n, h = words.stretches()
-            at = h >> np.uint64(64 - FILTER_BITS)
-            hit = (often.value[at >> np.uint64(3)] >> (7 - (at & np.uint64(7))).astype(np.uint8) & 1).astype(bool)
+            hit = _set(often, h >> np.uint64(64 - FILTER_BITS))
             start, n, h = start[hit], n[hit], h[hit]
+            much = np.zeros(len(h), bool) if hot is None else _set(hot, h >> np.uint64(64 - HOT_BITS))
             text = words.word[words.code] if len(start) else None
             row = np.searchsorted(words.first + words.n, start, "right")
             # a stretch that a document repeats is one row with several places
@@ -161,13 +257,55 @@ def dealt(docs: DataFrame, often: Broadcast) -> DataFrame:
                 else:
                     places[own] = str(p)
                     kept.append(i)
-            rows = pa.array(row[kept])
-            yield pa.record_batch(
-                [pa.array(h.view(np.int64)[kept]), batch.column(0).take(rows), batch.column(1).take(rows),
-                 pa.array(places.values(), pa.string()), pa.array((t for _, t in places), pa.string())],
-                names=["h", "doc_id", "key", "places", "passage"])
+            rows, h, much = row[kept], h.view(np.int64)[kept], much[kept]
+            at, passages = pa.array(places.values(), pa.string()), pa.array((t for _, t in places), pa.string())
+            kind = np.zeros(len(rows), np.int32)
+            if much.any():
+                own = list(places)
+                copies = [(i, _deal(s, (r * 0x9E3779B1 + s) % shares[s]))
+                          for i in np.flatnonzero(much).tolist()
+                          for r in [xxhash.xxh32_intdigest(f"{batch.column(0)[int(rows[i])]} {places[own[i]]}")]
+                          for s in shards(passages[i].as_py())]
+                cold = np.flatnonzero(~much)
+                take = np.concatenate([cold, np.array([i for i, _ in copies], np.int64)])
+                h = np.concatenate([h[cold], np.array([d for _, d in copies], np.int64)])
+                kind = np.concatenate([kind[cold], np.full(len(copies), 2, np.int32)])
+                rows, at, passages = rows[take], at.take(pa.array(take)), passages.take(pa.array(take))
+            rows = pa.array(rows)
+            yield pa.record_batch([pa.array(h), pa.array(kind), batch.column(0).take(rows),
+                                   batch.column(1).take(rows), at, passages],
+                                  names=["h", "kind", "doc_id", "key", "places", "passage"])
+
+    return _keyed(docs).mapInArrow(run, DEALT)
+
+
+def hot_shards(phrases: DataFrame, stretches: int) -> list[int]:
+    """How many tasks each hot shard is given to: shards of about ``HOT`` windows,
+    as many shares as the stretches with its windows need.  Windows that do not
+    recur lead their stretches to all shards alike."""
+    count = max(1, -(-phrases.count() // HOT))
+    others = stretches * min(count, WINDOW - ANCHOR + 1) // count
+    shard = F.expr(f"CAST((CAST(w AS DECIMAL(20,0)) + IF(w < 0, 18446744073709551616BD, 0BD)) % {count}BD AS LONG)")
+    rows = {r["s"]: r["rows"] for r in phrases.groupBy(shard.alias("s")).agg(F.sum("n").alias("rows")).collect()}
+    return [1 + ((rows.get(s, 0) if count > 1 else 0) + others) // HOT for s in range(count)]
+
+
+def hot_dealt(phrases: DataFrame, shares: list[int]) -> DataFrame:
+    """The windows of hot anchors (kind 1), to every share of their shard."""
 
-    return _keyed(docs).mapInArrow(run, "h long, doc_id long, key long, places string, passage string")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shard = (batch.column(3).to_numpy().view(np.uint64) % np.uint64(len(shares))).astype(np.int64)
+            for a in range(0, batch.num_rows, 1000):
+                own = shard[a:a + 1000].tolist()
+                at = pa.array([a + i for i, s in enumerate(own) for _ in range(shares[s])], pa.int64())
+                yield pa.record_batch(
+                    [pa.array([_deal(s, k) for s in own for k in range(shares[s])], pa.int64()),
+                     pa.array(np.ones(len(at), np.int32)), batch.column(1).take(at), pa.nulls(len(at), pa.int64()),
+                     pa.nulls(len(at), pa.string()), batch.column(0).take(at)],
+                    names=["h", "kind", "doc_id", "key", "places", "passage"])
+
+    return phrases.mapInArrow(run, DEALT)
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -177,91 +315,131 @@ def _keyed(docs: DataFrame) -> DataFrame:
                        F.xxhash64(text).alias("key"), text.alias("text"))
 
 
-class Shard:
-    """Compiles and streams the stretches of one shard, sorted by (h, doc_id)."""
-
-    def __init__(self) -> None:
-        self.anchor: int | None = None  # of the last chunk's last group, which may go on
-        self.known: dict[tuple[str, ...], float] = {}  # its phrases and their smallest document
-
-    def chunk(self, rows: pa.Table) -> pa.RecordBatch:
-        h = rows["h"].to_numpy()
-        last = float(np.iinfo(np.int64).max)
-        ids = rows["doc_id"].to_pylist()
-        docs = [last if d is None else d for d in ids]
-        places, passages = rows["places"].to_pylist(), rows["passage"].to_pylist()
-        head = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])).tolist()
-        numbers: dict[str, int] = {}
-        phrases: dict[tuple[int, ...], float] = {}
-        goes_on = self.anchor is not None and self.anchor == h[0]
-        if goes_on:
-            for words, first in self.known.items():
-                phrases[tuple(numbers.setdefault(w, len(numbers)) for w in words)] = first
-        sequences: dict[str, tuple[int, ...]] = {}
-        confirmed: list[tuple[int, int]] = []
-        for a, b in zip(head, [*head[1:], len(h)]):
-            if docs[a] == docs[b - 1] and not (a == 0 and goes_on):
-                continue  # one document: nothing recurs across documents
-            confirmed.append((a, b))
-            for i in range(a, b):
-                if passages[i] not in sequences:
-                    seq = sequences[passages[i]] = tuple(
-                        [numbers.setdefault(w, len(numbers)) for w in passages[i].split(" ")])
-                    for k in range(len(seq) - WINDOW + 1):
-                        phrases.setdefault(seq[k:k + WINDOW], docs[i])  # ascending: the smallest
-        out: list[tuple[int, int, int]] = []
-        if confirmed:
-            automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-            for phrase, first in phrases.items():
-                automaton.add_word(phrase, first)
-            automaton.make_automaton()
-            firsts = {p: [f for _, f in automaton.iter(seq)] for p, seq in sequences.items()}
-            for a, b in confirmed:
-                for i in range(a, b):
-                    first, doc = firsts[passages[i]], docs[i]
-                    if max(first) < doc:
-                        spans = [(0, len(first) + WINDOW - 1)]
+class Automaton:
+    """Finds windows in passages.  A word is its number's digits, each place of
+    the number with letters of its own, so the nodes stay small."""
+
+    def __init__(self, windows: Iterator[tuple[str, int]]) -> None:
+        self.code: dict[str, str] = {}
+        self.found = ahocorasick.Automaton()
+        for window, first in windows:
+            self.found.add_word("".join([self.code.get(w) or self._new(w) for w in window.split(" ")]), first)
+        if self.code:
+            self.found.make_automaton()
+
+    def _new(self, word: str) -> str:
+        n = len(self.code)
+        own = self.code[word] = "".join(chr(33 + BASE * k + n // BASE ** k % BASE) for k in range(4))
+        return own
+
+    def spans(self, passage: str, doc: int) -> list[tuple[int, int]]:
+        """Ranges of the passage's words under windows that a smaller document has."""
+        out: list[tuple[int, int]] = []
+        if self.code:
+            # words that are in no window cannot be in a hit
+            seq = "".join([self.code.get(w, "    ") for w in passage.split(" ")])
+            for end, first in self.found.iter(seq):
+                if first < doc:
+                    b = (end + 1) // 4
+                    if out and b - WINDOW <= out[-1][1]:
+                        out[-1] = (out[-1][0], b)
                     else:
-                        spans = [(k, k + WINDOW) for k, f in enumerate(first) if f < doc]
-                    if spans:
-                        out += [(i, p + a, p + b) for p in map(int, places[i].split(",")) for a, b in spans]
-        self._keep(h[-1], head[-1], docs, passages, goes_on and len(head) == 1)
-        at = pa.array([i for i, _, _ in out], pa.int64())
-        return pa.record_batch(
-            [rows["doc_id"].combine_chunks().take(at), rows["key"].combine_chunks().take(at),
-             pa.array([s for _, s, _ in out], pa.int64()), pa.array([e for _, _, e in out], pa.int64())],
-            names=["doc_id", "key", "a", "b"])
-
-    def _keep(self, anchor: int, a: int, docs: list, passages: list, add: bool) -> None:
-        if not add:
-            self.known = {}
-        self.anchor = int(anchor)
-        seen = set()
-        for doc, passage in zip(docs[a:], passages[a:]):
+                        out.append((b - WINDOW, b))
+        return out
+
+
+def _windows(passage: str) -> list[str]:
+    words = passage.split(" ")
+    return [" ".join(words[k:k + WINDOW]) for k in range(len(words) - WINDOW + 1)]
+
+
+def _hits(rows: pa.Table, automaton: Automaton, docs: list[int], which: Iterator[int]) -> pa.RecordBatch:
+    places, passages = rows["places"].to_pylist(), rows["passage"].to_pylist()
+    out = [(i, p + a, p + b) for i in which for a, b in automaton.spans(passages[i], docs[i])
+           for p in map(int, places[i].split(","))]
+    at = pa.array([i for i, _, _ in out], pa.int64())
+    return pa.record_batch(
+        [rows["doc_id"].combine_chunks().take(at), rows["key"].combine_chunks().take(at),
+         pa.array([s for _, s, _ in out], pa.int64()), pa.array([e for _, _, e in out], pa.int64())],
+        names=["doc_id", "key", "a", "b"])
+
+
+def _order(rows: pa.Table) -> list[int]:
+    return pc.fill_null(rows["doc_id"], LAST).to_pylist()
+
+
+def _by_anchor(rows: pa.Table) -> pa.RecordBatch:
+    """Whole anchors, sorted by (h, doc_id): windows that several documents have
+    are compiled, and all stretches stream through."""
+    h, docs, passages = rows["h"].to_numpy(), _order(rows), rows["passage"].to_pylist()
+    first: dict[str, int] = {}
+    seen: dict[str, int] = {}
+    shared: set[str] = set()
+    which: list[int] = []
+    head = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])).tolist()
+    for a, b in zip(head, [*head[1:], len(h)]):
+        if docs[a] == docs[b - 1]:
+            continue  # one document: nothing recurs across documents
+        which += range(a, b)
+        for passage, doc in zip(passages[a:b], docs[a:b]):  # ascending: the smallest comes first
             if passage not in seen:
-                seen.add(passage)
-                words = passage.split(" ")
-                for k in range(len(words) - WINDOW + 1):
-                    self.known.setdefault(tuple(words[k:k + WINDOW]), doc)
+                seen[passage] = doc
+                for window in _windows(passage):
+                    if first.setdefault(window, doc) != doc:
+                        shared.add(window)
+            elif seen[passage] not in (doc, LAST + 1):
+                shared.update(_windows(passage))
+                seen[passage] = LAST + 1
+    return _hits(rows, Automaton((w, first[w]) for w in shared), docs, which)
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
     """(doc_id, key, a, b): ranges of words that go, per stretch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, held, n = Shard(), [], 0
+        held: list[pa.RecordBatch] = []  # stretches of whole anchors, and of one that may go on
+        n = 0
+        deal, windows, automaton = None, [], None  # of the hot share at hand
         for batch in batches:
-            for a in range(0, batch.num_rows, CHUNK):
-                held.append(batch.slice(a, CHUNK))
-                n += held[-1].num_rows
-                if n >= CHUNK:
-                    yield shard.chunk(pa.Table.from_batches(held))
-                    held, n = [], 0
+            kind, h = batch.column(1).to_numpy(), batch.column(0).to_numpy()
+            # runs of one kind and, for hot shares, of one share
+            cut = np.flatnonzero((kind[1:] != kind[:-1]) | (h[1:] != h[:-1]) & (kind[1:] > 0)) + 1
+            for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(kind)]):
+                part = batch.slice(a, b - a)
+                if kind[a] == 0:
+                    held.append(part)
+                    n += b - a
+                    while n >= CHUNK:
+                        rows = pa.Table.from_batches(held)
+                        own = rows["h"].to_numpy()
+                        # up to the last anchor, which may go on (it has few rows: it is not hot)
+                        end = int(np.argmax(own == own[-1]))
+                        if not end:
+                            break
+                        yield _by_anchor(rows.slice(0, end))
+                        held, n = rows.slice(end).to_batches(), n - end
+                    continue
+                if h[a] != deal:
+                    deal, windows, automaton = h[a], [], None
+                if kind[a] == 1:
+                    windows += zip(part.column(5).to_pylist(), part.column(2).to_pylist())
+                else:
+                    if automaton is None:
+                        automaton, windows = Automaton(windows), []
+                    rows = pa.Table.from_batches([part])
+                    yield _hits(rows, automaton, _order(rows), range(rows.num_rows))
         if n:
-            yield shard.chunk(pa.Table.from_batches(held))
-
-    return (dealt(docs, recurring(docs)).repartition("h")
-            .sortWithinPartitions(F.col("h"), F.col("doc_id").asc_nulls_last())
+            yield _by_anchor(pa.Table.from_batches(held))
+
+    often, hot, stretches = recurring(docs)
+    if hot is None:
+        rows = dealt(docs, often)
+    else:
+        phrases = stage(hot_phrases(docs, hot), "hot-phrases")
+        shares = hot_shards(phrases, stretches)
+        rows = dealt(docs, often, hot, shares).unionByName(hot_dealt(phrases, shares))
+    return (rows.repartition("h")
+            .sortWithinPartitions(F.col("kind") > 0, F.col("h"), F.col("kind"), F.col("doc_id").asc_nulls_last())
             .mapInArrow(run, "doc_id long, key long, a long, b long"))
 
 

@@ -399,7 +399,11 @@ def test_phrases(edge, monkeypatch, chunk):
     assert rows(out, "doc_id", "n_words", "n_removed", "kept_sha256") == sorted(removed(edge_docs()), key=repr)
 
 
-def test_phrases_random_overlaps(spark, edge):
+@pytest.mark.parametrize("chunk,hot", [(20_000, 50_000), (20_000, 60), (7, 4), (3, 1)])
+def test_phrases_random_overlaps(spark, edge, monkeypatch, chunk, hot):
+    """Also with nearly all anchors hot: many shards and shares."""
+    monkeypatch.setattr(phrases, "CHUNK", chunk)
+    monkeypatch.setattr(phrases, "HOT", hot)
     rng = random.Random(11)
     pool = [[f"{a}{rng.randrange(50)}" for _ in range(40)] for a in "abcdefgh"]
     docs = []
@@ -413,6 +417,19 @@ def test_phrases_random_overlaps(spark, edge):
     assert rows(got, "doc_id", "n_words", "n_removed", "kept_sha256") == sorted(removed(docs), key=repr)
 
 
+def test_phrases_hot_anchor_in_every_document(spark, edge, monkeypatch):
+    """Six words that all documents share, with the same or other words around them."""
+    monkeypatch.setattr(phrases, "HOT", 40)
+    rng = random.Random(5)
+    docs = [doc(i, " ".join([*(f"l{rng.randrange(3) if i % 3 else i}x{k}" for k in range(8)), "all rights of this text reserved",
+                             *(f"r{rng.randrange(3) if i % 3 else i}y{k}" for k in range(8))])) for i in range(300)]
+    docs += [doc(None, docs[4][1]), docs[5], docs[5], doc(-1, docs[7][1] + " end")]
+    often, hot, stretches = phrases.recurring(spark.createDataFrame(docs, SCHEMA))
+    assert hot is not None and stretches > 40
+    got = phrases.without_repeats(spark.createDataFrame(docs, SCHEMA).repartition(4))
+    assert rows(got, "doc_id", "n_words", "n_removed", "kept_sha256") == sorted(removed(docs), key=repr)
+
+
 def test_phrases_empty(empty):
     assert phrases.without_repeats(empty).count() == 0
 
