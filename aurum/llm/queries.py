@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_dir, prepare, scratch_root
-from . import blocknames, chat, kneser, packing, pfair, phrases, quality, repair, secret_spans, simhash
+from . import blocknames, chat, collocations, kneser, packing, pfair, phrases, quality, repair, secret_spans, simhash
 from .common import read_table, ship, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -181,3 +181,36 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pack all documents into sequences of at most 1024 ids."""
     return packing.pack(read_table(spark, sf_dir, "documents"),
                         public_tokenizers.path("byte_bpe_50k.json"), 1024, 0)
+
+
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's 2000 best phrases of all documents."""
+    return collocations.collocations(read_table(spark, sf_dir, "documents"))
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+ORACLES["op13_collocations"] = f"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang,
+                  unnest(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece
+           FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
+f AS (SELECT lang, k, w[i:i + k - 1] AS g, count(*) AS f
+      FROM w, unnest([1, 2, 3]) AS s(k), unnest(range(1, len(w) - k + 2)) AS t(i) GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, g, f AS a FROM f WHERE k > 1 AND f >= 10),
+parts AS (SELECT lang, k, g, a, h, g[1:h] AS g1, g[h + 1:k] AS g2
+          FROM (SELECT *, unnest(range(1, k)) AS h FROM c)),
+cut AS (SELECT parts.lang, parts.k, parts.g, a, x.f AS l, y.f AS r, h,
+               (1000000::HUGEINT * a * a // (x.f::HUGEINT * y.f))::BIGINT AS score
+        FROM parts JOIN f AS x ON x.lang = parts.lang AND x.g = g1 JOIN f AS y ON y.lang = parts.lang AND y.g = g2),
+worst AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, h) = 1),
+gone AS (SELECT DISTINCT x.lang, x.g FROM c AS x
+         JOIN (SELECT lang, a, unnest([g[1:2], g[2:3]]) AS g FROM c WHERE k = 3) AS y
+           ON x.lang = y.lang AND x.g = y.g WHERE 100 * y.a >= 50 * x.a),
+kept AS (SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, score, k
+         FROM worst ANTI JOIN gone USING (lang, g))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, n, score, k AS words
+FROM kept JOIN n USING (lang)
+QUALIFY rank <= 2000"""

@@ -119,3 +119,26 @@ def components(ids, fps):
         if d is not None:
             best[find(i)] = min(best.get(find(i), d), d)
     return [best.get(find(i)) for i in range(len(fps))]
+
+
+def collocations(docs, top, least=10, share=50):
+    """lang, rank, phrase, a, l, r, n, score of the phrase operator, for (lang, text) rows."""
+    out = []
+    spoken = collections.defaultdict(list)
+    for lang, text in docs:
+        low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+        spoken["und" if lang is None else lang] += [
+            re.findall(r"[^\x20\x09]+", piece) for piece in re.split(r"[.,;:!?\x0A-\x0D]", low)]
+    for lang, pieces in spoken.items():
+        f = collections.Counter(tuple(p[i:i + k]) for p in pieces for k in (1, 2, 3) for i in range(len(p) - k + 1))
+        cand = {g: a for g, a in f.items() if len(g) > 1 and a >= least}
+        gone = {h for g, a in cand.items() if len(g) == 3 for h in (g[:2], g[1:])
+                if h in cand and 100 * a >= share * cand[h]}
+        best = []
+        for g, a in cand.items():
+            if g not in gone:
+                score, k = min((1000000 * a * a // (f[g[:k]] * f[g[k:]]), k) for k in range(1, len(g)))
+                best.append((-score, -a, " ".join(g).encode(), f[g[:k]], f[g[k:]]))
+        n = sum(map(len, pieces))
+        out += [(lang, i + 1, phrase.decode(), -a, l, r, n, -s) for i, (s, a, phrase, l, r) in enumerate(sorted(best)[:top])]
+    return out
