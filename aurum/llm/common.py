@@ -88,3 +88,42 @@ def let(value: Column, body) -> Column:
     uses it inside a lambda (a plain column could be inlined there and be
     computed again for each element)."""
     return F.transform(F.array(value), body)[0]
+
+
+def join_hot(rows: DataFrame, table: DataFrame, key: str, most: int = 1000) -> DataFrame:
+    """``rows`` left-joined with ``table``, which is unique on ``key``, however
+    many rows share a key.
+
+    Keys with over 1 / ``most`` of the rows are fewer than ``most``: their rows of
+    ``table`` are broadcast under that bound.  All others meet by shuffle, in
+    groups of at most 1 / ``most``.  ``rows`` is read three times: stage it first.
+    """
+    total = rows.count()
+    hot = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") * most > total).select(key)
+    often = F.broadcast(table.join(F.broadcast(hot), key, "left_semi"))
+    return (rows.join(F.broadcast(hot), key, "left_anti").join(table, key, "left")
+            .unionByName(rows.join(F.broadcast(hot), key, "left_semi").join(often, key, "left")))
+
+
+def partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def numbered(df: DataFrame, *order: Column, name: str = "no") -> DataFrame:
+    """``df`` with dense numbers from 0 in the given order, which must be total.
+
+    Rows are dealt by range and sorted; each range starts after the rows of the
+    ranges before it (one count per range reaches the driver).
+    """
+    spark = df.sparkSession
+    low = (1 << 33) - 1
+    dealt = stage(df.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order)
+                  .withColumn("_m", F.monotonically_increasing_id()), "numbered")
+    counts = dealt.groupBy(F.shiftright("_m", 33).alias("p")).agg(F.count(F.lit(1)).alias("n")).orderBy("p").collect()
+    first, n = [], 0
+    for r in counts:
+        first.append((r["p"], n))
+        n += r["n"]
+    starts = F.broadcast(spark.createDataFrame(first, "_p long, _first long"))
+    return (dealt.join(starts, F.shiftright("_m", 33) == F.col("_p"))
+            .withColumn(name, F.col("_first") + F.col("_m").bitwiseAND(F.lit(low))).drop("_m", "_p", "_first"))

@@ -12,9 +12,9 @@ starts in a document with a smaller id.
    shards by anchor: all occurrences of a window meet in one shard, and the
    number of shards grows with the input.
 3. Compile and stream.  A shard takes its anchors in chunks of whole anchors.
-   The windows that several documents have are compiled to an Aho-Corasick
-   automaton whose hits give the smallest document; then the stretches of all
-   documents stream through it.  A word is written in the automaton as a few
+   The passages that several documents have, and the windows that different
+   passages share, are compiled to an Aho-Corasick automaton whose hits give
+   the smallest document; then the stretches of all documents stream through it.  A word is written in the automaton as a few
    digits of base 64, so that no node has many children.  Matching is on the
    words themselves, so hashes decide nothing.
 4. Anchors with over ``HOT`` stretches (a licence line in a third of all
@@ -348,15 +348,14 @@ class Automaton:
         return out
 
 
-def _windows(passage: str) -> list[str]:
-    words = passage.split(" ")
-    return [" ".join(words[k:k + WINDOW]) for k in range(len(words) - WINDOW + 1)]
+def _order(rows: pa.Table) -> np.ndarray:
+    return pc.fill_null(rows["doc_id"], LAST).to_numpy()
 
 
-def _hits(rows: pa.Table, automaton: Automaton, docs: list[int], which: Iterator[int]) -> pa.RecordBatch:
-    places, passages = rows["places"].to_pylist(), rows["passage"].to_pylist()
-    out = [(i, p + a, p + b) for i in which for a, b in automaton.spans(passages[i], docs[i])
-           for p in map(int, places[i].split(","))]
+def _spans(rows: pa.Table, found: Iterator[tuple[int, list[tuple[int, int]]]]) -> pa.RecordBatch:
+    """The ranges found in passages as ranges of their documents."""
+    places = rows["places"].to_pylist()
+    out = [(i, int(p) + a, int(p) + b) for i, ranges in found for p in places[i].split(",") for a, b in ranges]
     at = pa.array([i for i, _, _ in out], pa.int64())
     return pa.record_batch(
         [rows["doc_id"].combine_chunks().take(at), rows["key"].combine_chunks().take(at),
@@ -364,33 +363,71 @@ def _hits(rows: pa.Table, automaton: Automaton, docs: list[int], which: Iterator
         names=["doc_id", "key", "a", "b"])
 
 
-def _order(rows: pa.Table) -> list[int]:
-    return pc.fill_null(rows["doc_id"], LAST).to_pylist()
+def _in_digits(passages: pa.Array) -> tuple[list[str], int]:
+    """Passages with each word as so many letters, numbers of words in digits."""
+    lists = pc.split_pattern(passages, " ")
+    words = lists.flatten().dictionary_encode()
+    width, base = (3, BASE) if len(words.dictionary) <= BASE ** 3 else (4, 55)  # all below 256
+    n, at = words.indices.to_numpy(), lists.offsets.to_numpy() * width
+    digits = np.empty((len(n), width), np.uint8)
+    for k in range(width):
+        digits[:, k] = 33 + base * k + n // base ** k % base
+    text = digits.tobytes().decode("latin-1")
+    return [text[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())], width
 
 
-def _by_anchor(rows: pa.Table) -> pa.RecordBatch:
-    """Whole anchors, sorted by (h, doc_id): windows that several documents have
-    are compiled, and all stretches stream through."""
-    h, docs, passages = rows["h"].to_numpy(), _order(rows), rows["passage"].to_pylist()
+def _mixed(group: list[tuple[str, int]], size: int, phrases: dict[str, int]) -> None:
+    """Phrases of an anchor with different passages, (passage, document) in
+    ascending order of documents: passages that several documents have as they
+    are, and windows that several passages have."""
     first: dict[str, int] = {}
-    seen: dict[str, int] = {}
-    shared: set[str] = set()
-    which: list[int] = []
-    head = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])).tolist()
-    for a, b in zip(head, [*head[1:], len(h)]):
-        if docs[a] == docs[b - 1]:
-            continue  # one document: nothing recurs across documents
-        which += range(a, b)
-        for passage, doc in zip(passages[a:b], docs[a:b]):  # ascending: the smallest comes first
-            if passage not in seen:
-                seen[passage] = doc
-                for window in _windows(passage):
-                    if first.setdefault(window, doc) != doc:
-                        shared.add(window)
-            elif seen[passage] not in (doc, LAST + 1):
-                shared.update(_windows(passage))
-                seen[passage] = LAST + 1
-    return _hits(rows, Automaton((w, first[w]) for w in shared), docs, which)
+    window_of: dict[str, tuple[str, int]] = {}
+    for passage, doc in group:
+        if passage in first:
+            if first[passage] != doc:
+                phrases.setdefault(passage, first[passage])
+            continue
+        first[passage] = doc
+        for k in range(0, len(passage) - WINDOW * size + size, size):
+            window = passage[k:k + WINDOW * size]
+            own, least = window_of.setdefault(window, (passage, doc))
+            if own != passage:
+                phrases[window] = min(phrases.get(window, least), least)
+
+
+def _by_anchor(rows: pa.Table) -> pa.RecordBatch:
+    """Whole anchors, sorted by (h, doc_id): recurring passages are compiled, and
+    all passages stream through.  A hit says that a document has those words;
+    every window that a smaller document has lies in such a hit."""
+    h, doc = rows["h"].to_numpy(), _order(rows)
+    coded = rows["passage"].combine_chunks().dictionary_encode()
+    code = coded.indices.to_numpy()
+    head = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+    end = np.append(head[1:], len(h))
+    recurs = doc[head] != doc[end - 1]  # in one document, nothing recurs across documents
+    alike = np.minimum.reduceat(code, head) == np.maximum.reduceat(code, head)
+    which = np.flatnonzero(np.repeat(recurs, end - head))
+    used, own = np.unique(code[which], return_inverse=True)
+    texts, size = _in_digits(coded.dictionary.take(pa.array(used)))
+    at = np.zeros(len(code), np.int64)
+    at[which] = own
+    phrases = {texts[i]: d for i, d in zip(at[head[recurs & alike]].tolist(), doc[head[recurs & alike]].tolist())}
+    for a, b in zip(head[recurs & ~alike].tolist(), end[recurs & ~alike].tolist()):
+        _mixed([(texts[i], d) for i, d in zip(at[a:b].tolist(), doc[a:b].tolist())], size, phrases)
+    automaton = ahocorasick.Automaton()
+    for phrase, first in phrases.items():
+        automaton.add_word(phrase, (first, len(phrase) // size))
+    if phrases:
+        automaton.make_automaton()
+    hits = [[((e + 1) // size - n, (e + 1) // size, first) for e, (first, n) in automaton.iter(t)] if phrases else []
+            for t in texts]
+
+    def found() -> Iterator[tuple[int, list[tuple[int, int]]]]:
+        for i, k, d in zip(which.tolist(), own.tolist(), doc[which].tolist()):
+            if ranges := [(a, b) for a, b, first in hits[k] if first < d]:
+                yield i, ranges
+
+    return _spans(rows, found())
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
@@ -427,7 +464,8 @@ def occurrences(docs: DataFrame) -> DataFrame:
                     if automaton is None:
                         automaton, windows = Automaton(windows), []
                     rows = pa.Table.from_batches([part])
-                    yield _hits(rows, automaton, _order(rows), range(rows.num_rows))
+                    yield _spans(rows, ((i, automaton.spans(p, d)) for i, (p, d) in enumerate(
+                        zip(part.column(5).to_pylist(), _order(rows).tolist()))))
         if n:
             yield _by_anchor(pa.Table.from_batches(held))
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_dir, prepare, scratch_root
-from . import blocknames, chat, collocations, kneser, packing, pfair, phrases, quality, repair, secret_spans, simhash
+from . import blocknames, chat, collocations, kneser, packing, pfair, phrases, quality, repair, secret_spans, simhash, trie
 from .common import read_table, ship, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -214,3 +214,40 @@ SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p
        phrase, a, l, r, n, score, k AS words
 FROM kept JOIN n USING (lang)
 QUALIFY rank <= 2000"""
+
+
+@query
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all conversations, rebuilt to share heads."""
+    return trie.prefix_trie(*trie.rebuilt(trie.turns(read_table(spark, sf_dir, "conversations"))))
+
+
+ORACLES["op12_trie"] = """
+WITH t AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS d,
+                  sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS g,
+                  len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS w
+           FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (SELECT c, c - c % 20 AS b,
+          (xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+                           lambda crc, x: list_reduce(list_prepend(xor(crc, x), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+                             lambda v, z: if(v % 2 = 1, xor(v // 2, 3988292384), v // 2))), 4294967295) % 4)::BIGINT AS h
+        FROM (SELECT DISTINCT c FROM t)),
+len AS (SELECT c AS b, count(*) AS n FROM t GROUP BY c),
+k AS (SELECT c, b, h, least(h, coalesce(n, 0)) AS k FROM ids LEFT JOIN len USING (b)),
+r AS (SELECT k.c, t.d, t.g, t.w FROM k JOIN t ON t.c = k.b AND t.d <= k.k
+      UNION ALL SELECT k.c, k.k + t.d - k.h, t.g, t.w FROM k JOIN t ON t.c = k.c AND t.d > k.h),
+p AS (SELECT c, d, w, sha256(string_agg(g, '') OVER (PARTITION BY c ORDER BY d)) AS node FROM r
+      UNION ALL SELECT c, 0, 0, '' FROM ids),
+size AS (SELECT c, max(d) AS n FROM p GROUP BY c),
+nodes AS (SELECT node, d, min(c) AS c, count(*) AS n, max(w) AS w,
+                 sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (d = size.n), '')) AS ends
+          FROM p JOIN size USING (c) GROUP BY node, d),
+up AS (SELECT x.node, y.c, y.d FROM nodes AS x JOIN p ON p.c = x.c AND p.d = x.d - 1 JOIN nodes AS y ON y.node = p.node AND y.d = p.d),
+kids AS (SELECT c, d, count(*) AS n FROM up GROUP BY c, d),
+sub AS (SELECT y.c, y.d, count(*) FILTER (kids.n IS NULL) AS leaves, sum((x.n - 1) * x.w)::BIGINT AS saved
+        FROM nodes AS x LEFT JOIN kids ON kids.c = x.c AND kids.d = x.d
+        JOIN p ON p.c = x.c AND p.d <= x.d JOIN nodes AS y ON y.node = p.node AND y.d = p.d GROUP BY y.c, y.d)
+SELECT nodes.c AS conv_id, nodes.d AS depth, up.c AS parent_conv_id, nodes.n AS n_convs, coalesce(kids.n, 0) AS n_children,
+       leaves AS n_leaves, saved AS saved_tokens, ends AS ends_sha256
+FROM nodes LEFT JOIN up ON up.node = nodes.node LEFT JOIN kids ON kids.c = nodes.c AND kids.d = nodes.d
+JOIN sub ON sub.c = nodes.c AND sub.d = nodes.d"""
