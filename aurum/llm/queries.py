@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_dir, prepare, scratch_root
-from . import blocknames, chat, collocations, kneser, packing, pfair, phrases, quality, repair, secret_spans, simhash, trie
+from . import blocknames, chat, collocations, kneser, packing, pfair, phrases, quality, repair, secret_spans, simhash, trie, urls
 from .common import read_table, ship, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -216,6 +216,17 @@ FROM kept JOIN n USING (lang)
 QUALIFY rank <= 2000"""
 
 
+#: (verdict, host, path)
+URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+             ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+
+@query
+def op11_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every page's url; words are those of all documents."""
+    return urls.judged(read_table(spark, sf_dir, "pages"), read_table(spark, sf_dir, "documents"), URL_RULES)
+
+
 @query
 def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The prefix trie of all conversations, rebuilt to share heads."""

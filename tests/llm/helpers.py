@@ -5,6 +5,7 @@ from __future__ import annotations
 import collections
 import hashlib
 import re
+import zlib
 
 import numpy as np
 import xxhash
@@ -142,3 +143,29 @@ def collocations(docs, top, least=10, share=50):
         n = sum(map(len, pieces))
         out += [(lang, i + 1, phrase.decode(), -a, l, r, n, -s) for i, (s, a, phrase, l, r) in enumerate(sorted(best)[:top])]
     return out
+
+
+def trie(rows):
+    """op12's columns for (conv_id, turn, role, text) rows, heads shared."""
+    own = collections.defaultdict(list)
+    for c, turn, role, text in rows:
+        if c is not None:
+            own[c].append((turn is not None, turn or 0, role or "", text or ""))
+    own = {c: [t[2:] for t in sorted(v)] for c, v in own.items()}
+    built = {}
+    for c, v in own.items():
+        h = zlib.crc32(str(c).encode()) % 4
+        built[c] = tuple(own.get(c - int(np.fmod(c, 20)), [])[:h] + v[h:])
+    members = collections.defaultdict(list)
+    for c, v in built.items():
+        for d in range(len(v) + 1):
+            members[v[:d]].append(c)
+    kids = collections.Counter(p[:-1] for p in members if p)
+    leaves, saved = collections.Counter(), collections.Counter()
+    for p, m in members.items():
+        for d in range(len(p) + 1):
+            leaves[p[:d]] += kids[p] == 0
+            saved[p[:d]] += (len(m) - 1) * len(words(p[-1][1])) if p else 0
+    return [(min(m), len(p), min(members[p[:-1]]) if p else None, len(m), kids[p], leaves[p], saved[p],
+             hashlib.sha256(",".join(map(str, sorted(c for c in m if built[c] == p))).encode()).hexdigest())
+            for p, m in members.items()]
