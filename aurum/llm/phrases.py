@@ -24,7 +24,8 @@ starts in a document with a smaller id.
 5. The hits, as ranges of words, go back to their documents.
 
 A task's memory is bounded by ``CHUNK`` + ``HOT`` stretches and by the longest
-text, however many documents share a passage.
+text, however many documents share a passage.  The driver and each worker hold
+the filters, 34 MB whatever the input.
 
 Null texts have no words; texts shorter than a window lose none;
 a very long text is one document like any other and leaves a task only as its
