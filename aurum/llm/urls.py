@@ -21,8 +21,8 @@ millionths, so sums do not depend on their order.
 A null url, or one without ``://``, has an empty host and path and is judged by the
 prior alone.  Runs of more than ``RUN`` letters are split in blocks of ``RUN``, so very
 long urls need no more memory.  Repeated rows and ids are judged one by one.  With
-no rule-decided page nothing is blocked; an empty corpus leaves runs whole up to
-``LONGEST``.  An empty table gives no rows; other columns are not read.
+no rule-decided page nothing is blocked; an empty corpus splits runs into
+letters.  An empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
