@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -11,6 +12,7 @@ import public_tokenizers
 import pytest
 from helpers import SCHEMA, components, edge_docs, fingerprint
 from llm_fixtures import edge  # noqa: F401  (fixture)
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as E
@@ -169,3 +171,34 @@ def test_near_dedup_keeps_one_row_of_each_component(spark, tmp_path):
     got = corpus_pipeline.near_dedup(spark, df.repartition(3), "").collect()
     assert sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"][0]) for r in got) == [
         (False, 0, "q"), (False, 1, "p"), (True, 0, "r")]
+
+
+NAMES = ("_key _n _bucket _row _mix _rank _pool _block _lang _measures _mixture_place _mixture_place_ _more _place c0 _k _b "
+         "_first _doc_id _m _p a.b x`y rank threshold q piece h fp slot start length sequence_id offset").split()
+
+
+def test_pipeline_with_columns_of_internal_names(spark, edge, tmp_path):
+    """Every stage returns further columns unchanged, whatever they are called."""
+    docs = spark.createDataFrame(edge_docs(), SCHEMA).repartition(2)
+    docs = docs.select("*", *[F.concat(F.lit(n), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))).alias(n) for n in NAMES])
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
+    frame = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, step in corpus_pipeline.STAGES[:-1]:
+        frame = step(spark, frame, str(tmp_path))
+        assert frame.columns == docs.columns
+        for r in frame.collect():
+            assert list(r)[5:] == [f"{n}{'-' if r['doc_id'] is None else r['doc_id']}" for n in NAMES]
+    assert corpus_pipeline.pack(spark, frame, "").count() > 0
+
+
+def test_stages_do_not_depend_on_the_order_of_rows(spark, edge):
+    """Rows equal in id and text but not in other columns: the same one stays."""
+    docs = [(i // 5, f"text of {i // 5} " * 9, "en", f"src{i % 5}", i * 7 % 5) for i in range(60)]
+    got = []
+    for seed in (1, 2, 3):
+        random.Random(seed).shuffle(docs)
+        df = spark.createDataFrame(docs, SCHEMA).repartition(seed).withColumn("more", F.concat("source", F.lit("x")))
+        got.append([sorted(tuple(r) for r in step(spark, df, "").collect())
+                    for step in (corpus_pipeline.exact_dedup, corpus_pipeline.near_dedup)])
+    assert got[0] == got[1] == got[2] and {r[3] for r in got[0][0]} == {"src0"}
