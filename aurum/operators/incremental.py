@@ -61,7 +61,7 @@ def write_silver(lake: MedallionStore, silver_batch: DataFrame, days: list | Non
         days = None if days is None else [d for d in days if str(d) >= kept_from]
     return merge.merge_keyed(lake.spark, lake.path("silver"), silver_batch,
                              ["city", "event_time"], "day", "ignore", lake.schema("silver"),
-                             values=days, small_updates=small, observation=observation)
+                             values=days, small_updates=small, observation=observation, unique=True)
 
 
 def refresh_gold(lake: MedallionStore, batch_silver: DataFrame, days: list | None = None,
@@ -103,14 +103,14 @@ def refresh_gold(lake: MedallionStore, batch_silver: DataFrame, days: list | Non
             lambda: merge.merge_keyed(
                 lake.spark, lake.path("latest"), latest, ["city"], "bucket",
                 "replace_if_newer", lake.schema("latest"), time_col="event_time",
-                values=summary["buckets"], small_updates=small),
+                values=summary["buckets"], small_updates=small, unique=True),
             lambda: merge.merge_keyed(
                 lake.spark, lake.path("hourly"), hourly, ["city", "hour_start"], "day",
                 "replace", lake.schema("hourly"), values=touched_days,
-                small_updates=24 * summary["rows"] <= cfg.broadcast_touched_rows),
+                small_updates=24 * summary["rows"] <= cfg.broadcast_touched_rows, unique=True),
             lambda: merge.merge_keyed(
                 lake.spark, lake.path("daily"), daily, ["city", "day"], "day", "replace",
-                lake.schema("daily"), values=touched_days, small_updates=small),
+                lake.schema("daily"), values=touched_days, small_updates=small, unique=True),
         ]
         # three independent tables from the same persisted inputs: submit the
         # jobs together so small batches do not pay three job latencies in a row
@@ -125,9 +125,11 @@ def refresh_gold(lake: MedallionStore, batch_silver: DataFrame, days: list | Non
 
 
 def rebuild_gold(lake: MedallionStore) -> None:
-    """Recompute all gold tables from silver and overwrite them (repair
+    """Recompute all gold tables from silver and replace them (repair
     path; must equal the incremental result).  Silver is read twice: once for
-    latest per key, once for hourly + daily together (grouping sets)."""
+    latest per key, once for hourly + daily together (grouping sets).  Each new
+    table is written beside the old one and switched to when whole, so a rebuild
+    that dies leaves the old rows readable."""
     cfg = lake.cfg
     s = lake.read("silver")
     both = gold.build_hourly_daily(s, cfg).persist(StorageLevel.MEMORY_AND_DISK)
@@ -139,10 +141,6 @@ def rebuild_gold(lake: MedallionStore) -> None:
             "daily": daily,
         }
         for name, df in outputs.items():
-            cols = [f.name for f in lake.schema(name).fields]
-            part = lake.partition_col(name)
-            (df.select(*cols).hint("rebalance", part).write.mode("overwrite")
-               .option("partitionOverwriteMode", "static").partitionBy(part)
-               .parquet(lake.path(name)))
+            lake.table(name).replace(df, None)
     finally:
         both.unpersist()

@@ -12,8 +12,10 @@ Parquet has no MERGE, so one function covers the three write modes:
 
 The partition column must be a function of the key, so a key lives in exactly
 one partition and only the partitions the updates touch are read and
-rewritten (dynamic partition overwrite).  All modes are idempotent: replaying
-a batch leaves the table unchanged.  ``updates`` must be unique on ``keys``.
+rewritten, beside the old ones; one manifest then switches all of them at once
+(``sources.versioned``), so a job that dies loses nothing and leaves no half
+state.  All modes are idempotent: replaying a batch leaves the table unchanged.
+``updates`` must be unique on ``keys``; this is checked unless the caller has made them so.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..session import path_exists
+from ..sources.versioned import Versioned
 
 MODES = ("ignore", "replace", "replace_if_newer")
 
@@ -49,11 +51,14 @@ def read_partitions(spark: SparkSession, path: str, schema: StructType,
                     partition_col: str, values: list) -> DataFrame:
     """Target rows of the given partitions only.  Their folders are read by
     path, so the listing does not grow with the number of stored partitions."""
-    folders = [f"{path}/{partition_col}={v}" for v in values]
-    present = [f for f in folders if path_exists(spark, f)]
-    if not present:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", path).parquet(*present)
+    return Versioned(spark, path, schema, partition_col).read(values)
+
+
+def check_unique(updates: DataFrame, keys: list[str]) -> None:
+    """Raise if a key occurs twice: both rows would be stored."""
+    twice = updates.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").first()
+    if twice is not None:
+        raise ValueError(f"updates hold key {[twice[k] for k in keys]} {twice['n']} times")
 
 
 def newer_only(updates: DataFrame, current: DataFrame, keys: list[str],
@@ -90,10 +95,12 @@ def merge_plan(spark: SparkSession, path: str, updates: DataFrame, keys: list[st
 def merge_keyed(spark: SparkSession, path: str, updates: DataFrame, keys: list[str],
                 partition_col: str, mode: str, schema: StructType,
                 time_col: str | None = None, values: list | None = None,
-                small_updates: bool = False, observation: Observation | None = None) -> int:
+                small_updates: bool = False, observation: Observation | None = None,
+                unique: bool = False) -> int:
     """Merge ``updates`` into the table at ``path``; returns the number of
     touched partitions (0 = nothing written).  ``values``, when the caller
-    already knows them, are the partition values the updates touch.
+    already knows them, are the partition values the updates touch.  ``unique``
+    is for callers whose updates are unique on ``keys`` by construction.
 
     ``small_updates`` is for callers that have bounded the update count: the
     update keys are then broadcast and the target partitions are matched by
@@ -109,12 +116,16 @@ def merge_keyed(spark: SparkSession, path: str, updates: DataFrame, keys: list[s
             values = touched_values(updates, partition_col)
         if not values:
             return 0
+        if not unique:
+            check_unique(updates, keys)
         rows = merge_plan(spark, path, updates, keys, partition_col, mode, schema, values,
                           time_col, small_updates)
         if observation is not None:
             rows = rows.observe(observation, F.count(F.lit(1)).alias("written"))
-        write_partitioned(rows, path, partition_col,
-                          "append" if mode == "ignore" else "overwrite")
+        if mode == "ignore":
+            write_partitioned(rows, path, partition_col, "append")
+        else:
+            Versioned(spark, path, schema, partition_col).replace(rows, values)
         return len(values)
     finally:
         if own:

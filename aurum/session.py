@@ -86,7 +86,8 @@ def read_small(spark: SparkSession, path: str) -> str | None:
 
 
 def write_small(spark: SparkSession, path: str, text: str) -> None:
-    """Replace a small text file: written beside it, then renamed."""
+    """Write a small text file that must not exist: beside it, then renamed, so
+    that no reader ever sees a part of it."""
     fs, p = _fs(spark, path)
     beside = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
     stream = fs.create(beside, True)
@@ -94,11 +95,22 @@ def write_small(spark: SparkSession, path: str, text: str) -> None:
         stream.write(bytearray(text.encode()))
     finally:
         stream.close()
-    fs.delete(p, False)
-    if not fs.rename(beside, p):
+    if fs.exists(p) or not fs.rename(beside, p):
         raise OSError(f"could not write {path}")
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder, if it is there."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def age(spark: SparkSession, path: str) -> float:
+    """Seconds since a file or folder was last changed."""
+    fs, p = _fs(spark, path)
+    return time.time() - fs.getFileStatus(p).getModificationTime() / 1000
+
+
 def set_age(spark: SparkSession, folder: str, days: int) -> None:
     """Date the files below a folder back, as a copy that keeps old dates does."""
     fs, p = _fs(spark, folder)

@@ -10,13 +10,13 @@ Tables live below one root on a shared file system:
     daily/    (key, day) stats, partitioned by ``day``
     runlog/   rows per processed micro-batch (``run_log`` gives the last one of each)
     late/     rows of days that retention has dropped, partitioned by ``day``
-    _layout   bucket count and zone the tables were written with, retention day
+    *.v/      replaced and compacted partitions of a table, and which of them count
+    _layout.d bucket count and zone the tables were written with, retention day
 """
 
 from __future__ import annotations
 
 import json
-import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas, session
 from ..config import DEFAULT, Config
+from .versioned import NumberedFile, Versioned
 
 SPECS = {
     # name: (schema, partition column)
@@ -61,7 +62,6 @@ class MedallionStore:
         self.root = root.rstrip("/")
         self.cfg = cfg
         session.prepare(spark)  # parsing and buckets need the clock pinned to UTC
-        self._layout: dict | None = None
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -72,48 +72,62 @@ class MedallionStore:
     def partition_col(self, name: str):
         return SPECS[name][1]
 
+    def table(self, name: str) -> Versioned:
+        """A partitioned table, with atomic replacement of its partitions."""
+        return Versioned(self.spark, self.path(name), *SPECS[name])
+
     # ------------------------------------------------------------- layout
-    def _write_layout(self, layout: dict) -> None:
-        session.write_small(self.spark, f"{self.root}/_layout", json.dumps(layout))
-        self._layout = layout
+    def _layouts(self) -> NumberedFile:
+        return NumberedFile(self.spark, f"{self.root}/_layout.d")
 
-    def layout(self) -> dict:
-        """Bucket count, zone and retention day of the stored tables.  The first
-        use fixes the first two; a configuration that differs later is refused,
-        because stored rows would sit in buckets or days the new one does not
-        visit (see ``rebucket``)."""
-        if self._layout is None:
+    def _stored_layout(self) -> tuple[int, dict | None]:
+        n, layout = self._layouts().latest()
+        if layout is None:  # as written by earlier versions
             text = session.read_small(self.spark, f"{self.root}/_layout")
-            if text is None:
-                self._write_layout({"latest_buckets": self.cfg.latest_buckets, "tz": self.cfg.tz,
-                                    "silver_from": None})
-            else:
-                self._layout = json.loads(text)
+            layout = json.loads(text) if text else None
+        return n, layout
+
+    def layout(self) -> dict:
+        """Bucket count, zone and retention day of the stored tables, as they are
+        now.  The first use fixes the first two; a configuration that differs later
+        is refused, because stored rows would sit in buckets or days the new one
+        does not visit (see ``rebucket``).  So are tables without a layout: what
+        retention has dropped from them would be unknown."""
+        n, layout = self._stored_layout()
+        if layout is None:
+            held = [name for name, (_, part) in SPECS.items() if part == "day" or name == "latest"
+                    if any(c.startswith(f"{part}=") for c in session.child_names(self.spark, self.path(name)))
+                    or self.table(name).manifest.numbers()]
+            if held:
+                raise RuntimeError(f"{self.root} holds {', '.join(held)} but no layout; restore _layout.d")
+            layout = {"latest_buckets": self.cfg.latest_buckets, "tz": self.cfg.tz, "silver_from": None}
+            self._layouts().publish(n, layout)
+        if layout.get("unfinished"):
+            raise RuntimeError(f"{self.root}: {layout['unfinished']} did not finish; run it again")
         for key in ("latest_buckets", "tz"):
-            if self._layout[key] != getattr(self.cfg, key):
-                raise ValueError(f"{self.root} was written with {key}={self._layout[key]!r}, not "
+            if layout[key] != getattr(self.cfg, key):
+                raise ValueError(f"{self.root} was written with {key}={layout[key]!r}, not "
                                  f"{getattr(self.cfg, key)!r}")
-        return self._layout
+        return layout
 
     def rebucket(self) -> None:
         """Rewrite ``latest`` for this configuration's bucket count and record
-        it.  Run it while no stream writes to the store."""
+        it.  The layout is marked first, so that no stream writes until the
+        rows have been switched to; if the job dies in between, run it again
+        (reads are right all the time)."""
         from ..operators import gold
-        text = session.read_small(self.spark, f"{self.root}/_layout")
-        layout = json.loads(text) if text else {"tz": self.cfg.tz, "silver_from": None}
+        n, layout = self._stored_layout()
+        layout = {**(layout or {"tz": self.cfg.tz, "silver_from": None}), "latest_buckets": self.cfg.latest_buckets}
+        n = self._layouts().publish(n, {**layout, "unfinished": "rebucket"})
         old = self.read("latest").drop("bucket")
-        path = f"{self.root}/latest-{uuid.uuid4().hex[:8]}"  # beside, then read back
-        old.write.parquet(path)
-        new = gold.with_latest_bucket(self.spark.read.schema(old.schema).parquet(path), self.cfg)
-        (new.select(*self.schema("latest").names).write.mode("overwrite")
-         .option("partitionOverwriteMode", "static").partitionBy("bucket").parquet(self.path("latest")))
-        self._write_layout({**layout, "latest_buckets": self.cfg.latest_buckets})
+        self.table("latest").replace(gold.with_latest_bucket(old, self.cfg), None)
+        self._layouts().publish(n, {k: v for k, v in layout.items() if k != "unfinished"})
 
     def silver_from(self) -> str | None:
         """The first day retention has kept, if it has dropped any.  Read from
         the store each time: another job may have run retention."""
-        text = session.read_small(self.spark, f"{self.root}/_layout")
-        return json.loads(text).get("silver_from") if text else None
+        layout = self._stored_layout()[1]
+        return layout.get("silver_from") if layout else None
 
     def run_log(self) -> DataFrame:
         """A10: one row per batch, the last one logged (a replay logs again).  What
@@ -139,6 +153,8 @@ class MedallionStore:
         other failure surfaces."""
         schema = self.schema(name)
         try:
+            if self.partition_col(name):
+                return self.table(name).read()
             return self.spark.read.schema(schema).parquet(self.path(name))
         except AnalysisException as exc:
             if _is_missing_path(exc):
@@ -150,9 +166,7 @@ class MedallionStore:
         """R4 + J3: every silver row of the touched (city, day) pairs; the day
         list, when given, prunes partitions at the scan.  ``broadcast`` only
         when the caller has bounded the number of pairs."""
-        from ..operators.merge import read_partitions
-        s = (self.read("silver") if days is None else
-             read_partitions(self.spark, self.path("silver"), self.schema("silver"), "day", days))
+        s = self.read("silver") if days is None else self.table("silver").read(days)
         pairs = touched.select("city", "day").distinct()
         return s.join(F.broadcast(pairs) if broadcast else pairs, ["city", "day"], "left_semi")
 
@@ -168,29 +182,34 @@ class MedallionStore:
         since it could only be recomputed from them alone."""
         cutoff = str(day)
         if name == "silver":  # recorded before anything goes
-            layout = {**self.layout(), "silver_from": self.silver_from()}
+            self.layout()
+            n, layout = self._stored_layout()
             if layout["silver_from"] is None or layout["silver_from"] < cutoff:
-                self._write_layout({**layout, "silver_from": cutoff})
-        dropped = [n[4:] for n in session.child_names(self.spark, self.path(name))
-                   if n.startswith("day=") and n[4:] < cutoff]
-        for d in dropped:
-            fs, p = session._fs(self.spark, f"{self.path(name)}/day={d}")
-            fs.delete(p, True)
-        return dropped
+                self._layouts().publish(n, {**layout, "silver_from": cutoff})
+        old = lambda names: {f for f in names if f.startswith("day=") and f[4:] < cutoff}
+        table = self.table(name)
+        in_place, versioned = old(session.child_names(self.spark, self.path(name))), old(table.state()[1]["parts"])
+        for f in in_place:
+            session.delete(self.spark, f"{self.path(name)}/{f}")
+        table.drop(sorted(versioned))
+        return sorted(f[4:] for f in in_place | versioned)
 
     def compact(self, name: str, values: list) -> int:
         """Rewrite the given partitions (e.g. yesterday's silver day) into
         AQE-sized files; rows are unchanged.  Streaming appends leave at least
-        one file per micro-batch and touched partition, so this runs outside
-        the stream.  A gold stream that follows silver sees the rewritten
-        files as new input and recomputes the same buckets (the refresh is
-        idempotent), so compact closed days, not the current one."""
-        from ..operators.merge import read_partitions, write_partitioned
+        one file per micro-batch and touched partition.  The new files lie
+        beside the old ones and are switched to at once; rows appended to such a
+        day later are read as well.  ``table(name).vacuum()`` removes the old files,
+        when the gold stream has read them."""
         part = self.partition_col(name)
         if not part or not values:
             return 0
-        rows = read_partitions(self.spark, self.path(name), self.schema(name), part, values)
-        write_partitioned(rows, self.path(name), part, "overwrite")
+        table = self.table(name)
+        parts = table.state()[1]["parts"]
+        # rows go on being appended to these tables: name the files that the new ones stand for
+        in_place = {f: sorted({*table._files(f), *((parts.get(f) or {}).get("without") or [])})
+                    for f in map(table.folder, values)} if name in ("silver", "late") else None
+        table.replace(table.read(values), values, in_place)
         return len(values)
 
     def register_catalog(self, database: str = "weather", names: dict | None = None) -> None:
@@ -206,14 +225,24 @@ class MedallionStore:
                 f"CREATE TABLE IF NOT EXISTS {qualified} ({cols}) USING parquet"
                 f"{parted} LOCATION '{self.path(name)}'")
             if part:
-                self.spark.sql(f"ALTER TABLE {qualified} RECOVER PARTITIONS")
+                self._recover(name, qualified)
+
+    def _recover(self, name: str, qualified: str) -> None:
+        """Catalog partitions as the table's folders and manifest have them.  A
+        compacted silver day shows rows appended since when it is compacted again."""
+        self.spark.sql(f"ALTER TABLE {qualified} RECOVER PARTITIONS")
+        for folder, where in self.table(name).locations().items():
+            key, value = folder.split("=", 1)
+            spec = f"PARTITION ({key}='{value}')"
+            self.spark.sql(f"ALTER TABLE {qualified} ADD IF NOT EXISTS {spec} LOCATION '{where}'")
+            self.spark.sql(f"ALTER TABLE {qualified} {spec} SET LOCATION '{where}'")
 
     def refresh_catalog(self, names: dict | None = None, database: str = "weather") -> None:
         """Pick up partitions written since registration."""
         for name, (_, part) in SPECS.items():
             qualified = (names or {}).get(name, f"{database}.{name}")
             if part:
-                self.spark.sql(f"ALTER TABLE {qualified} RECOVER PARTITIONS")
+                self._recover(name, qualified)
             self.spark.catalog.refreshTable(qualified)
 
 
