@@ -30,8 +30,8 @@ def duck():
     return con
 
 
-def test_all_ten_are_registered():
-    assert {f"op{n}_" for n in range(1, 11)} == {q.split("_")[0] + "_" for q in queries.QUERIES}
+def test_all_are_registered():
+    assert {f"op{n}_" for n in range(1, 14)} == {q.split("_")[0] + "_" for q in queries.QUERIES}
     assert set(queries.QUERIES) | {"pipeline"} <= set(E.queries())
 
 
