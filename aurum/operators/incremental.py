@@ -1,10 +1,11 @@
 """Batch-level medallion steps shared by batch backfills and micro-batches:
-silver insert-if-absent (T7), incremental gold refresh (X2, T8-T10) and the
-full rebuild (T12).
+silver insert-if-absent (T7), incremental gold refresh (X2, T8-T10), repair of
+days and the full rebuild (T12).
 
-The refresh is not incremental arithmetic: the (key, day) pairs a batch
-touched are re-read from silver in full and re-aggregated, so late and
-re-delivered rows always give the same gold as a rebuild.
+Inserted rows are folded into mergeable states (``operators.partials``) on their
+way to silver; the refresh takes the states of the (key, day) pairs that a batch
+touches and replaces their gold rows.  Late and re-delivered rows give the same
+gold as a rebuild, because the states always stand for silver as it is.
 """
 
 from __future__ import annotations
@@ -12,72 +13,99 @@ from __future__ import annotations
 import logging
 from concurrent.futures import ThreadPoolExecutor
 
-from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import gold, merge
+from ..operators import gold, merge, partials
 from ..sources.store import MedallionStore
 
 log = logging.getLogger(__name__)
 
-
-def batch_summary(batch_silver: DataFrame, cfg) -> dict:
-    """One small job: row count, touched days and touched latest-buckets of a
-    silver batch (both lists are bounded: days in the batch, bucket count)."""
-    r = batch_silver.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.collect_set("day").alias("days"),
-        F.collect_set(gold.latest_bucket(F.col("city"), cfg)).alias("buckets"),
-    ).first()
-    return {"rows": int(r["rows"]), "days": sorted(r["days"]), "buckets": sorted(r["buckets"])}
-
-
-def written(observation: Observation) -> int:
-    """Rows an observed write counted.  A write that the optimiser proves empty
-    (a replay) carries no metrics, which the getter reports as an error."""
-    try:
-        return int(observation.get.get("written") or 0)
-    except Py4JJavaError:
-        return 0
+#: More day ranges than this are read as one range.
+MAX_SPANS = 32
 
 
-def write_silver(lake: MedallionStore, silver_batch: DataFrame, days: list | None = None,
-                 rows: int | None = None, observation: Observation | None = None) -> int:
+def batch_summary(batch_silver: DataFrame, cfg) -> dict:
+    """One small job: row count, touched days with their first and last time, and
+    touched latest-buckets of a silver batch (one row a day, bucket ids at most the
+    bucket count)."""
+    per_day = batch_silver.groupBy("day").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("event_time").alias("lo"), F.max("event_time").alias("hi"),
+        F.collect_set(gold.latest_bucket(F.col("city"), cfg)).alias("buckets")).collect()
+    per_day = sorted(per_day, key=lambda r: r["day"])
+    return {"rows": sum(r["rows"] for r in per_day), "days": [r["day"] for r in per_day],
+            "spans": [(r["lo"], r["hi"]) for r in per_day],
+            "buckets": sorted({b for r in per_day for b in r["buckets"]})}
+
+
+def _from_day(summary: dict, first: str) -> dict:
+    """The summary without days that retention has dropped."""
+    kept = [(d, s) for d, s in zip(summary["days"], summary["spans"]) if str(d) >= first]
+    return {**summary, "days": [d for d, _ in kept], "spans": [s for _, s in kept]}
+
+
+def _within(spans: list) -> Column:
+    """Stored rows with a batch row's time lie in its days' time ranges.  The scan
+    skips row groups outside, so keys are compared with a part of the day only."""
+    if len(spans) > MAX_SPANS:
+        spans = [(min(lo for lo, _ in spans), max(hi for _, hi in spans))]
+    out = F.lit(False)
+    for lo, hi in spans:
+        out = out | F.col("event_time").between(F.lit(lo), F.lit(hi))
+    return out
+
+
+def write_silver(lake: MedallionStore, silver_batch: DataFrame, summary: dict | None = None) -> int:
     """Insert-if-absent on (city, event_time); first write wins across
-    batches (the batch itself is already keep-last de-duplicated).  ``rows``
-    (the batch row count, when known) allows broadcasting the batch keys;
-    ``observation`` collects the number of rows inserted (``written``)."""
-    small = rows is not None and rows <= lake.cfg.broadcast_touched_rows
+    batches (the batch itself is already keep-last de-duplicated).  ``summary``
+    (from ``batch_summary``) saves a job when known; its row count allows
+    broadcasting the batch keys.  Returns the rows inserted, those that a
+    job which died had begun to insert included."""
     lake.layout()
-    kept_from = lake.silver_from()
-    if kept_from is not None:  # rows of days that retention has dropped
-        late = silver_batch.where(F.col("day") < F.lit(kept_from).cast("date"))
-        if not late.isEmpty():
-            merge.write_partitioned(late.select(*lake.schema("late").names), lake.path("late"),
-                                    "day", "append")
-        silver_batch = silver_batch.where(F.col("day") >= F.lit(kept_from).cast("date"))
-        days = None if days is None else [d for d in days if str(d) >= kept_from]
-    return merge.merge_keyed(lake.spark, lake.path("silver"), silver_batch,
-                             ["city", "event_time"], "day", "ignore", lake.schema("silver"),
-                             values=days, small_updates=small, observation=observation, unique=True)
+    partials.ensure(lake)
+    inserted = partials.recover(lake)
+    own = summary is None
+    if own:  # several passes read the batch: evaluate it once
+        silver_batch = silver_batch.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if own:
+            summary = batch_summary(silver_batch, lake.cfg)
+        rows = silver_batch
+        kept_from = lake.silver_from()
+        if kept_from is not None:  # rows of days that retention has dropped
+            late = rows.where(F.col("day") < F.lit(kept_from).cast("date"))
+            if not late.isEmpty():
+                merge.write_partitioned(late.select(*lake.schema("late").names), lake.path("late"),
+                                        "day", "append")
+            rows = rows.where(F.col("day") >= F.lit(kept_from).cast("date"))
+            summary = _from_day(summary, kept_from)
+        if not summary["days"]:
+            return inserted
+        small = summary["rows"] <= lake.cfg.broadcast_touched_rows
+        new = merge.merge_plan(lake.spark, lake.path("silver"), rows, ["city", "event_time"], "day", "ignore",
+                               lake.schema("silver"), summary["days"], small_updates=small,
+                               within=_within(summary["spans"]))
+        return inserted + partials.insert(lake, new)
+    finally:
+        if own:
+            silver_batch.unpersist()
 
 
 def refresh_gold(lake: MedallionStore, batch_silver: DataFrame, days: list | None = None,
                  summary: dict | None = None) -> int:
-    """Recompute the gold rows of the touched (city, day) pairs from all
-    of their silver rows and merge them.  ``days`` limits the refresh to some
-    days (the reference's today-only timer path); default: every touched day.
-    ``summary`` (from ``batch_summary``) saves a job when already known.
-    Returns the number of touched days."""
+    """Gold rows of the touched (city, day) pairs from their states.  ``days``
+    limits the refresh to some days (the reference's today-only timer path);
+    default: every touched day.  ``summary`` (from ``batch_summary``) saves a job
+    when already known.  Returns the number of touched days."""
     cfg = lake.cfg
     lake.layout()
+    partials.ensure(lake)
     kept_from = lake.silver_from()
     if kept_from is not None:  # older gold cannot be recomputed any more
         batch_silver = batch_silver.where(F.col("day") >= F.lit(kept_from).cast("date"))
         if summary is not None:
-            summary = {**summary, "days": [d for d in summary["days"] if str(d) >= kept_from]}
+            summary = _from_day(summary, kept_from)
     if days is not None:
         batch_silver = batch_silver.where(F.col("day").isin(days))
         summary = None
@@ -88,28 +116,27 @@ def refresh_gold(lake: MedallionStore, batch_silver: DataFrame, days: list | Non
         return 0
     touched = batch_silver.select("city", "day").distinct()
     if len(touched_days) > cfg.max_touched_days_warn:
-        log.warning("batch touches %d day partitions; gold refresh re-reads all of them",
+        log.warning("batch touches %d day partitions; their states are read and gold rewritten",
                     len(touched_days))
     small = summary["rows"] <= cfg.broadcast_touched_rows   # pairs <= rows: a proven bound
-    sub = lake.silver_for_keys(touched, touched_days, broadcast=small)
-    sub = sub.persist(StorageLevel.MEMORY_AND_DISK)
-    both = gold.build_hourly_daily(sub, cfg).persist(StorageLevel.MEMORY_AND_DISK)
+    states = (lake.table("partials").read(touched_days)
+              .join(F.broadcast(touched) if small else touched, ["city", "day"], "left_semi")
+              .persist(StorageLevel.MEMORY_AND_DISK))
     try:
         # proven bounds: latest rows <= touched keys <= batch rows, daily rows =
         # touched pairs <= batch rows, hourly rows <= 24 x touched pairs
-        latest = gold.with_latest_bucket(gold.build_latest(sub), cfg)
-        hourly, daily = gold.split_hourly_daily(both, cfg)
+        latest = gold.with_latest_bucket(partials.latest(states), cfg)
         jobs = [
             lambda: merge.merge_keyed(
                 lake.spark, lake.path("latest"), latest, ["city"], "bucket",
                 "replace_if_newer", lake.schema("latest"), time_col="event_time",
                 values=summary["buckets"], small_updates=small, unique=True),
             lambda: merge.merge_keyed(
-                lake.spark, lake.path("hourly"), hourly, ["city", "hour_start"], "day",
+                lake.spark, lake.path("hourly"), partials.hourly(states, cfg), ["city", "hour_start"], "day",
                 "replace", lake.schema("hourly"), values=touched_days,
                 small_updates=24 * summary["rows"] <= cfg.broadcast_touched_rows, unique=True),
             lambda: merge.merge_keyed(
-                lake.spark, lake.path("daily"), daily, ["city", "day"], "day", "replace",
+                lake.spark, lake.path("daily"), partials.daily(states, cfg), ["city", "day"], "day", "replace",
                 lake.schema("daily"), values=touched_days, small_updates=small, unique=True),
         ]
         # three independent tables from the same persisted inputs: submit the
@@ -119,28 +146,42 @@ def refresh_gold(lake: MedallionStore, batch_silver: DataFrame, days: list | Non
             for f in [pool.submit(inheritable_thread_target(j)) for j in jobs]:
                 f.result()
     finally:
-        both.unpersist()
-        sub.unpersist()
+        states.unpersist()
     return len(touched_days)
 
 
-def rebuild_gold(lake: MedallionStore) -> None:
-    """Recompute all gold tables from silver and replace them (repair
-    path; must equal the incremental result).  Silver is read twice: once for
-    latest per key, once for hourly + daily together (grouping sets).  Each new
-    table is written beside the old one and switched to when whole, so a rebuild
-    that dies leaves the old rows readable."""
-    cfg = lake.cfg
-    s = lake.read("silver")
-    both = gold.build_hourly_daily(s, cfg).persist(StorageLevel.MEMORY_AND_DISK)
+def repair_pairs(lake: MedallionStore, touched: DataFrame) -> int:
+    """Recompute the states of some (city, day) pairs from all of their silver
+    rows, then their gold.  For pairs whose states or gold are known to be wrong;
+    returns the number of days."""
+    lake.layout()
+    partials.ensure(lake)
+    partials.recover(lake)
+    touched = touched.select("city", "day").distinct().persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        hourly, daily = gold.split_hourly_daily(both, cfg)
-        outputs = {
-            "latest": gold.with_latest_bucket(gold.build_latest(s), cfg),
-            "hourly": hourly,
-            "daily": daily,
-        }
-        for name, df in outputs.items():
-            lake.table(name).replace(df, None)
+        counted = touched.groupBy("day").agg(F.count(F.lit(1)).alias("n")).collect()
+        days, small = sorted(r["day"] for r in counted), sum(r["n"] for r in counted) <= lake.cfg.broadcast_touched_rows
+        if days:
+            partials.recompute(lake, touched, days, small)
+            refresh_gold(lake, touched.withColumn("event_time", F.col("day").cast("timestamp")))
+        return len(days)
     finally:
-        both.unpersist()
+        touched.unpersist()
+
+
+def rebuild_gold(lake: MedallionStore) -> None:
+    """Recompute the states from silver, then all gold tables from them, and
+    replace them (repair path; must equal the incremental result).  Silver is read
+    once.  Each new table is written beside the old one and switched to when whole,
+    so a rebuild that dies leaves the old rows readable."""
+    cfg = lake.cfg
+    partials.recover(lake)
+    partials.rebuild(lake)
+    states = lake.read("partials")
+    outputs = {
+        "latest": gold.with_latest_bucket(partials.latest(states), cfg),
+        "hourly": partials.hourly(states, cfg),
+        "daily": partials.daily(states, cfg),
+    }
+    for name, df in outputs.items():
+        lake.table(name).replace(df, None)

@@ -21,7 +21,7 @@ state.  All modes are idempotent: replaying a batch leaves the table unchanged.
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -36,12 +36,17 @@ def touched_values(updates: DataFrame, partition_col: str) -> list:
     return [r[0] for r in updates.select(partition_col).distinct().collect()]
 
 
-def write_partitioned(df: DataFrame, path: str, partition_col: str, mode: str) -> None:
+def write_partitioned(df: DataFrame, path: str, partition_col: str, mode: str,
+                      order: list[str] | None = None) -> None:
     """Partitioned Parquet write with file sizes chosen by AQE: ``rebalance``
     groups rows by partition value and splits a hot value over several
     tasks, so a batch touching many days does not leave tasks x days small
-    files, and a day holding most rows is not written by one task."""
-    w = df.hint("rebalance", partition_col).write.mode(mode)
+    files, and a day holding most rows is not written by one task.  ``order``
+    sorts the rows of each file, so that scans of a range skip row groups."""
+    df = df.hint("rebalance", partition_col)
+    if order:
+        df = df.sortWithinPartitions(partition_col, *order)
+    w = df.write.mode(mode)
     if mode == "overwrite":
         w = w.option("partitionOverwriteMode", "dynamic")
     w.partitionBy(partition_col).parquet(path)
@@ -72,9 +77,12 @@ def newer_only(updates: DataFrame, current: DataFrame, keys: list[str],
 
 def merge_plan(spark: SparkSession, path: str, updates: DataFrame, keys: list[str],
                partition_col: str, mode: str, schema: StructType, values: list,
-               time_col: str | None = None, small_updates: bool = False) -> DataFrame:
+               time_col: str | None = None, small_updates: bool = False,
+               within: Column | None = None) -> DataFrame:
     """The rows to write for a merge (appended for ``ignore``, overwriting
-    the touched partitions otherwise), as a lazy DataFrame."""
+    the touched partitions otherwise), as a lazy DataFrame.  ``within`` (for
+    ``ignore``) is a condition that every stored row with an update's key meets;
+    it limits what is read of the partitions."""
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
     updates = updates.select(*[f.name for f in schema.fields])
@@ -83,6 +91,8 @@ def merge_plan(spark: SparkSession, path: str, updates: DataFrame, keys: list[st
     # stored rows whose key is in the batch (the only ones a join can match)
     matched = current.join(upd_keys, keys, "left_semi") if small_updates else current
     if mode == "ignore":
+        if within is not None:
+            matched = matched.where(within)
         return updates.join(matched.select(*keys), keys, "left_anti")
     if mode == "replace_if_newer":
         if time_col is None:

@@ -147,7 +147,7 @@ def _incremental_lake(spark, sf_dir) -> MedallionStore:
         sb = silver.to_silver(batch).persist()
         try:
             summary = incremental.batch_summary(sb, lake.cfg)
-            incremental.write_silver(lake, sb, summary["days"], summary["rows"])
+            incremental.write_silver(lake, sb, summary)
             incremental.refresh_gold(lake, sb, None, summary)
         finally:
             sb.unpersist()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql.types import (
     BooleanType,
     DateType,
+    DecimalType,
     DoubleType,
     IntegerType,
     LongType,
@@ -89,6 +90,21 @@ DAILY_SCHEMA = StructType([
     StructField("day", DateType()),
 ])
 
+# Mergeable states of the roll-ups, one row per key and hour.
+PARTIALS_SCHEMA = StructType([
+    StructField("city", StringType()),
+    StructField("hour_start", TimestampType()),
+    StructField("n", LongType()),
+    StructField("total", DecimalType(38, 12)),
+    StructField("max_temp", DoubleType()),
+    StructField("min_temp", DoubleType()),
+    StructField("last_time", TimestampType()),
+    StructField("last_temp", DoubleType()),
+    StructField("last_humidity", IntegerType()),
+    StructField("last_condition", StringType()),
+    StructField("day", DateType()),
+])
+
 RUN_LOG_SCHEMA = StructType([
     StructField("batch_id", LongType()),
     StructField("messages_in", LongType()),

@@ -9,6 +9,8 @@ Tables live below one root on a shared file system:
     hourly/   (key, hour) stats, partitioned by ``day``
     daily/    (key, day) stats, partitioned by ``day``
     runlog/   rows per processed micro-batch (``run_log`` gives the last one of each)
+    partials/ mergeable states per (key, hour), partitioned by ``day``
+    pending/  rows on their way into partials and silver, a folder for each insert
     late/     rows of days that retention has dropped, partitioned by ``day``
     *.v/      replaced and compacted partitions of a table, and which of them count
     _layout.d bucket count and zone the tables were written with, retention day
@@ -33,6 +35,7 @@ SPECS = {
     "latest": (schemas.LATEST_SCHEMA, "bucket"),
     "hourly": (schemas.HOURLY_SCHEMA, "day"),
     "daily": (schemas.DAILY_SCHEMA, "day"),
+    "partials": (schemas.PARTIALS_SCHEMA, "day"),
     "late": (schemas.SILVER_SCHEMA, "day"),
     "runlog": (schemas.RUN_LOG_SCHEMA, None),
 }
@@ -45,6 +48,7 @@ SQL_NAMES = {
     "latest": "gold.city_latest",
     "hourly": "gold.hourly_stats",
     "daily": "gold.daily_stats",
+    "partials": "gold.partial_states",
     "late": "silver.late_readings",
     "runlog": "ops.run_log",
 }
@@ -192,6 +196,8 @@ class MedallionStore:
         for f in in_place:
             session.delete(self.spark, f"{self.path(name)}/{f}")
         table.drop(sorted(versioned))
+        if name == "silver":  # their states can take up no more rows
+            self.drop_days_before("partials", day)
         return sorted(f[4:] for f in in_place | versioned)
 
     def compact(self, name: str, values: list) -> int:
@@ -209,7 +215,7 @@ class MedallionStore:
         # rows go on being appended to these tables: name the files that the new ones stand for
         in_place = {f: sorted({*table._files(f), *((parts.get(f) or {}).get("without") or [])})
                     for f in map(table.folder, values)} if name in ("silver", "late") else None
-        table.replace(table.read(values), values, in_place)
+        table.replace(table.read(values), values, in_place, ["event_time"] if name in ("silver", "late") else None)
         return len(values)
 
     def register_catalog(self, database: str = "weather", names: dict | None = None) -> None:

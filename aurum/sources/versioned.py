@@ -138,14 +138,19 @@ class Versioned:
         return a if b is None else b if a is None else a.unionByName(b)
 
     # --------------------------------------------------------------- writing
-    def replace(self, rows: DataFrame, values: list | None, without: dict[str, list[str]] | None = None) -> None:
+    def replace(self, rows: DataFrame, values: list | None, without: dict[str, list[str]] | None = None,
+                order: list[str] | None = None, note: dict | None = None) -> None:
         """Publish ``rows`` as all rows of the partitions ``values``, or, if None,
         of the table.  ``without``: by partition folder, the files in place that
-        the rows stand for (default: all that are or will be there)."""
+        the rows stand for (default: all that are or will be there).  ``order``
+        sorts the rows of each file; ``note`` is kept in the manifest, so it is
+        switched to together with the rows."""
         n, state = self.state()
         ver = f"ver={n + 1:09d}-{uuid.uuid4().hex[:8]}"
-        (rows.select(*self.schema.names).hint("rebalance", self.part).write
-         .partitionBy(self.part).parquet(f"{self.beside}/{ver}"))
+        rows = rows.select(*self.schema.names).hint("rebalance", self.part)
+        if order:
+            rows = rows.sortWithinPartitions(self.part, *order)
+        rows.write.partitionBy(self.part).parquet(f"{self.beside}/{ver}")
         written = [f for f in session.child_names(self.spark, f"{self.beside}/{ver}") if f.startswith(f"{self.part}=")]
         touched = set(written) | {self.folder(v) for v in values or []}
         before = state["parts"]
@@ -153,7 +158,8 @@ class Versioned:
         for f in touched:
             parts[f] = {"ver": ver if f in written else None, "without": (without or {}).get(f)}
         gone = [f"{e['ver']}/{f}" for f, e in before.items() if e["ver"] and parts.get(f, {}).get("ver") != e["ver"]]
-        self._publish(n, state, parts, {**state["sizes"], ver: len(written)}, gone, state["whole"] or values is None)
+        self._publish(n, state, parts, {**state["sizes"], ver: len(written)}, gone,
+                      state["whole"] or values is None, note)
 
     def drop(self, folders: list[str]) -> None:
         """Publish the table without some versioned partitions (those in place are the caller's)."""
@@ -163,12 +169,14 @@ class Versioned:
             parts = {f: e for f, e in state["parts"].items() if f not in folders}
             self._publish(n, state, parts, state["sizes"], gone, state["whole"])
 
-    def _publish(self, n: int, state: dict, parts: dict, sizes: dict, gone: list[str], whole: bool) -> None:
+    def _publish(self, n: int, state: dict, parts: dict, sizes: dict, gone: list[str], whole: bool,
+                 note: dict | None = None) -> None:
         live = {e["ver"] for e in parts.values() if e["ver"]}
         now = time.time()
         old = [*state["old"], *([f, now] for f in gone)]
         self.manifest.publish(n, {"parts": parts, "sizes": {v: s for v, s in sizes.items() if v in live},
-                                  "old": [o for o in old if now - o[1] < KEEP_S], "whole": whole})
+                                  "old": [o for o in old if now - o[1] < KEEP_S], "whole": whole,
+                                  "note": state.get("note") if note is None else note})
         # after the switch: what has been out of use for long
         for f, since in old:
             if now - since >= KEEP_S:

@@ -82,9 +82,7 @@ def process_batch(lake: MedallionStore, batch: DataFrame, batch_id: int,
             summary = incremental.batch_summary(sb, lake.cfg)
             row["silver_rows"] = summary["rows"]
             if summary["rows"]:
-                inserted = Observation(f"silver-{batch_id}")
-                if incremental.write_silver(lake, sb, summary["days"], summary["rows"], inserted):
-                    row["silver_inserted"] = incremental.written(inserted)
+                row["silver_inserted"] = incremental.write_silver(lake, sb, summary)
                 if gold_days is None:
                     row["touched_days"] = incremental.refresh_gold(lake, sb, None, summary)
                 else:
@@ -161,7 +159,7 @@ def start_silver(spark: SparkSession, lake: MedallionStore, checkpoint: str,
         try:
             summary = incremental.batch_summary(sb, lake.cfg)
             if summary["rows"]:
-                incremental.write_silver(lake, sb, summary["days"], summary["rows"])
+                incremental.write_silver(lake, sb, summary)
         finally:
             sb.unpersist()
 
