@@ -174,6 +174,16 @@ def q_incremental_latest_hourly(spark, sf_dir):
             .join(lat, "city"))
 
 
+@register("repair_pairs", _wb("SELECT * FROM daily"))
+def q_repair_pairs(spark, sf_dir):
+    """R4 + J3: gold that never saw its silver rows is recomputed for the pairs
+    silver has, from all rows of these pairs."""
+    lake = new_lake(spark, "repair")
+    incremental.write_silver(lake, silver.to_silver(typed_events(spark, sf_dir)))
+    incremental.repair_pairs(lake, lake.read("silver").select("city", "day"))
+    return lake.read("daily").select(*DAILY_OUT)
+
+
 # ---------------------------------------------------------------- streaming
 def _land_batches(spark, sf_dir, landing: str, replay_first: bool = True) -> int:
     """Write the events as JSON-line messages into ``landing``, one folder per
