@@ -33,29 +33,34 @@ def rejects(typed: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     return typed.withColumn("reason", reason).where(F.col("reason").isNotNull())
 
 
-def dedup_order(has_offset: bool, values: tuple[str, ...] = ()) -> list:
+def dedup_order(position: tuple[str, ...] = (), values: tuple[str, ...] = ()) -> list:
     """Total order of copies, best first: a missing fetch time wins (it sorts
     last in the original rule and the last copy is kept), then the latest
     fetch instant, then its text, then the latest source position, then the
     values themselves, so that copies without a position resolve alike in every
-    run (landing files have none)."""
+    run."""
     order = [F.col("fetched_at").isNull().desc(),
              F.col("fetched_ts").desc_nulls_last(),
              F.col("fetched_at").desc_nulls_last()]
-    if has_offset:
-        order.append(F.col("src_offset").desc_nulls_last())
-    return order + [F.col(c).desc_nulls_last() for c in values]
+    return order + [F.col(c).desc_nulls_last() for c in (*position, *values)]
+
+
+def position(columns: list[str]) -> tuple[str, ...]:
+    """What tells the arrival order, as far as it is there: the file's time and name
+    (messages of a topic have none: copies of a key share a partition), the offset or
+    block, and the place in it."""
+    of_file = ("src_time", "source") if "src_time" in columns else ()
+    return tuple(c for c in (*of_file, "src_block", "src_offset", "src_place") if c in columns)
 
 
 def dedup_last(valid: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     """Keep one row per key: the last delivery."""
-    has_offset = "src_offset" in valid.columns
     if "fetched_at" not in valid.columns:
         valid = valid.withColumn("fetched_at", F.lit(None).cast("string"))
     if "fetched_ts" not in valid.columns:
         valid = valid.withColumn("fetched_ts", F.lit(None).cast("timestamp"))
     values = tuple(c for c in VALUES if c in valid.columns)
-    w = Window.partitionBy(*keys).orderBy(*dedup_order(has_offset, values))
+    w = Window.partitionBy(*keys).orderBy(*dedup_order(position(valid.columns), values))
     return (valid.withColumn("_rn", F.row_number().over(w))
                  .where(F.col("_rn") == 1).drop("_rn"))
 

@@ -207,11 +207,7 @@ def _land_batches(spark, sf_dir, landing: str, replay_first: bool = True) -> int
 
 def _landing_stream(spark, landing: str, files_per_part: int = 2):
     """Two day ranges per micro-batch."""
-    return (spark.readStream.format("text").options(**streams.FILE_STREAM_OPTIONS)
-            .option("maxFilesPerTrigger", str(2 * files_per_part))
-            .option("recursiveFileLookup", "true").load(landing)
-            .select("value", F.col("_metadata.file_path").alias("source"),
-                    F.lit(None).cast("bigint").alias("src_offset")))
+    return streams.read_landing(spark, landing, 2 * files_per_part)
 
 
 def run_stream_medallion(spark, sf_dir, name: str = "stream"):
@@ -298,6 +294,53 @@ def q_stream_tiers(spark, sf_dir):
     return lake.read("daily").select(*DAILY_OUT)
 
 
+_FORMS = ("batch", "stream", "tiers")
+
+
+@register("stream_arrival_order", _wb(f"""
+, last AS (
+  SELECT * EXCLUDE (fetched_at) FROM valid
+  QUALIFY row_number() OVER (PARTITION BY city, event_time ORDER BY src_offset DESC) = 1)
+SELECT form, city, event_time, temperature_c, CAST(humidity_pct AS INTEGER) AS humidity_pct, condition
+FROM last, (VALUES {", ".join(f"('{f}')" for f in _FORMS)}) AS f(form)
+UNION ALL
+SELECT form || ' without position', NULL, NULL, NULL, NULL, NULL
+FROM (VALUES {", ".join(f"('{f}')" for f in _FORMS)}) AS f(form) WHERE false"""))
+def q_stream_arrival_order(spark, sf_dir):
+    """O7 + W1: every message says it was fetched at the start of its day, so copies of
+    a reading tie and the one delivered last is kept: by a batch read of the landing
+    files, by the one-query stream and by the three tiers.  Copies share a file, in
+    the order of their ids.  A message without a position would be a row of its own."""
+    root = session.fresh_dir(spark, "arrival")
+    events = ev.read_table(spark, sf_dir, "events")
+    msgs = ev.events_as_messages(events).withColumn("slot", ev.slot_text(F.col("ts")))
+    day = F.date_format("ts", "yyyy-MM-dd'T'00:00:00")
+    tied = F.regexp_replace("value", F.lit('"fetched_at":"[^"]*"'), F.concat(F.lit('"fetched_at":"'), day, F.lit('"')))
+    files = max(2, events.rdd.getNumPartitions())
+    (msgs.withColumn("value", tied).repartition(files, "key", "slot").sortWithinPartitions("src_offset")
+     .select("value").write.text(f"{root}/in"))
+    source = lambda: streams.read_landing(spark, f"{root}/in", 2 * files)
+    lakes = {f: MedallionStore(spark, f"{root}/{f}", DEFAULT).ensure_tables() for f in _FORMS}
+    batch = streams.read_landing_batch(spark, f"{root}/in")
+    medallion.process_batch(lakes["batch"], batch, 0)
+    q = medallion.start_medallion(source(), lakes["stream"], f"{root}/checkpoint")
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    medallion.run_tiers_available_now(spark, source(), lakes["tiers"], f"{root}/tiers-checkpoint")
+    out = None
+    for form, lake in lakes.items():
+        cols = ["city", "event_time", "temperature_c", "humidity_pct", "condition"]
+        log = (spark.read.schema(medallion.BRONZE_LOG_SCHEMA).parquet(lake.path(medallion.BRONZE_LOG))
+               if form == "tiers" else lake.read("bronze"))
+        lost = (log.where("src_offset IS NULL OR src_time IS NULL")
+                .select(F.lit(f"{form} without position").alias("form"),
+                        *[F.lit(None).cast(lake.schema("silver")[c].dataType).alias(c) for c in cols]))
+        part = lake.read("silver").select(F.lit(form).alias("form"), *cols).unionByName(lost)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def run_stream_windowed(spark, sf_dir, replay: bool = False):
     """Land the events by day ranges in order, drain the watermark form; returns
     (path of the closed hours, finished query).  A last message two days ahead closes all

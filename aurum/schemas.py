@@ -41,6 +41,7 @@ BRONZE_SCHEMA = StructType([
     StructField("raw_json", StringType()),
     StructField("source", StringType()),
     StructField("src_offset", LongType()),
+    StructField("src_time", TimestampType()),
     StructField("is_malformed", BooleanType()),
     StructField("ingested_at", TimestampType()),
     StructField("batch_id", LongType()),

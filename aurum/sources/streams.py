@@ -56,23 +56,41 @@ def read_kafka(spark: SparkSession, bootstrap: str, topic: str,
 def read_landing(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
                  glob: str | None = None) -> DataFrame:
     """R2: streaming text source over a landing directory and its sub-folders
-    (one message per line) -> (value, source, src_offset=null)."""
+    (one message per line) -> (value, source, src_time, src_block); ``placed``
+    makes a batch's ``src_offset`` of the last one."""
     r = (spark.readStream.format("text").options(**FILE_STREAM_OPTIONS)
          .option("recursiveFileLookup", "true"))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if glob:
         r = r.option("pathGlobFilter", glob)
-    df = r.load(path)
-    return df.select(F.col("value"), F.col("_metadata.file_path").alias("source"),
-                     F.lit(None).cast("bigint").alias("src_offset"))
+    return _located(r.load(path))
+
+
+def _located(df: DataFrame) -> DataFrame:
+    meta = F.col("_metadata")
+    return df.select(F.col("value"), meta["file_path"].alias("source"),
+                     meta["file_modification_time"].alias("src_time"),
+                     meta["file_block_start"].alias("src_block"))
+
+
+def placed(batch: DataFrame) -> DataFrame:
+    """Arrival order of landing messages (O7): ``src_offset`` grows along a file.  It
+    is the start of the block that a task read plus the row's place in the task.  A
+    block that is not a file's last fills a task alone, and has fewer rows than bytes,
+    so the numbers of a file's next block are larger; a file's only or last block may
+    share its task, where places still grow.  Numbers compare within one file
+    (``source``); files compare by ``src_time``.  Batches only: streams cannot number
+    rows.  Batches of other sources are left as they are."""
+    if "src_block" not in batch.columns:
+        return batch
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return batch.withColumn("src_offset", F.col("src_block") + place).drop("src_block")
 
 
 def read_landing_batch(spark: SparkSession, path: str) -> DataFrame:
     """Batch read of a landing directory (backfills)."""
-    df = spark.read.format("text").option("recursiveFileLookup", "true").load(path)
-    return df.select(F.col("value"), F.col("_metadata.file_path").alias("source"),
-                     F.lit(None).cast("bigint").alias("src_offset"))
+    return placed(_located(spark.read.format("text").option("recursiveFileLookup", "true").load(path)))
 
 
 def write_messages(messages: DataFrame, path: str, partitions: int,

@@ -26,7 +26,7 @@ from ..functions import parse
 from ..operators import incremental, merge, silver
 from ..schemas import BRONZE_SCHEMA
 from ..sources.store import MedallionStore
-from ..sources.streams import FILE_STREAM_OPTIONS
+from ..sources.streams import FILE_STREAM_OPTIONS, placed
 
 BRONZE_LOG = "bronze_log"  # bronze table of the three-query form (file sink)
 BRONZE_LOG_SCHEMA = StructType([f for f in BRONZE_SCHEMA.fields if f.name != "batch_id"])
@@ -38,11 +38,15 @@ def _opt(batch: DataFrame, name: str, typ: str):
 
 def bronze_rows(batch: DataFrame) -> DataFrame:
     """Every message as received; malformed ones are flagged, not lost.
-    Accepts raw (``value``) or already decoded batches."""
+    Accepts raw (``value``) or already decoded batches.  In a stream, rows of landing
+    files have the start of their block as position: a block's rows lie in their order
+    in one file of the log."""
+    if "src_block" in batch.columns:
+        batch = batch.withColumnRenamed("src_block", "src_offset")
     decoded = batch if "is_malformed" in batch.columns else parse.decode_json(batch, "value")
     return decoded.select(
         F.col("value").alias("raw_json"), _opt(decoded, "source", "string"),
-        _opt(decoded, "src_offset", "bigint"), F.col("is_malformed"),
+        _opt(decoded, "src_offset", "bigint"), _opt(decoded, "src_time", "timestamp"), F.col("is_malformed"),
         F.current_timestamp().alias("ingested_at"))
 
 
@@ -66,7 +70,7 @@ def process_batch(lake: MedallionStore, batch: DataFrame, batch_id: int,
     """One micro-batch through all layers; returns the run-log row.
     The decoded batch is persisted once and feeds bronze and silver, so each
     message is parsed once per batch."""
-    decoded = parse.decode_json(batch, "value").persist(StorageLevel.MEMORY_AND_DISK)
+    decoded = parse.decode_json(placed(batch), "value").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         obs = Observation(f"batch-{batch_id}")
         write_bronze(lake, decoded, batch_id, obs)
@@ -152,7 +156,8 @@ def start_silver(spark: SparkSession, lake: MedallionStore, checkpoint: str,
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     src = (r.parquet(lake.path(BRONZE_LOG)).where(~F.col("is_malformed"))
-           .select(F.col("raw_json").alias("value"), "source", "src_offset"))
+           .select(F.col("raw_json").alias("value"), "source", "src_offset", "src_time",
+                   F.col("_metadata.row_index").alias("src_place")))
 
     def run(df, bid):
         sb = silver_of(df, lake).persist(StorageLevel.MEMORY_AND_DISK)

@@ -23,7 +23,7 @@ from ..operators import gold, silver
 
 def _best(columns: list[str]) -> Column:
     """Greatest for the copy that stays: the order of ``silver.dedup_order`` as one value."""
-    position = [F.col("src_offset")] if "src_offset" in columns else []
+    position = [F.col(c) for c in silver.position(columns)]
     return F.struct(F.col("fetched_at").isNull(), F.col("fetched_ts"), F.col("fetched_at"), *position,
                     *[F.col(c) for c in silver.VALUES if c in columns])
 
