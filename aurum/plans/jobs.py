@@ -281,17 +281,42 @@ def q_stream_late_files(spark, sf_dir):
     return lake.read("daily").select(*DAILY_OUT)
 
 
-@register("stream_tiers", _wb("SELECT * FROM daily"))
-def q_stream_tiers(spark, sf_dir):
-    """Three chained queries (bronze log, silver, gold), each with its
-    own checkpoint, drained with availableNow."""
+def _tiered(spark, sf_dir) -> MedallionStore:
+    """The store that the three chained queries fill from this input."""
     root = session.fresh_dir(spark, "tiers")
     landing = f"{root}/landing"
     files = _land_batches(spark, sf_dir, landing)
     lake = MedallionStore(spark, f"{root}/lake", DEFAULT).ensure_tables()
     medallion.run_tiers_available_now(spark, _landing_stream(spark, landing, files), lake,
                                       f"{root}/checkpoint")
-    return lake.read("daily").select(*DAILY_OUT)
+    return lake
+
+
+@register("stream_tiers", _wb("SELECT * FROM daily"))
+def q_stream_tiers(spark, sf_dir):
+    """Three chained queries (bronze log, silver, gold), each with its
+    own checkpoint, drained with availableNow."""
+    return _tiered(spark, sf_dir).read("daily").select(*DAILY_OUT)
+
+
+@register("stream_tiers_run_log", _wb(f"""
+SELECT 'silver' AS tier, (SELECT count(*) + count(*) FILTER (WHERE CAST(ts AS DATE) < CAST({cut_sql(1, 3)} AS DATE))
+        FROM events)::BIGINT AS messages_in, 0::BIGINT AS malformed,
+       (SELECT count(*) FROM silver)::BIGINT AS silver_inserted, NULL::BIGINT AS silver_read,
+       0::BIGINT AS gaps, true AS has_lag
+UNION ALL SELECT 'gold', NULL, NULL, NULL, (SELECT count(*) FROM silver)::BIGINT, 0, true"""))
+def q_stream_tiers_run_log(spark, sf_dir):
+    """A10 on the timer path: the tiers' log accounts for every message, every row put into
+    silver and every silver row gold has seen; no batch is missing and each has its lag."""
+    log, gaps = (lake := _tiered(spark, sf_dir)).run_log(), lake.run_gaps()
+    gold_only = lambda c: F.sum(F.when(F.col("tier") == "gold", F.col(c)))
+    total = log.groupBy("tier").agg(
+        F.sum("messages_in").alias("messages_in"), F.sum("malformed").alias("malformed"),
+        F.sum("silver_inserted").alias("silver_inserted"), gold_only("silver_rows").alias("silver_read"),
+        F.bool_and(F.col("lag_s") >= 0).alias("has_lag"))
+    missing = gaps.groupBy("tier").agg(F.sum("missing").alias("gaps"))
+    return (total.join(missing, "tier", "left").fillna(0, ["gaps"])
+            .select("tier", "messages_in", "malformed", "silver_inserted", "silver_read", "gaps", "has_lag"))
 
 
 _FORMS = ("batch", "stream", "tiers")

@@ -114,4 +114,6 @@ RUN_LOG_SCHEMA = StructType([
     StructField("silver_inserted", LongType()),
     StructField("touched_days", LongType()),
     StructField("logged_at", TimestampType()),
+    StructField("tier", StringType()),     # null: the one-query form
+    StructField("lag_s", DoubleType()),    # age of the newest message when it was logged
 ])

@@ -21,7 +21,7 @@ from __future__ import annotations
 import json
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schemas, session
@@ -134,13 +134,22 @@ class MedallionStore:
         return layout.get("silver_from") if layout else None
 
     def run_log(self) -> DataFrame:
-        """A10: one row per batch, the last one logged (a replay logs again).  What
+        """A10: one row per tier and batch, the last one logged (a replay logs again).  What
         the batch inserted is the sum over its runs: a replay inserts the rest."""
-        names = [c for c in self.schema("runlog").names if c not in ("batch_id", "silver_inserted")]
+        keys = ["tier", "batch_id"]
+        names = [c for c in self.schema("runlog").names if c not in (*keys, "silver_inserted")]
         last = F.max(F.struct("logged_at", *[c for c in names if c != "logged_at"])).alias("r")
-        return (self.read("runlog").groupBy("batch_id")
+        return (self.read("runlog").fillna("medallion", ["tier"]).groupBy(*keys)
                 .agg(last, F.sum("silver_inserted").alias("silver_inserted"))
-                .select("batch_id", *[f"r.{c}" for c in names], "silver_inserted"))
+                .select(*keys, *[f"r.{c}" for c in names], "silver_inserted"))
+
+    def run_gaps(self) -> DataFrame:
+        """Batches between the first and last logged of a tier that are not in the log:
+        (tier, after, missing).  Empty batches of the one-query form are not logged."""
+        before = F.lag("batch_id").over(Window.partitionBy("tier").orderBy("batch_id"))
+        return (self.run_log().select("tier", "batch_id", before.alias("after"))
+                .where("batch_id > after + 1")
+                .select("tier", "after", (F.col("batch_id") - F.col("after") - 1).alias("missing")))
 
     def ensure_tables(self) -> MedallionStore:
         """Create every table that does not exist yet (idempotent)."""

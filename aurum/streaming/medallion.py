@@ -16,6 +16,8 @@ replayed batch leaves silver and gold unchanged (X7).
 
 from __future__ import annotations
 
+import time
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -110,6 +112,10 @@ def log_run(lake: MedallionStore, row: dict) -> None:
        .write.mode("append").parquet(lake.path("runlog")))
 
 
+def _age(micros: int | None) -> float | None:
+    return None if micros is None else round(time.time() - micros / 1e6, 3)
+
+
 def _trigger(w, trigger: dict | None):
     return w.trigger(**(trigger or {"availableNow": True}))
 
@@ -150,21 +156,32 @@ def start_bronze(source: DataFrame, lake: MedallionStore, checkpoint: str,
 def start_silver(spark: SparkSession, lake: MedallionStore, checkpoint: str,
                  trigger: dict | None = None, max_files_per_trigger: int | None = None):
     """Tier 2 (X4): new bronze files -> silver, insert-if-absent.  The stream
-    checkpoint replaces the reference's ``processed`` flag (T6, F10)."""
+    checkpoint replaces the reference's ``processed`` flag (T6, F10).  Each batch
+    logs its counts and lag (A10) before it is committed, so no run is lost with the
+    driver, as an event to a listener would be."""
     lake.ensure_tables()
     r = spark.readStream.schema(BRONZE_LOG_SCHEMA).options(**FILE_STREAM_OPTIONS)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    src = (r.parquet(lake.path(BRONZE_LOG)).where(~F.col("is_malformed"))
-           .select(F.col("raw_json").alias("value"), "source", "src_offset", "src_time",
-                   F.col("_metadata.row_index").alias("src_place")))
+    src = r.parquet(lake.path(BRONZE_LOG)).select(
+        F.col("raw_json").alias("value"), "source", "src_offset", "src_time", "is_malformed", "ingested_at",
+        F.col("_metadata.row_index").alias("src_place"))
 
     def run(df, bid):
-        sb = silver_of(df, lake).persist(StorageLevel.MEMORY_AND_DISK)
+        obs = Observation(f"silver-{bid}")
+        seen = df.observe(obs, F.count(F.lit(1)).alias("n"), F.count_if("is_malformed").alias("bad"),
+                          F.unix_micros(F.max("ingested_at")).alias("newest"))
+        good = seen.where(~F.col("is_malformed")).drop("is_malformed", "ingested_at")
+        sb = silver_of(good, lake).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             summary = incremental.batch_summary(sb, lake.cfg)
+            m = obs.get
+            row = {"tier": "silver", "batch_id": int(bid), "messages_in": int(m.get("n") or 0),
+                   "malformed": int(m.get("bad") or 0), "silver_rows": summary["rows"], "silver_inserted": 0,
+                   "touched_days": len(summary["days"]), "lag_s": _age(m.get("newest"))}
             if summary["rows"]:
-                incremental.write_silver(lake, sb, summary)
+                row["silver_inserted"] = incremental.write_silver(lake, sb, summary)
+            log_run(lake, row)
         finally:
             sb.unpersist()
 
@@ -184,7 +201,11 @@ def start_gold(spark: SparkSession, lake: MedallionStore, checkpoint: str,
     def run(df, bid):
         df = df.persist(StorageLevel.MEMORY_AND_DISK)  # read once for the summary and the pairs
         try:
-            incremental.refresh_gold(lake, df, gold_days_fn() if gold_days_fn else None)
+            summary = incremental.batch_summary(df, lake.cfg)
+            newest = df.agg(F.unix_micros(F.max("ingested_at"))).first()[0]
+            days = incremental.refresh_gold(lake, df, gold_days_fn() if gold_days_fn else None, summary)
+            log_run(lake, {"tier": "gold", "batch_id": int(bid), "silver_rows": summary["rows"],
+                           "touched_days": days, "lag_s": _age(newest)})
         finally:
             df.unpersist()
 

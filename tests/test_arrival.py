@@ -103,3 +103,27 @@ def test_bronze_of_an_earlier_version_is_read(spark, tmp_path):
     old = lake.read("bronze").drop("src_time").withColumn("batch_id", F.lit(1).cast("bigint"))
     old.write.mode("append").partitionBy("batch_id").parquet(lake.path("bronze"))
     assert [r["src_time"] for r in lake.read("bronze").collect()] == [None, None]
+
+
+def test_run_log_of_the_tiers(spark, tmp_path):
+    """Every message, bad one, insert and refresh is in the log, also of a replay and beside older rows."""
+    folder, lake = f"{tmp_path}/in", MedallionStore(spark, f"{tmp_path}/lake").ensure_tables()
+    old = [f.name for f in lake.schema("runlog").fields if f.name not in ("tier", "lag_s")]
+    medallion.log_run(lake, {"batch_id": 0, "messages_in": 1, "malformed": 0, "silver_rows": 1, "silver_inserted": 1})
+    one = lake.read("runlog").select(*old).collect()
+    spark.createDataFrame([r.asDict() for r in one], lake.read("runlog").select(*old).schema).write.mode(
+        "append").parquet(lake.path("runlog"))
+    _put(folder, "a.json", [msg("A"), "no json", msg("B"), msg("A")])
+    medallion.run_tiers_available_now(spark, streams.read_landing(spark, folder), lake, f"{tmp_path}/cp")
+    _put(folder, "b.json", [msg("A"), msg("C", "2026-06-24T10:00"), "[]", "{"])
+    medallion.run_tiers_available_now(spark, streams.read_landing(spark, folder), lake, f"{tmp_path}/cp")
+    log = {(r["tier"], r["batch_id"]): r for r in lake.run_log().collect()}
+    got = {k: (r["messages_in"], r["malformed"], r["silver_rows"], r["silver_inserted"], r["touched_days"])
+           for k, r in log.items()}
+    assert got == {("medallion", 0): (1, 0, 1, 2, None),
+                   ("silver", 0): (4, 1, 2, 2, 1), ("silver", 1): (4, 2, 2, 1, 2),
+                   ("gold", 0): (None, None, 2, None, 1), ("gold", 1): (None, None, 1, None, 1)}
+    assert all(r["lag_s"] >= 0 for k, r in log.items() if k[0] != "medallion")
+    assert lake.run_gaps().isEmpty()
+    medallion.log_run(lake, {"tier": "gold", "batch_id": 5})
+    assert [tuple(r) for r in lake.run_gaps().collect()] == [("gold", 1, 3)]

@@ -15,7 +15,8 @@ READ_ONLY = [n for n in E.registry.QUERIES if n not in {
     "insert_if_absent", "upsert_replace", "upsert_if_newer", "incremental_gold",
     "incremental_latest_hourly", "stream_medallion", "stream_bronze_counts", "stream_tiers",
     "stream_run_log", "stream_late_files", "retention_late",
-    "rebuild_gold", "retention", "repair_pairs", "stream_arrival_order"}]
+    "rebuild_gold", "retention", "repair_pairs", "stream_arrival_order",
+    "stream_tiers_run_log"}]
 
 
 def test_entry_smoke(spark):
