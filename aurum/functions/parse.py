@@ -4,20 +4,32 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from ..config import DEFAULT, Config
-from ..schemas import API_PAYLOAD_SCHEMA, CORRUPT_COL, MESSAGE_FIELDS, MESSAGE_SCHEMA
+from ..schemas import API_PAYLOAD_SCHEMA, MESSAGE_FIELDS, MESSAGE_SCHEMA
 from . import numbers, rules, times
 
 # Only a single JSON object counts as a message (arrays, scalars, null and text
-# after the object are malformed; from_json alone accepts trailing text).
+# after the object are malformed).  from_json stops where the first value ends, so
+# the text is read as the first item of a list whose second one is END: text after
+# the object breaks the list or shifts END.
 _OBJECT_SHAPE = r"(?s)^\s*\{.*\}\s*$"
+_END = "_end_of_message"
 
-JSON_OPTIONS = {
-    "mode": "PERMISSIVE",
-    "columnNameOfCorruptRecord": CORRUPT_COL,
-    "allowSingleQuotes": "false",
-}
+JSON_OPTIONS = {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
+
+
+def _as_list(v: Column, schema: StructType) -> Column:
+    """The one ``from_json`` of a message: [object, END] if it is well-formed."""
+    item = StructType([*schema.fields, StructField(_END, StringType())])
+    return F.from_json(F.concat(F.lit("["), v, F.lit(f',{{"{_END}":1}}]')), ArrayType(item), JSON_OPTIONS)
+
+
+def _one_object(raw: Column, items: Column) -> Column:
+    """Is ``raw``, read by ``_as_list``, one JSON object?  Never null."""
+    return F.coalesce(raw.rlike(_OBJECT_SHAPE) & (F.size(items) == 2)
+                      & F.get(items, F.lit(1))[_END].isNotNull(), F.lit(False))
 
 
 def value_as_string(value: Column) -> Column:
@@ -33,13 +45,12 @@ def decode_json(df: DataFrame, value_col: str = "value") -> DataFrame:
     optimizer does not substitute ``from_json`` into every later predicate
     and each message is parsed exactly once (the row count is unchanged)."""
     v = F.col(value_col)
-    pair = F.struct(v.alias("_raw"), F.from_json(v, MESSAGE_SCHEMA, JSON_OPTIONS).alias("_msg"))
+    pair = F.struct(v.alias("_raw"), _as_list(v, MESSAGE_SCHEMA).alias("_items"))
     others = [F.col(c) for c in df.columns if c != value_col]
-    raw = F.col("_d._raw")
+    raw, items = F.col("_d._raw"), F.col("_d._items")
     return (df.select(*others, F.explode(F.array(pair)).alias("_d"))
-              .select(*others, raw.alias(value_col), F.col("_d._msg").alias("msg"),
-                      (raw.isNull() | ~raw.rlike(_OBJECT_SHAPE)
-                       | F.col(f"_d._msg.{CORRUPT_COL}").isNotNull()).alias("is_malformed")))
+              .select(*others, raw.alias(value_col), F.get(items, F.lit(0)).alias("msg"),
+                      (~_one_object(raw, items)).alias("is_malformed")))
 
 
 def type_message(df: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
@@ -74,12 +85,10 @@ def flatten_api_payload(df: DataFrame, key_col: str = "city", payload_col: str =
     JSON object is dropped, as for messages; the measures are optional."""
     others = [c for c in df.columns if c not in (key_col, payload_col, fetched_col)]
     raw = F.col(payload_col)
-    options = {"mode": "PERMISSIVE", "allowSingleQuotes": JSON_OPTIONS["allowSingleQuotes"]}
-    parsed = F.when(raw.rlike(_OBJECT_SHAPE), F.from_json(raw, API_PAYLOAD_SCHEMA, options))
     # behind a one-element explode the payload is parsed once (see decode_json)
-    rows = df.select(*others, key_col, fetched_col,
-                     F.explode(F.array(F.struct(parsed.alias("p")))).alias("_d"))
-    cur = F.col("_d.p.current")
+    pair = F.struct(raw.alias("raw"), _as_list(raw, API_PAYLOAD_SCHEMA).alias("p"))
+    rows = df.select(*others, key_col, fetched_col, F.explode(F.array(pair)).alias("_d"))
+    cur = F.when(_one_object(F.col("_d.raw"), F.col("_d.p")), F.get(F.col("_d.p"), F.lit(0))["current"])
     msg = F.struct(
         F.col(key_col).alias("city"),
         cur.getField("time").alias("event_time"),

@@ -19,12 +19,8 @@ from pyspark.sql.types import (
 # a bad value becomes null instead of failing the record.
 MESSAGE_FIELDS = ["city", "event_time", "temperature_c", "humidity_pct",
                   "wind_speed_kmh", "weather_code", "fetched_at"]
-CORRUPT_COL = "_corrupt_record"
 
-MESSAGE_SCHEMA = StructType(
-    [StructField(f, StringType()) for f in MESSAGE_FIELDS]
-    + [StructField(CORRUPT_COL, StringType())]
-)
+MESSAGE_SCHEMA = StructType([StructField(f, StringType()) for f in MESSAGE_FIELDS])
 
 # Landed weather-API payload: {"current": {...}}.
 API_PAYLOAD_SCHEMA = StructType([

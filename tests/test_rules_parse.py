@@ -134,3 +134,20 @@ def test_json_edge_shapes(spark):
             '{"city":"X","event_time":"2026-06-25T12:30","temperature_c":4,"extra":[1]}']
     got = {r.city: r.temperature_c for r in _typed(spark, vals).collect()}
     assert got == {"B": 1.0, "W": 2.0, "N": None, "X": 4.0}
+
+
+def test_one_object_and_nothing_after_it(spark):
+    """Text after the object, also of a form that closes what it is read within, is malformed."""
+    good = ['{"city": "A"}', ' {"city": "A"}\n', '{}', '{"city": {"a": [1]}, "x": "}"}', '{"city": "] {}"}']
+    bad = ['{"city": "A"} {}', '{"city": "A"},{"city": "B"}', '{"city": "A"}] {}', '{"city": "A"},{"city": "B"}] {}',
+           '{"city": "A"}}', '[{"city": "A"}]', '{"city": "A"', "{'city': 'A'}", '{"city": "A"} x', "", "1", None,
+           '{"city": "A",}', '{"city": "A"}{"city": "B"}']
+    df = parse.decode_json(spark.createDataFrame([(v,) for v in good + bad], "value string"))
+    got = {r["value"]: r["is_malformed"] for r in df.collect()}
+    assert got == {**{v: False for v in good}, **{v: True for v in bad}}
+    typed = parse.parse_messages(spark.createDataFrame([(v,) for v in good + bad], "value string"))
+    assert typed.count() == len(good)
+    payload = '{"current": {"time": "2026-06-25T12:30"}}'
+    rows = [("A", v, "x") for v in (payload, payload + " {}", payload + "," + payload, payload + "] {}")]
+    flat = parse.flatten_api_payload(spark.createDataFrame(rows, "city string, payload string, fetched_at string"))
+    assert flat.count() == 1
