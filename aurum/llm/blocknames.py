@@ -15,7 +15,8 @@ counts, and rows find their class by a join that can be split.
 Null texts count as empty, which is one class of its own.  Rows that repeat a
 ``doc_id`` are separate rows; of fully equal rows one is kept.  A null
 ``doc_id`` loses against any other.  An empty table gives no rows.  Other
-columns of the input are not read.
+columns of the input are not read.  A very long text is cut level by level, in
+time about linear in its length, and its blocks lie in as many rows.
 """
 
 from __future__ import annotations
@@ -28,12 +29,26 @@ from pyspark.sql import functions as F
 from .common import stage, text_or_empty
 
 
-def _blocks(text: Column, size: int) -> Column:
+#: Parts of each level of ``_blocks``.
+FAN = 32
+
+
+def _cut(text: Column, size: int) -> Column:
     last = F.greatest(F.ceil(F.length(text) / size).cast("int") - 1, F.lit(0))
     return F.transform(F.sequence(F.lit(0), last),
                        lambda i: F.substr(text, i * size + 1, F.lit(size)))
 
 
+def _blocks(text: Column, size: int) -> Column:
+    """The blocks of a text.  ``substr`` counts characters from the start, so a long text
+    is cut into parts and these again: each level reads a character ``FAN`` times at
+    most, but the first, whose parts have ``size * FAN ** 3`` characters."""
+    def level(t: Column, n: int) -> Column:
+        return F.flatten(F.transform(_cut(t, size * FAN ** n), lambda p: level(p, n - 1))) if n else _cut(t, size)
+
+    return F.when(F.length(text) <= size, F.array(text)).otherwise(level(text, 3))
+
+
 def _numbered(distinct: DataFrame, *order: str) -> DataFrame:
     """Integer names from 1 in sort order (unique over all partitions)."""
     return distinct.sortWithinPartitions(*order).withColumn(

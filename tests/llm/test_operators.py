@@ -274,6 +274,21 @@ def test_block_names(edge, size, weak):
     assert all(r["doc_id"] == r["keep_id"] for r in kept)
 
 
+def test_blocks_of_long_texts(spark):
+    """Every level of the cut, with characters of one to four bytes, and texts of several megabytes."""
+    alphabet = "aé字😀"
+    long = [n for k in (1, 32, 1024, 32768) for n in (k * 3 - 1, k * 3, k * 3 + 1, k * 7 + 2)]
+    texts = ["".join(alphabet[(i * i + n) % 4] for i in range(n)) for n in (0, 1, 2, *long)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    for r in df.select("text", blocknames._blocks(F.col("text"), 3).alias("b")).collect():
+        assert r["b"] == ([r["text"][i:i + 3] for i in range(0, len(r["text"]), 3)] or [""])
+    huge = spark.range(3).select(F.col("id").alias("doc_id"), F.concat(
+        F.repeat(F.lit("abcdefg é"), 900_000), F.when(F.col("id") == 1, "x").otherwise("y")).alias("text"))
+    got = {r["doc_id"]: r for r in blocknames.duplicates(huge).collect()}
+    assert [got[i]["kept"] for i in range(3)] == [False, True, True] and got[0]["keep_id"] == 2
+    assert got[1]["text_sha256"] == hashlib.sha256(("abcdefg é" * 900_000 + "x").encode()).hexdigest()
+
+
 def test_block_names_empty(empty):
     assert blocknames.duplicates(empty).count() == 0
 
