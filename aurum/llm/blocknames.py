@@ -30,7 +30,7 @@ from .common import stage, text_or_empty
 
 
 #: Parts of each level of ``_blocks``.
-FAN = 32
+FAN = 64
 
 
 def _cut(text: Column, size: int) -> Column:
@@ -42,11 +42,15 @@ def _cut(text: Column, size: int) -> Column:
 def _blocks(text: Column, size: int) -> Column:
     """The blocks of a text.  ``substr`` counts characters from the start, so a long text
     is cut into parts and these again: each level reads a character ``FAN`` times at
-    most, but the first, whose parts have ``size * FAN ** 3`` characters."""
+    most, but the first, whose parts have ``size * FAN ** 3`` characters at most.  Each
+    level is a copy, so a text goes through no more of them than its length asks for."""
     def level(t: Column, n: int) -> Column:
         return F.flatten(F.transform(_cut(t, size * FAN ** n), lambda p: level(p, n - 1))) if n else _cut(t, size)
 
-    return F.when(F.length(text) <= size, F.array(text)).otherwise(level(text, 3))
+    out = F.when(F.length(text) <= size, F.array(text))
+    for n in range(3):
+        out = out.when(F.length(text) <= size * FAN ** (n + 1), level(text, n))
+    return out.otherwise(level(text, 3))
 
 
 def _numbered(distinct: DataFrame, *order: str) -> DataFrame:
