@@ -6,7 +6,9 @@
                                  [--bronze-every 10] [--silver-every 30] [--gold-every 60] [--today-only]
     python -m aurum.cli show     QUERY --store ROOT [--cities a,b] [--hours N] [--limit N] [--ascending]
     python -m aurum.cli rebuild  --store ROOT
-    python -m aurum.cli compact  --store ROOT --table silver --days 2026-06-24,2026-06-25
+    python -m aurum.cli compact  --store ROOT --table silver --days 2026-06-24,2026-06-25 [--by key]
+    python -m aurum.cli merge-bronze --store ROOT
+    python -m aurum.cli add-column --store ROOT --table silver --name checked --type STRING --default "'no'"
     python -m aurum.cli retention --store ROOT --table silver --before 2026-01-01
 
 The session comes from ``SparkSession.builder.getOrCreate()`` (spark-submit
@@ -100,6 +102,13 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--store", required=True)
     s.add_argument("--table", default="silver")
     s.add_argument("--days", required=True)
+    s.add_argument("--by", choices=("time", "key"), default="time")
+    s = sub.add_parser("merge-bronze")
+    s.add_argument("--store", required=True)
+    s = sub.add_parser("add-column")
+    for option in ("--store", "--table", "--name", "--type"):
+        s.add_argument(option, required=True)
+    s.add_argument("--default", default="NULL")
     s = sub.add_parser("retention")
     s.add_argument("--store", required=True)
     s.add_argument("--table", default="silver")
@@ -139,7 +148,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None):
         incremental.rebuild_gold(store)
         return None
     if a.cmd == "compact":
-        return store.compact(a.table, _days(a.days))
+        return store.compact(a.table, _days(a.days), a.by)
+    if a.cmd == "merge-bronze":
+        return store.merge_bronze(force=True)
+    if a.cmd == "add-column":
+        return store.add_column(a.table, a.name, a.type, a.default)
     if a.cmd == "retention":
         return store.drop_days_before(a.table, dt.date.fromisoformat(a.before))
     return None

@@ -35,6 +35,10 @@ class Config:
     latest_buckets: int = 16
     # Warn when one micro-batch touches more day partitions than this.
     max_touched_days_warn: int = 31
+    # A batch of more days than this is worked off in ranges (``operators.backfill``).
+    max_touched_days: int = 366
+    # Batch folders of bronze's current day; beyond these they are merged.
+    bronze_open_batches: int = 500
     # Broadcast a batch's keys (touched pairs, update keys) when the bound
     # derived from the batch row count is at most this many rows (about 50 MB
     # of keys); larger batches use shuffled joins planned by AQE.

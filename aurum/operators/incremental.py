@@ -71,7 +71,7 @@ def write_silver(lake: MedallionStore, silver_batch: DataFrame, summary: dict |
     try:
         if own:
             summary = batch_summary(silver_batch, lake.cfg)
-        rows = silver_batch
+        rows = lake.conform("silver", silver_batch)
         kept_from = lake.silver_from()
         if kept_from is not None:  # rows of days that retention has dropped
             late = rows.where(F.col("day") < F.lit(kept_from).cast("date"))
@@ -125,18 +125,20 @@ def refresh_gold(lake: MedallionStore, batch_silver: DataFrame, days: list | Non
     try:
         # proven bounds: latest rows <= touched keys <= batch rows, daily rows =
         # touched pairs <= batch rows, hourly rows <= 24 x touched pairs
-        latest = gold.with_latest_bucket(partials.latest(states), cfg)
+        latest = lake.conform("latest", gold.with_latest_bucket(partials.latest(states), cfg))
+        hourly = lake.conform("hourly", partials.hourly(states, cfg))
+        daily = lake.conform("daily", partials.daily(states, cfg))
         jobs = [
             lambda: merge.merge_keyed(
                 lake.spark, lake.path("latest"), latest, ["city"], "bucket",
                 "replace_if_newer", lake.schema("latest"), time_col="event_time",
                 values=summary["buckets"], small_updates=small, unique=True),
             lambda: merge.merge_keyed(
-                lake.spark, lake.path("hourly"), partials.hourly(states, cfg), ["city", "hour_start"], "day",
+                lake.spark, lake.path("hourly"), hourly, ["city", "hour_start"], "day",
                 "replace", lake.schema("hourly"), values=touched_days,
                 small_updates=24 * summary["rows"] <= cfg.broadcast_touched_rows, unique=True),
             lambda: merge.merge_keyed(
-                lake.spark, lake.path("daily"), partials.daily(states, cfg), ["city", "day"], "day", "replace",
+                lake.spark, lake.path("daily"), daily, ["city", "day"], "day", "replace",
                 lake.schema("daily"), values=touched_days, small_updates=small, unique=True),
         ]
         # three independent tables from the same persisted inputs: submit the
@@ -184,4 +186,4 @@ def rebuild_gold(lake: MedallionStore) -> None:
         "daily": partials.daily(states, cfg),
     }
     for name, df in outputs.items():
-        lake.table(name).replace(df, None)
+        lake.table(name).replace(lake.conform(name, df), None)

@@ -41,7 +41,9 @@ BRONZE_SCHEMA = StructType([
     StructField("is_malformed", BooleanType()),
     StructField("ingested_at", TimestampType()),
     StructField("batch_id", LongType()),
-])  # partitioned by batch_id: a replayed micro-batch overwrites its own folder
+    StructField("slice", StringType()),
+])  # partitioned by slice: a micro-batch (``2026-06-25.b12``, which a replay overwrites)
+#   or the batches of a day that were merged up to one (``2026-06-25.m12``)
 
 SILVER_COLUMNS = ["city", "event_time", "temperature_c", "humidity_pct",
                   "wind_speed_kmh", "weather_code", "condition", "ingested_at"]

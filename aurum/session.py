@@ -102,6 +102,14 @@ def write_small(spark: SparkSession, path: str, text: str) -> None:
         raise OSError(f"could not write {path}")
 
 
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a file or folder to a name that must not exist."""
+    fs, p = _fs(spark, path)
+    target = _fs(spark, to)[1]
+    if fs.exists(target) or not fs.rename(p, target):
+        raise OSError(f"could not rename {path} to {to}")
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Remove a file or folder, if it is there."""
     fs, p = _fs(spark, path)

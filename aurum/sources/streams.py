@@ -46,6 +46,12 @@ def read_kafka(spark: SparkSession, bootstrap: str, topic: str,
     except Exception as exc:  # the connector is an optional jar
         raise RuntimeError("Kafka source unavailable: add the spark-sql-kafka "
                            "connector to the session") from exc
+    return connector_rows(raw)
+
+
+def connector_rows(raw: DataFrame) -> DataFrame:
+    """Rows as the connector gives them (BINARY ``value``, ``topic``, ``partition``,
+    ``offset``) -> (value, source, src_offset)."""
     return raw.select(
         parse.value_as_string(F.col("value")).alias("value"),
         F.concat_ws(":", F.col("topic"), F.col("partition").cast("string")).alias("source"),

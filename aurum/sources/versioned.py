@@ -139,17 +139,22 @@ class Versioned:
 
     # --------------------------------------------------------------- writing
     def replace(self, rows: DataFrame, values: list | None, without: dict[str, list[str]] | None = None,
-                order: list[str] | None = None, note: dict | None = None) -> None:
+                order: list[str] | None = None, note: dict | None = None,
+                cluster: list[str] | None = None, forget: bool = False) -> None:
         """Publish ``rows`` as all rows of the partitions ``values``, or, if None,
         of the table.  ``without``: by partition folder, the files in place that
         the rows stand for (default: all that are or will be there).  ``order``
         sorts the rows of each file; ``note`` is kept in the manifest, so it is
-        switched to together with the rows."""
+        switched to together with the rows.  ``cluster`` gives each file a range of
+        these columns instead, so that a read of one value opens few row groups.
+        ``forget``: partitions of ``values`` that get no rows are never written
+        again; their folders go when readers that had begun are done."""
         n, state = self.state()
         ver = f"ver={n + 1:09d}-{uuid.uuid4().hex[:8]}"
-        rows = rows.select(*self.schema.names).hint("rebalance", self.part)
-        if order:
-            rows = rows.sortWithinPartitions(self.part, *order)
+        rows = rows.select(*self.schema.names)
+        rows = rows.repartitionByRange(self.part, *cluster) if cluster else rows.hint("rebalance", self.part)
+        if cluster or order:
+            rows = rows.sortWithinPartitions(self.part, *(cluster or order))
         rows.write.partitionBy(self.part).parquet(f"{self.beside}/{ver}")
         written = [f for f in session.child_names(self.spark, f"{self.beside}/{ver}") if f.startswith(f"{self.part}=")]
         touched = set(written) | {self.folder(v) for v in values or []}
@@ -157,6 +162,8 @@ class Versioned:
         parts = {} if values is None else {f: e for f, e in before.items() if f not in touched}
         for f in touched:
             parts[f] = {"ver": ver if f in written else None, "without": (without or {}).get(f)}
+            if forget and f not in written:
+                parts[f]["since"] = time.time()
         gone = [f"{e['ver']}/{f}" for f, e in before.items() if e["ver"] and parts.get(f, {}).get("ver") != e["ver"]]
         self._publish(n, state, parts, {**state["sizes"], ver: len(written)}, gone,
                       state["whole"] or values is None, note)
@@ -173,6 +180,11 @@ class Versioned:
                  note: dict | None = None) -> None:
         live = {e["ver"] for e in parts.values() if e["ver"]}
         now = time.time()
+        # first the folder, then its entry: without the entry its rows would count again.
+        # Only entries that have been published: before that the rows are nowhere else
+        for f in [f for f, e in state["parts"].items() if e.get("since") and now - e["since"] >= KEEP_S]:
+            session.delete(self.spark, f"{self.path}/{f}")
+            parts = {k: e for k, e in parts.items() if k != f}
         old = [*state["old"], *([f, now] for f in gone)]
         self.manifest.publish(n, {"parts": parts, "sizes": {v: s for v, s in sizes.items() if v in live},
                                   "old": [o for o in old if now - o[1] < KEEP_S], "whole": whole,

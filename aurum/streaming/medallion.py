@@ -25,7 +25,7 @@ from pyspark.sql.types import StructType
 
 from .. import session
 from ..functions import parse
-from ..operators import incremental, merge, silver
+from ..operators import backfill, incremental, merge, silver
 from ..schemas import BRONZE_SCHEMA
 from ..sources.store import MedallionStore
 from ..sources.streams import FILE_STREAM_OPTIONS, placed
@@ -55,12 +55,15 @@ def bronze_rows(batch: DataFrame) -> DataFrame:
 def write_bronze(lake: MedallionStore, decoded: DataFrame, batch_id: int,
                  observation: Observation | None = None) -> None:
     """Bronze folder of this batch id; a replay of the batch rewrites it.
-    ``observation`` collects the batch counts during the same write (A10)."""
-    rows = bronze_rows(decoded).withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
+    ``observation`` collects the batch counts during the same write (A10).  Folders of
+    days that have ended are merged."""
+    rows = (bronze_rows(decoded).withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
+            .withColumn("slice", F.lit(lake.bronze_slice(int(batch_id)))))
     if observation is not None:
         rows = rows.observe(observation, F.count(F.lit(1)).alias("n"),
                             F.count_if("is_malformed").alias("bad"))
-    merge.write_partitioned(rows, lake.path("bronze"), "batch_id", "overwrite")
+    merge.write_partitioned(rows, lake.path("bronze"), "slice", "overwrite")
+    lake.merge_bronze()
 
 
 def silver_of(messages: DataFrame, lake: MedallionStore) -> DataFrame:
@@ -87,7 +90,10 @@ def process_batch(lake: MedallionStore, batch: DataFrame, batch_id: int,
         try:
             summary = incremental.batch_summary(sb, lake.cfg)
             row["silver_rows"] = summary["rows"]
-            if summary["rows"]:
+            if len(summary["days"]) > lake.cfg.max_touched_days:
+                done = _backfill(lake, sb, "batch", batch_id, backfill.BOTH, gold_days)
+                row["silver_inserted"], row["touched_days"] = done["inserted"], len(summary["days"])
+            elif summary["rows"]:
                 row["silver_inserted"] = incremental.write_silver(lake, sb, summary)
                 if gold_days is None:
                     row["touched_days"] = incremental.refresh_gold(lake, sb, None, summary)
@@ -101,6 +107,15 @@ def process_batch(lake: MedallionStore, batch: DataFrame, batch_id: int,
         decoded.unpersist()
 
 
+def _backfill(lake: MedallionStore, rows: DataFrame, tier: str, batch_id: int, steps: tuple[str, ...],
+              gold_days: list | None = None) -> dict:
+    """A batch of very many days in ranges; its replay goes on with the first range that is not done."""
+    job = f"{tier}-{int(batch_id)}"
+    if not session.path_exists(lake.spark, f"{lake.root}/backfill/{job}"):
+        backfill.forget(lake, f"{tier}-")  # of earlier batches, which are never replayed again
+    return backfill.run(lake, rows, job, steps=steps, gold_days=gold_days)
+
+
 def log_run(lake: MedallionStore, row: dict) -> None:
     """A10: append one summary row per processed batch."""
     schema = lake.schema("runlog")
@@ -120,7 +135,7 @@ def _trigger(w, trigger: dict | None):
     return w.trigger(**(trigger or {"availableNow": True}))
 
 
-def check_pairing(spark: SparkSession, checkpoint: str, output: str, sign: str) -> None:
+def check_pairing(spark: SparkSession, checkpoint: str, output: str, sign: str | tuple[str, ...]) -> None:
     """Refuse a new checkpoint on an output that already holds batches (any
     entry that starts with ``sign``; the first batch may have been empty): batch
     ids restart at 0, so the bronze folders (or the file sink's log) of the
@@ -134,8 +149,9 @@ def check_pairing(spark: SparkSession, checkpoint: str, output: str, sign: str)
 def start_medallion(source: DataFrame, lake: MedallionStore, checkpoint: str,
                     trigger: dict | None = None, gold_days_fn=None):
     """X1 + T4: one streaming query with a fault-tolerant batch sink."""
-    check_pairing(lake.spark, checkpoint, lake.path("bronze"), "batch_id=")
+    check_pairing(lake.spark, checkpoint, lake.path("bronze"), ("slice=", "batch_id="))
     lake.ensure_tables()
+    lake.adopt_bronze()
 
     def run(df, bid):
         process_batch(lake, df, bid, gold_days_fn() if gold_days_fn else None)
@@ -179,7 +195,9 @@ def start_silver(spark: SparkSession, lake: MedallionStore, checkpoint: str,
             row = {"tier": "silver", "batch_id": int(bid), "messages_in": int(m.get("n") or 0),
                    "malformed": int(m.get("bad") or 0), "silver_rows": summary["rows"], "silver_inserted": 0,
                    "touched_days": len(summary["days"]), "lag_s": _age(m.get("newest"))}
-            if summary["rows"]:
+            if len(summary["days"]) > lake.cfg.max_touched_days:
+                row["silver_inserted"] = _backfill(lake, sb, "silver", bid, ("silver",))["inserted"]
+            elif summary["rows"]:
                 row["silver_inserted"] = incremental.write_silver(lake, sb, summary)
             log_run(lake, row)
         finally:
@@ -203,7 +221,11 @@ def start_gold(spark: SparkSession, lake: MedallionStore, checkpoint: str,
         try:
             summary = incremental.batch_summary(df, lake.cfg)
             newest = df.agg(F.unix_micros(F.max("ingested_at"))).first()[0]
-            days = incremental.refresh_gold(lake, df, gold_days_fn() if gold_days_fn else None, summary)
+            days, only = len(summary["days"]), gold_days_fn() if gold_days_fn else None
+            if days > lake.cfg.max_touched_days:
+                _backfill(lake, df, "gold", bid, ("gold",), only)
+            else:
+                days = incremental.refresh_gold(lake, df, only, summary)
             log_run(lake, {"tier": "gold", "batch_id": int(bid), "silver_rows": summary["rows"],
                            "touched_days": days, "lag_s": _age(newest)})
         finally:

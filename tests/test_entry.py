@@ -16,7 +16,7 @@ READ_ONLY = [n for n in E.registry.QUERIES if n not in {
     "incremental_latest_hourly", "stream_medallion", "stream_bronze_counts", "stream_tiers",
     "stream_run_log", "stream_late_files", "retention_late",
     "rebuild_gold", "retention", "repair_pairs", "stream_arrival_order",
-    "stream_tiers_run_log"}]
+    "stream_tiers_run_log", "bronze_life_cycle", "backfill_ranges"}]
 
 
 def test_entry_smoke(spark):
