@@ -189,10 +189,10 @@ def _land_batches(spark, sf_dir, landing: str, replay_first: bool = True) -> int
     """Write the events as JSON-line messages into ``landing``, one folder per
     whole-day range plus a re-delivery of the first range.  Copies of a
     (key, slot) share a file, as a keyed topic keeps a key in one partition.
-    Each range gets as many files as the input has splits (at least 2), so the
-    write stays parallel on a large input; returns that file count."""
+    Each range gets files by the input's size (at least 2), so the write stays
+    parallel on a large input; returns that file count."""
     events = ev.read_table(spark, sf_dir, "events")
-    files = max(2, events.rdd.getNumPartitions())
+    files = max(2, ev.shares(events, ev.FILE_BYTES))
     msgs = ev.events_as_messages(events).withColumn("slot", ev.slot_text(F.col("ts")))
     d1 = F.to_date(cut_ts(events, 1, 3))
     d2 = F.to_date(cut_ts(events, 2, 3))
@@ -265,7 +265,7 @@ def q_stream_late_files(spark, sf_dir):
     root = session.fresh_dir(spark, "stream-late")
     landing = f"{root}/landing"
     events = ev.read_table(spark, sf_dir, "events")
-    files = max(2, events.rdd.getNumPartitions())
+    files = max(2, ev.shares(events, ev.FILE_BYTES))
     msgs = ev.events_as_messages(events).withColumn("slot", ev.slot_text(F.col("ts")))
     cut = F.to_date(cut_ts(events, 1, 2))
     lake = MedallionStore(spark, f"{root}/lake", DEFAULT)
@@ -341,7 +341,7 @@ def q_stream_arrival_order(spark, sf_dir):
     msgs = ev.events_as_messages(events).withColumn("slot", ev.slot_text(F.col("ts")))
     day = F.date_format("ts", "yyyy-MM-dd'T'00:00:00")
     tied = F.regexp_replace("value", F.lit('"fetched_at":"[^"]*"'), F.concat(F.lit('"fetched_at":"'), day, F.lit('"')))
-    files = max(2, events.rdd.getNumPartitions())
+    files = max(2, ev.shares(events, ev.FILE_BYTES))
     (msgs.withColumn("value", tied).repartition(files, "key", "slot").sortWithinPartitions("src_offset")
      .select("value").write.text(f"{root}/in"))
     source = lambda: streams.read_landing(spark, f"{root}/in", 2 * files)

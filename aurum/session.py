@@ -116,6 +116,20 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def total_size(spark: SparkSession, files: list[str]) -> int:
+    """Bytes of some files, named as URIs; each folder is listed once."""
+    uri = spark.sparkContext._jvm.java.net.URI
+    names: dict[str, set[str]] = {}
+    for f in files:
+        folder, name = f.rsplit("/", 1)
+        names.setdefault(folder, set()).add(name)
+    total = 0
+    for folder, held in names.items():
+        fs, p = _fs(spark, uri(folder))
+        total += sum(s.getLen() for s in fs.listStatus(p) if s.getPath().toUri().getRawPath().rsplit("/", 1)[-1] in held)
+    return total
+
+
 def age(spark: SparkSession, path: str) -> float:
     """Seconds since a file or folder was last changed."""
     fs, p = _fs(spark, path)

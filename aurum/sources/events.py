@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import session
 from ..functions import parse
 from ..schemas import MESSAGE_FIELDS
 
@@ -22,17 +23,33 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Bytes of the input's files for one task of per-row work: seconds of JSON and patterns.
+TASK_BYTES = 1_000_000
+#: Bytes of the input's files for one file of messages (about 100 MB of them).
+FILE_BYTES = 4_000_000
+
+
+def shares(df: DataFrame, size: int) -> int:
+    """How many shares of ``size`` bytes the files have that ``df`` reads; no data is
+    read.  1 for rows that are in no file."""
+    try:
+        return max(1, -(-session.total_size(df.sparkSession, df.inputFiles()) // size))
+    except Exception:  # sessions without access to file systems (Spark Connect)
+        return 1
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Spread rows over all cores before CPU-heavy per-row work (JSON, regex)
-    when the scan yields fewer partitions than cores (a small file with one
-    row group).  Decided from the plan's partition count, no data is read; on
-    a large input the scan already has enough splits and nothing changes."""
+    """Deal rows over all cores, and over more tasks the larger the input, before
+    CPU-heavy per-row work (JSON, regex).  The scan's own splits do not do that: a
+    row group is read by one of them, whole, so a file of one row group has one task
+    with rows, however many splits the plan counts.  Rows go by a hash of all their
+    columns, so that a repeated or null key does not gather them and a task that
+    runs again deals them alike."""
     try:
         cores = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # sessions without RDD access (Spark Connect): leave as is
+    except Exception:  # sessions without a context (Spark Connect)
         return df
-    return df.repartition(cores) if parts < cores else df
+    return df.repartition(max(cores, shares(df, TASK_BYTES)), *[F.col(c) for c in df.columns])
 
 
 def props_k(props: Column) -> Column:
