@@ -58,19 +58,27 @@ def type_message(df: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     ``event_time`` as instant, label from the truncated code.  Keeps any other
     input column (e.g. the source position)."""
     m = {f: F.col(f"msg.{f}") for f in MESSAGE_FIELDS}
-    code = numbers.coerce_double(m["weather_code"])
     fetched = m["fetched_at"]
+    # behind a one-element explode each pattern and cast is worked out once a row, not
+    # again in every filter and label that uses its value (see decode_json)
+    typed = F.struct(
+        times.parse_event_time(m["event_time"], cfg.tz).alias("event_time"),
+        *[numbers.coerce_double(m[c]).alias(c)
+          for c in ("temperature_c", "humidity_pct", "wind_speed_kmh", "weather_code")],
+        times.parse_event_time(fetched, cfg.tz).alias("fetched_ts"))
+    t = F.col("_typed")
     return (df.where(~F.col("is_malformed"))
+              .withColumn("_typed", F.explode(F.array(typed)))
               .withColumn("city", m["city"])
-              .withColumn("event_time", times.parse_event_time(m["event_time"], cfg.tz))
-              .withColumn("temperature_c", numbers.coerce_double(m["temperature_c"]))
-              .withColumn("humidity_pct", numbers.coerce_double(m["humidity_pct"]))
-              .withColumn("wind_speed_kmh", numbers.coerce_double(m["wind_speed_kmh"]))
-              .withColumn("weather_code", code)
-              .withColumn("condition", rules.condition_from_code(code))
+              .withColumn("event_time", t["event_time"])
+              .withColumn("temperature_c", t["temperature_c"])
+              .withColumn("humidity_pct", t["humidity_pct"])
+              .withColumn("wind_speed_kmh", t["wind_speed_kmh"])
+              .withColumn("weather_code", t["weather_code"])
+              .withColumn("condition", rules.condition_from_code(t["weather_code"]))
               .withColumn("fetched_at", fetched)
-              .withColumn("fetched_ts", times.parse_event_time(fetched, cfg.tz))
-              .drop("msg", "is_malformed"))
+              .withColumn("fetched_ts", t["fetched_ts"])
+              .drop("msg", "is_malformed", "_typed"))
 
 
 def parse_messages(df: DataFrame, value_col: str = "value", cfg: Config = DEFAULT) -> DataFrame:

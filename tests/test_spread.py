@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from aurum import session
+from aurum.functions import parse
+from aurum.operators import silver
+from aurum.plans import registry
 from aurum.sources import events as ev
 
 
@@ -50,3 +53,18 @@ def test_null_and_repeated_ids_do_not_gather(spark, tmp_path):
     events = _events(spark, str(tmp_path / "nulls"), 8_000).withColumn("event_id", F.lit(None).cast("long"))
     rows = _rows_by_task(ev.spread(events))
     assert sum(rows) == 8_000 and len(rows) == 4 and max(rows) < 3_000
+
+
+def test_each_value_of_a_message_is_worked_out_once(spark, tmp_path, capsys):
+    typed = parse.parse_messages(ev.events_as_messages(_events(spark, str(tmp_path / "once"), 50)))
+    silver.gate(typed).select("city", "event_time", "temperature_c", "humidity_pct", "wind_speed_kmh", "weather_code",
+                              "condition").explain(True)
+    plan = capsys.readouterr().out.split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
+    assert plan.count("inf(inity)?") == 4  # one pattern for each measure: the gate and the labels add none
+
+
+def test_serving_queries_parse_once(spark, tmp_path):
+    _events(spark, str(tmp_path / "events.parquet"), 50)
+    for name in ("kpi_row_chosen", "trend"):
+        files = registry.QUERIES[name](spark, str(tmp_path)).inputFiles()
+        assert files and not any("events.parquet" in f for f in files)
