@@ -39,6 +39,12 @@ def batch_summary(batch_silver: DataFrame, cfg) -> dict:
             "buckets": sorted({b for r in per_day for b in r["buckets"]})}
 
 
+def _is_kept(df: DataFrame) -> bool:
+    """Has the caller persisted these rows?"""
+    level = df.storageLevel
+    return level.useMemory or level.useDisk
+
+
 def _from_day(summary: dict, first: str) -> dict:
     """The summary without days that retention has dropped."""
     kept = [(d, s) for d, s in zip(summary["days"], summary["spans"]) if str(d) >= first]
@@ -65,11 +71,12 @@ def write_silver(lake: MedallionStore, silver_batch: DataFrame, summary: dict |
     lake.layout()
     partials.ensure(lake)
     inserted = partials.recover(lake)
-    own = summary is None
-    if own:  # several passes read the batch: evaluate it once
+    # several passes read the batch: evaluate it once, unless the caller does (and goes on using it)
+    own = summary is None and not _is_kept(silver_batch)
+    if own:
         silver_batch = silver_batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if own:
+        if summary is None:
             summary = batch_summary(silver_batch, lake.cfg)
         rows = lake.conform("silver", silver_batch)
         kept_from = lake.silver_from()

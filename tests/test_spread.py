@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from aurum import session
 from aurum.functions import parse
-from aurum.operators import silver
+from aurum.operators import incremental, silver
 from aurum.plans import registry
+from aurum.sources.store import MedallionStore
 from aurum.sources import events as ev
 
 
@@ -68,3 +69,17 @@ def test_serving_queries_parse_once(spark, tmp_path):
     for name in ("kpi_row_chosen", "trend"):
         files = registry.QUERIES[name](spark, str(tmp_path)).inputFiles()
         assert files and not any("events.parquet" in f for f in files)
+
+
+def test_rows_that_the_caller_keeps_stay_kept(spark, tmp_path):
+    typed = parse.parse_messages(ev.events_as_messages(_events(spark, str(tmp_path / "kept"), 50)))
+    lake = MedallionStore(spark, str(tmp_path / "lake")).ensure_tables()
+    rows = silver.to_silver(typed).persist()
+    try:
+        n = incremental.write_silver(lake, rows)
+        assert n == lake.read("silver").count() > 0
+        assert rows.storageLevel.useMemory  # the next step reads these rows again
+    finally:
+        rows.unpersist()
+    own = silver.to_silver(typed)
+    assert incremental.write_silver(lake, own) == 0 and not own.storageLevel.useMemory
