@@ -7,6 +7,7 @@ offsets are its own, not taken from ``rules`` or ``Config``.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -139,10 +140,13 @@ def q_dirty_batch(spark, sf_dir):
     (rows, keys, readings)."""
     from .jobs import new_lake
     lake: MedallionStore = new_lake(spark, "dirty")
-    batch = dirty_messages(spark, sf_dir)
-    runs = [("log", medallion.process_batch(lake, batch, 0)),
-            ("empty", medallion.process_batch(lake, batch.where(F.col("src_offset").isNull()), 1)),
-            ("again", medallion.process_batch(lake, batch, 0))]
+    batch = dirty_messages(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)  # read and made once
+    try:
+        runs = [("log", medallion.process_batch(lake, batch, 0)),
+                ("empty", medallion.process_batch(lake, batch.where(F.col("src_offset").isNull()), 1)),
+                ("again", medallion.process_batch(lake, batch, 0))]
+    finally:
+        batch.unpersist()
     out = spark.createDataFrame([(n, r["messages_in"], r["malformed"], r["silver_inserted"]) for n, r in runs],
                                 "part string, a bigint, b bigint, c bigint")
     bronze = lake.read("bronze").agg(F.lit("bronze").alias("part"), F.count(F.lit(1)).alias("a"),
