@@ -54,9 +54,14 @@ def decode_json(df: DataFrame, value_col: str = "value") -> DataFrame:
 
 
 def type_message(df: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
-    """Typed view of decoded messages (P3, P4, P5): measures as DOUBLE,
-    ``event_time`` as instant, label from the truncated code.  Keeps any other
-    input column (e.g. the source position)."""
+    """Typed view of decoded messages (P3, P4, P5), malformed ones removed."""
+    return typed_beside(df.where(~F.col("is_malformed")), cfg).drop("is_malformed")
+
+
+def typed_beside(df: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+    """Decoded messages with typed columns in place of ``msg``: measures as DOUBLE,
+    ``event_time`` as instant, label from the truncated code.  Keeps malformed rows
+    and any other input column (e.g. the flag, the source position)."""
     m = {f: F.col(f"msg.{f}") for f in MESSAGE_FIELDS}
     fetched = m["fetched_at"]
     # behind a one-element explode each pattern and cast is worked out once a row, not
@@ -67,8 +72,7 @@ def type_message(df: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
           for c in ("temperature_c", "humidity_pct", "wind_speed_kmh", "weather_code")],
         times.parse_event_time(fetched, cfg.tz).alias("fetched_ts"))
     t = F.col("_typed")
-    return (df.where(~F.col("is_malformed"))
-              .withColumn("_typed", F.explode(F.array(typed)))
+    return (df.withColumn("_typed", F.explode(F.array(typed)))
               .withColumn("city", m["city"])
               .withColumn("event_time", t["event_time"])
               .withColumn("temperature_c", t["temperature_c"])
@@ -78,7 +82,7 @@ def type_message(df: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
               .withColumn("condition", rules.condition_from_code(t["weather_code"]))
               .withColumn("fetched_at", fetched)
               .withColumn("fetched_ts", t["fetched_ts"])
-              .drop("msg", "is_malformed", "_typed"))
+              .drop("msg", "_typed"))
 
 
 def parse_messages(df: DataFrame, value_col: str = "value", cfg: Config = DEFAULT) -> DataFrame:

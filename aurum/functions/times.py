@@ -24,10 +24,10 @@ def parse_event_time(s: Column, tz: str = "UTC") -> Column:
     s = F.trim(s)
     fixed = F.regexp_replace(s, _NO_SECONDS_WITH_ZONE, "$1:00$2")
     parsed = fixed.try_cast("timestamp")
-    naive = F.to_utc_timestamp(parsed, tz) if tz.upper() != "UTC" else parsed
-    return (F.when(~s.rlike(_ISO_SHAPE), F.lit(None).cast("timestamp"))
-            .when(s.rlike(_ZONE_SUFFIX), parsed)
-            .otherwise(naive))
+    shaped = F.when(~s.rlike(_ISO_SHAPE), F.lit(None).cast("timestamp"))
+    if tz.upper() == "UTC":  # with or without an offset, the same instant
+        return shaped.otherwise(parsed)
+    return shaped.when(s.rlike(_ZONE_SUFFIX), parsed).otherwise(F.to_utc_timestamp(parsed, tz))
 
 
 def local_time(ts: Column, tz: str = "UTC") -> Column:

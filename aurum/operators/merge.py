@@ -86,7 +86,11 @@ def merge_plan(spark: SparkSession, path: str, updates: DataFrame, keys: list[st
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
     updates = updates.select(*[f.name for f in schema.fields])
-    current = read_partitions(spark, path, schema, partition_col, values)
+    current = Versioned(spark, path, schema, partition_col).stored(values)
+    if current is None:  # partitions that are new: no stored row to match
+        if mode == "replace_if_newer" and time_col is None:
+            raise ValueError("replace_if_newer needs time_col")
+        return updates
     upd_keys = F.broadcast(updates.select(*keys)) if small_updates else updates.select(*keys)
     # stored rows whose key is in the batch (the only ones a join can match)
     matched = current.join(upd_keys, keys, "left_semi") if small_updates else current

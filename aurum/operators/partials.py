@@ -157,13 +157,18 @@ def _finish(lake, pid: str, again: bool) -> int:
 
 def _fold(lake, rows: DataFrame, days: list, small: bool, folded: list[str]) -> None:
     """Merge the rows' states into those of their hours.  Other rows of the days are
-    copied without a shuffle if the batch's hours (at most its rows) are few."""
+    copied without a shuffle if the batch's hours (at most its rows) are few; if not,
+    all states of the days are grouped once, in which a state that is alone stays as it is."""
     keys = ["city", "day", "hour_start"]
     table, new = lake.table("partials"), of_rows(rows, lake.cfg)
-    current = table.read(days).select(*COLS)
-    hours = new.select(*keys)
-    hours = F.broadcast(hours) if small else hours
-    known = current.join(hours, keys, "left_semi").select(*COLS)
-    rest = current.join(hours, keys, "left_anti").select(*COLS)
-    out = rest.unionByName(merged(known.unionByName(new), keys).select(*COLS))
+    current = table.stored(days)
+    if current is None:
+        out = new
+    elif small:
+        current, hours = current.select(*COLS), F.broadcast(new.select(*keys))
+        known = current.join(hours, keys, "left_semi").select(*COLS)
+        rest = current.join(hours, keys, "left_anti").select(*COLS)
+        out = rest.unionByName(merged(known.unionByName(new), keys).select(*COLS))
+    else:
+        out = merged(current.select(*COLS).unionByName(new), keys).select(*COLS)
     table.replace(out, days, note={"folded": folded})

@@ -197,15 +197,19 @@ def _land_batches(spark, sf_dir, landing: str, replay_first: bool = True) -> int
     parallel on a large input; returns that file count."""
     events = ev.read_table(spark, sf_dir, "events")
     files = max(2, ev.shares(events, ev.FILE_BYTES))
-    msgs = ev.events_as_messages(events).withColumn("slot", ev.slot_text(F.col("ts")))
+    rows = ev.dealt(events).persist(StorageLevel.MEMORY_AND_DISK)  # read once for all ranges
+    msgs = ev.messages_of(rows).withColumn("slot", ev.slot_text(F.col("ts")))
     d1 = F.to_date(cut_ts(events, 1, 3))
     d2 = F.to_date(cut_ts(events, 2, 3))
     day = F.to_date(F.col("ts"))
     parts = [msgs.where(day < d1), msgs.where((day >= d1) & (day < d2)), msgs.where(day >= d2)]
     if replay_first:
         parts.append(parts[0])
-    for i, part in enumerate(parts):
-        streams.write_messages(part, f"{landing}/part{i}", files, ["key", "slot"])
+    try:
+        for i, part in enumerate(parts):
+            streams.write_messages(part, f"{landing}/part{i}", files, ["key", "slot"])
+    finally:
+        rows.unpersist()
     return files
 
 
@@ -270,18 +274,22 @@ def q_stream_late_files(spark, sf_dir):
     landing = f"{root}/landing"
     events = ev.read_table(spark, sf_dir, "events")
     files = max(2, ev.shares(events, ev.FILE_BYTES))
-    msgs = ev.events_as_messages(events).withColumn("slot", ev.slot_text(F.col("ts")))
+    rows = ev.dealt(events).persist(StorageLevel.MEMORY_AND_DISK)  # read once for both
+    msgs = ev.messages_of(rows).withColumn("slot", ev.slot_text(F.col("ts")))
     cut = F.to_date(cut_ts(events, 1, 2))
     lake = MedallionStore(spark, f"{root}/lake", DEFAULT)
-    for name, part in (("new", F.to_date("ts") >= cut), ("old", F.to_date("ts") < cut)):
-        streams.write_messages(msgs.where(part), f"{landing}/{name}", files, ["key", "slot"])
-        if name == "old":
-            session.set_age(spark, f"{landing}/{name}", days=30)
-        q = medallion.start_medallion(streams.read_landing(spark, landing, 2 * files), lake,
-                                      f"{root}/checkpoint")
-        q.awaitTermination()
-        if q.exception():
-            raise q.exception()
+    try:
+        for name, part in (("new", F.to_date("ts") >= cut), ("old", F.to_date("ts") < cut)):
+            streams.write_messages(msgs.where(part), f"{landing}/{name}", files, ["key", "slot"])
+            if name == "old":
+                session.set_age(spark, f"{landing}/{name}", days=30)
+            q = medallion.start_medallion(streams.read_landing(spark, landing, 2 * files), lake,
+                                          f"{root}/checkpoint")
+            q.awaitTermination()
+            if q.exception():
+                raise q.exception()
+    finally:
+        rows.unpersist()
     return lake.read("daily").select(*DAILY_OUT)
 
 

@@ -8,9 +8,11 @@ below it.  Only when it is unset (tests, local runs) do we create one.
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import time
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -44,6 +46,19 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextlib.contextmanager
+def plain_cache(spark: SparkSession) -> Iterator[None]:
+    """Rows persisted and first read in here are kept uncompressed: for rows that are
+    read two or three times, compressing them costs more time than it saves."""
+    name = "spark.sql.inMemoryColumnarStorage.compressed"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for staged tables; read from the session, set only if unset."""
     sc = spark.sparkContext

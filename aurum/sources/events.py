@@ -25,8 +25,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 #: Bytes of the input's files for one task of per-row work: seconds of JSON and patterns.
 TASK_BYTES = 1_000_000
-#: Bytes of the input's files for one file of messages (about 100 MB of them).
-FILE_BYTES = 4_000_000
+#: Bytes of the input's files for one file of messages (about 25 MB of them): several
+#: fit a task that reads them, so tasks get about equal shares whatever the cores.
+FILE_BYTES = 1_000_000
 
 
 def shares(df: DataFrame, size: int) -> int:
@@ -79,7 +80,18 @@ def message_struct(events: DataFrame) -> Column:
 def events_as_messages(events: DataFrame) -> DataFrame:
     """events -> (src_offset, key, value JSON, ts): the shape a Kafka source or
     a landing directory delivers.  Only the needed columns are read."""
-    events = spread(events.select("event_id", "user_id", "ts", "value", "props"))
+    return messages_of(dealt(events))
+
+
+def dealt(events: DataFrame) -> DataFrame:
+    """The columns that messages are made of, dealt over all cores.  Callers that make
+    messages of several parts persist these rows: they are narrow, and a file of one row
+    group is then read by its one task once, not for each part."""
+    return spread(events.select("event_id", "user_id", "ts", "value", "props"))
+
+
+def messages_of(events: DataFrame) -> DataFrame:
+    """``events_as_messages`` of rows that have been dealt."""
     fields = events.select(F.col("event_id").alias("src_offset"),
                            F.col("user_id").cast("string").alias("key"), "ts",
                            message_struct(events).alias("m")).select("src_offset", "key",

@@ -92,6 +92,12 @@ class Versioned:
     def read(self, values: list | None = None) -> DataFrame:
         """All rows, or those of some partitions, whose folders are read by path
         without listing the others."""
+        out = self.stored(values)
+        return out if out is not None else self.spark.createDataFrame([], self.schema)
+
+    def stored(self, values: list | None = None) -> DataFrame | None:
+        """``read``, or None if there is nothing to read: merges into partitions that
+        are new then need no join."""
         n, state = self.state()
         if not n and values is None:
             return self.spark.read.schema(self.schema).parquet(self.path)
@@ -107,7 +113,7 @@ class Versioned:
         out = self._load(versions, self.beside)
         if not state["whole"]:
             out = self._union(out, self._load(self._in_place(parts, names), self.path))
-        return out if out is not None else self.spark.createDataFrame([], self.schema)
+        return out
 
     def _in_place(self, parts: dict, names: list[str] | None) -> list[str]:
         present = session.child_names(self.spark, self.path) if names is None or len(names) > 20 else [
