@@ -90,7 +90,9 @@ def merge_plan(spark: SparkSession, path: str, updates: DataFrame, keys: list[st
     if current is None:  # partitions that are new: no stored row to match
         if mode == "replace_if_newer" and time_col is None:
             raise ValueError("replace_if_newer needs time_col")
-        return updates
+        if mode != "ignore":  # its join also deals rows to the files that are appended
+            return updates
+        current = spark.createDataFrame([], schema)
     upd_keys = F.broadcast(updates.select(*keys)) if small_updates else updates.select(*keys)
     # stored rows whose key is in the batch (the only ones a join can match)
     matched = current.join(upd_keys, keys, "left_semi") if small_updates else current
