@@ -65,6 +65,7 @@ def compress(ids: np.ndarray, least: int = 16, rounds: int = 6, most: int = 4096
     seq = ids.astype(np.int64)
     base = int(seq.max()) + 1 if len(seq) else 0
     rules = np.zeros((0, 2), np.int64)
+    length = np.ones(base, np.int64)
     for _ in range(rounds):
         if len(seq) < 2 * least:
             break
@@ -73,22 +74,25 @@ def compress(ids: np.ndarray, least: int = 16, rounds: int = 6, most: int = 4096
         if not chosen:
             break
         keys = np.sort(np.array(chosen, np.int64))
-        left, right = np.zeros(size, bool), np.zeros(size, bool)
-        left[keys // size] = True
-        right[keys % size] = True
-        at = np.flatnonzero(left[seq[:-1]] & right[seq[1:]])
-        key = seq[at] * size + seq[at + 1]
-        rule = np.searchsorted(keys, key)
-        hit = keys[np.minimum(rule, len(keys) - 1)] == key
+        a, b = keys // size, keys % size
+        # a table of left by right symbols holds the rule of each chosen pair: at most (most / 2) ** 2 cells
+        left, right = np.full(size, -1, np.int32), np.full(size, -1, np.int32)
+        sides = np.unique(a), np.unique(b)
+        left[sides[0]] = np.arange(len(sides[0])) * len(sides[1])
+        right[sides[1]] = np.arange(len(sides[1]))
+        rule_of = np.full(len(sides[0]) * len(sides[1]), -1, np.int32)
+        rule_of[left[a] + right[b]] = np.arange(len(keys))
+        row, column = left[seq[:-1]], right[seq[1:]]
+        at = np.flatnonzero((row | column) >= 0)
+        rule = rule_of[row[at] + column[at]]
+        hit = rule >= 0
         at, rule = at[hit], rule[hit]
         seq[at] = base + len(rules) + rule
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
         seq = seq[keep]
-        rules = np.concatenate([rules, np.stack([keys // size, keys % size], 1)])
-    length = np.ones(base + len(rules), np.int64)
-    for i, (a, b) in enumerate(rules.tolist()):  # a rule uses earlier symbols only
-        length[base + i] = length[a] + length[b]
+        rules = np.concatenate([rules, np.stack([a, b], 1)])
+        length = np.concatenate([length, length[a] + length[b]])  # a rule uses earlier symbols only
     wide = 3 if base + len(rules) < 1 << 24 else 4
     # the symbols byte by byte, high bytes last: they compress well in the file
     packed = seq.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :wide].T.tobytes()
@@ -103,9 +107,11 @@ def _open(payload: bytes) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
     at = 8 + struct.calcsize("<IIQB")
     rules = np.frombuffer(payload, "<u4", 2 * n, at).reshape(-1, 2)
     length = np.frombuffer(payload, "<u4", n, at + 8 * n)
-    raw = np.zeros((m, 4), np.uint8)
-    raw[:, :wide] = np.frombuffer(payload, np.uint8, m * wide, at + 12 * n).reshape(wide, m).T
-    return base, rules, length, raw.view("<u4").reshape(-1)
+    raw = np.frombuffer(payload, np.uint8, m * wide, at + 12 * n).reshape(wide, m)
+    seq = raw[0].astype(np.uint32)
+    for j in range(1, wide):
+        seq |= raw[j].astype(np.uint32) << np.uint32(8 * j)
+    return base, rules, length, seq
 
 
 def expand(payload: bytes, start: int = 0, count: int | None = None) -> np.ndarray:
@@ -119,15 +125,31 @@ def expand(payload: bytes, start: int = 0, count: int | None = None) -> np.ndarr
         return np.zeros(0, np.uint32)
     a = int(np.searchsorted(upto, start, "right")) - 1
     b = int(np.searchsorted(upto, stop, "left"))
-    out = seq[a:b].astype(np.int64)
-    while (rule := out >= base).any():  # one level of rules at a time
+    seq = seq[a:b]
+    used = np.zeros(len(rules), bool)
+    used[seq[seq >= base] - base] = True
+    own = np.flatnonzero(used) + base
+    flat = _by_levels(own, base, rules)  # each symbol that occurs is expanded once
+    first = np.arange(base + len(rules), dtype=np.int64) + len(flat)  # ids stand behind the expansions
+    first[own] = np.cumsum(size[own]) - size[own]
+    n = size[seq]
+    from_ = np.repeat(first[seq] - (np.cumsum(n) - n), n)
+    from_ += np.arange(len(from_))
+    out = np.concatenate([flat, np.arange(base, dtype=np.uint32)])[from_]
+    return out[start - int(upto[a]):stop - int(upto[a])]
+
+
+def _by_levels(symbols: np.ndarray, base: int, rules: np.ndarray) -> np.ndarray:
+    """The ids that symbols expand to, one level of rules at a time."""
+    out = symbols
+    while (rule := out >= base).any():
         at = np.cumsum(1 + rule) - (1 + rule)
         wider = np.empty(len(out) + int(rule.sum()), np.int64)
         pair = rules[out[rule] - base]
         wider[at[~rule]] = out[~rule]
         wider[at[rule]], wider[at[rule] + 1] = pair[:, 0], pair[:, 1]
         out = wider
-    return out[start - int(upto[a]):stop - int(upto[a])].astype(np.uint32)
+    return out.astype(np.uint32)
 
 
 def write(docs: DataFrame, path: str, tokenizer: str, end_id: int,
@@ -157,16 +179,19 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int,
 
         size = 0
         for batch in batches:
-            for a, b in tokens.slices(batch.column(1), min(3_000_000, 6 * shard_tokens)):
-                ids, n = enc.encode(batch.column(1).slice(a, b - a))
-                ends = np.cumsum(n)
-                held.append(np.insert(ids, ends, end_id))  # the end id after each document
-                ids_of.extend(batch.column(0).slice(a, b - a).to_pylist())
-                n_of.extend((n + 1).tolist())
-                size += len(held[-1])
-                if size >= shard_tokens:
-                    yield close()
-                    size = 0
+            for a, b in tokens.slices(batch.column(1), 5_000_000):  # fewer look-ups than by small slices
+                texts, doc_ids = batch.column(1).slice(a, b - a), batch.column(0).slice(a, b - a)
+                ids, n = enc.encode(texts)
+                upto = np.concatenate([[0], np.cumsum(n)])
+                for c, d in tokens.slices(texts, min(3_000_000, 6 * shard_tokens)):
+                    # the end id after each document
+                    held.append(np.insert(ids[upto[c]:upto[d]], upto[c + 1:d + 1] - upto[c], end_id))
+                    ids_of.extend(doc_ids.slice(c, d - c).to_pylist())
+                    n_of.extend((n[c:d] + 1).tolist())
+                    size += len(held[-1])
+                    if size >= shard_tokens:
+                        yield close()
+                        size = 0
         if n_of:
             yield close()
 

@@ -28,6 +28,10 @@ _RUNS = r"\A |\A\n| \z|\n\z|[ \n\t\r\x0b\x0c][ \n\t\r\x0b\x0c]|[\t\r\x0b\x0c]"
 _UNIT = re.compile(r"\s*\S+|\s+", re.ASCII)
 #: One punctuation mark between a Latin word's end and a blank is a pretoken by itself.
 _MARK = "([0-9A-Za-zÀ-ÖØ-öø-ÿ])([.,;:!?])( |\\z)"
+_MARK_BLANK = "([0-9A-Za-zÀ-ÖØ-öø-ÿ])([.,;:!?])([ \\t\\n\\r\\x0b\\x0c]|\\z)"
+#: Small Latin letters that no normalising changes, and words of them with ASCII marks behind.
+_LETTERS = "ßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
+_PLAIN = re.compile(rf"([a-z{_LETTERS}]*)([!-/:-@\[-`{{-~]*)")
 #: Beyond this, lower-casing may differ between libraries.
 _NOT_LATIN = "[İƀ-\U0010ffff]"
 #: Stands before a piece that has no space before it in the text (texts that hold it are odd).
@@ -50,6 +54,13 @@ class UnitEncoder:
         self.keeps_blanks = normal == "None" and before.startswith("ByteLevel(")
         added = sorted(self.tok.get_added_tokens_decoder().items())
         self.mark_id, self.mark = (added[0][0], added[0][1].content) if added else (None, None)
+        self.model, self.shown, self.plain = self.tok.model, {}, False
+        if self.drops_blanks:
+            for c in _LETTERS:  # how the model is shown the bytes of a letter
+                self.shown[ord(c)] = "".join(x for x, _ in self.tok.pre_tokenizer.pre_tokenize_str(c))
+            probe = [_LETTERS, "".join(map(chr, range(97, 123))) + "'!", "s''", "é_", "*[~"]
+            whole = self.tok.encode(" ".join(probe), add_special_tokens=False).ids
+            self.plain = whole == [i for u in probe for i in self._plain(u)]
         self._reset()
 
     def _reset(self) -> None:
@@ -67,9 +78,31 @@ class UnitEncoder:
         out[:len(a)] = a
         return out
 
+    def _plain(self, unit: str) -> list[int] | None:
+        """Ids of a small Latin word and marks after it, which normalising leaves
+        as they are and splitting parts where the marks begin, from the library's
+        model.  None for other units."""
+        if not (parts := _PLAIN.fullmatch(unit)):
+            return None
+        word, marks = parts.groups()
+        ids = [t.id for t in self.model.tokenize(word if word.isascii() else word.translate(self.shown))] if word else []
+        return ids + [t.id for t in self.model.tokenize(marks)] if marks else ids
+
     def _library(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and their number for each unit.  Many units go in one call with
-        an added token between them, which the library splits at first."""
+        """Ids and their number for each unit."""
+        if not self.plain:
+            return self._marked(units)
+        ids = [self._plain(u) for u in units]
+        if rest := [i for i, x in enumerate(ids) if x is None]:
+            some, n = self._marked([units[i] for i in rest])
+            ends = np.cumsum(n).tolist()
+            for i, a, b in zip(rest, [0, *ends], ends):
+                ids[i] = some[a:b].tolist()
+        return np.array([i for x in ids for i in x], np.uint32), np.array([*map(len, ids)], np.int64)
+
+    def _marked(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """``_library`` by whole encoding.  Many units go in one call with an
+        added token between them, which the library splits at first."""
         if self.mark is None or any("<|" in u for u in units):
             ids = [e.ids for e in self.tok.encode_batch_fast(units, add_special_tokens=False)]
             return (np.fromiter((i for x in ids for i in x), np.uint32),
@@ -100,7 +133,7 @@ class UnitEncoder:
         code = np.array([get(u, -1) for u in units], np.int64)
         new = np.flatnonzero(code < 0)
         if len(new):
-            fresh = [units[i] for i in new]
+            fresh = [units[i] for i in new.tolist()]
             code[new] = got = self._learn(fresh)
             self.codes.update((u, c) for u, c in zip(fresh, got.tolist()) if len(u) <= 64)
         return code
@@ -110,8 +143,7 @@ class UnitEncoder:
         if self.drops_blanks:
             high = pc.match_substring_regex(texts, _NOT_LATIN)
             low = pc.if_else(high, texts, pc.utf8_lower(texts))
-            flat = pc.replace_substring_regex(low, r"[\t\n\r\x0b\x0c]", " ")
-            lists = pc.split_pattern(pc.replace_substring_regex(flat, _MARK, r"\1 \2\3"), " ")
+            lists = pc.ascii_split_whitespace(pc.replace_substring_regex(low, _MARK_BLANK, r"\1 \2\3"))
         else:
             cut = pc.replace_substring(texts, "\n", f" {_GLUE}\n {_GLUE}")
             lists = pc.split_pattern(
@@ -168,7 +200,8 @@ class UnitEncoder:
         n = self.len[code]
         upto = np.zeros(len(n) + 1, np.int64)
         np.cumsum(n, out=upto[1:])
-        at = np.repeat(self.start[code] - upto[:-1], n) + np.arange(int(upto[-1]))
+        at = np.repeat(self.start[code] - upto[:-1], n)
+        at += np.arange(len(at))
         ids = self.flat[at]
         self.n, self.used = kept
         return ids, np.diff(upto[np.concatenate([[0], np.cumsum(per)])])
