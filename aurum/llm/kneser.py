@@ -1,5 +1,8 @@
 """Quality by perplexity: an interpolated modified Kneser-Ney n-gram model.
 
+This is the form with a fixed alphabet, for small models that fit in memory; the
+query uses ``ngrams``, whose vocabulary is open and whose counts are joined.
+
 The model is over characters, folded to ``SYMBOLS`` symbols, with ``ORDER``
 symbols a gram, one model for each listed language and one for all others.  It
 is trained on all text of documents labelled as trusted.

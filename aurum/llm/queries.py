@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_dir, prepare, scratch_root
-from . import blocknames, chat, collocations, kneser, packing, pfair, phrases, quality, repair, secret_spans, simhash, trie, urls
+from . import blocknames, chat, collocations, ngrams, packing, pfair, phrases, quality, repair, secret_spans, simhash, trie, urls
 from .common import read_table, ship, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,7 +105,7 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_kneser(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Perplexity of all documents under models of all trusted ones."""
-    return kneser.classified(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return ngrams.classified(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
 @query
