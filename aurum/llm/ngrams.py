@@ -49,7 +49,7 @@ QUANTILE = 0.99
 MARGIN = 1.1
 MIN_CHARS = 200
 PART_BYTES = 16_000_000
-PIECE = 4_000_000
+PIECE = 1_000_000
 #: Above this many cells, distinct keys are found by sorting.
 CELLS = 1 << 25
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -269,7 +269,7 @@ def classified(docs: DataFrame, labels: DataFrame) -> DataFrame:
     limits = (rows.where(F.col("n_chars") >= MIN_CHARS).join(good.hint("merge"), "doc_id", "left_semi")
               .groupBy(F.col("lang").alias("_lang"))
               .agg((F.percentile_approx("perplexity", QUANTILE, 10000) * MARGIN).alias("threshold")))
-    out = rows.join(limits, F.col("lang") == F.col("_lang"), "left")
+    out = rows.join(F.broadcast(limits), F.col("lang") == F.col("_lang"), "left")
     far = (F.col("n_chars") >= MIN_CHARS) & (F.col("perplexity") > F.col("threshold"))
     return out.select("doc_id", "lang", "n_chars", "perplexity", "threshold",
                       (~F.coalesce(far, F.lit(False))).alias("kept"))
